@@ -7,6 +7,6 @@ from flowloom.plans.registry import QUERIES, Query
 
 def catalog() -> dict[str, Query]:
     """Every registered query by name."""
-    from flowloom.plans import cleaning, messages, reports  # noqa: F401
+    from flowloom.plans import cleaning, messages, models, reports, streams, tables  # noqa: F401
 
     return dict(QUERIES)

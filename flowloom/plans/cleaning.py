@@ -153,9 +153,10 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_data.select_features(rows)
 
 
-@query(oracle(
-    f"SELECT {', '.join(CANONICAL_19)}, {_TARGET_SQL} FROM flows WHERE {_COMPLETE}", "flows"
-))
+TRAINING_SQL = f"SELECT {', '.join(CANONICAL_19)}, {_TARGET_SQL} FROM flows WHERE {_COMPLETE}"
+
+
+@query(oracle(TRAINING_SQL, "flows"))
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_data.training_set(fx.flows(spark, sf_dir))
 
