@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, IntegerType
+from pyspark.sql.types import DataType, DoubleType, FloatType, IntegerType
 
 _LONG_RANGE = float(2**63)
 
@@ -66,3 +70,20 @@ def decode_tcp_flags(text: Column) -> Column:
         .when(flags.rlike("^[0-9]+$"), flags.try_cast("int"))
         .otherwise(letters)
     )
+
+
+def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows in which no column (of ``columns``, if given) is null or NaN.
+
+    One condition per column, not one over all of them: the optimizer rewrites
+    each condition once per computed column it mentions, which for a single wide
+    condition over n computed columns would be 2^n rewrites.
+    """
+    kept = df.columns if columns is None else columns
+    conditions = []
+    for field in df.select(*[f"`{c}`" for c in kept]).schema.fields:
+        value = F.col(f"`{field.name}`")
+        conditions.append(value.isNotNull())
+        if isinstance(field.dataType, DoubleType | FloatType):
+            conditions.append(~F.isnan(value))
+    return df.filter(reduce(and_, conditions)) if conditions else df

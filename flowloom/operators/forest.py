@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Model, Pipeline, PipelineModel, Transformer
+from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.functions.fields import drop_incomplete
 from flowloom.operators.metrics import accuracy, auc_roc
 from flowloom.operators.training_data import TARGET
 from flowloom.schemas import CANONICAL_19
@@ -24,8 +25,18 @@ def assembler(features: Sequence[str] = CANONICAL_19) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
 
 
+def _apply(stage: Transformer, df: DataFrame) -> DataFrame:
+    """A pipeline stage, with an assembler's skipping done by ``drop_incomplete``:
+    its own filter is one condition over all features, which does not plan well
+    over computed columns."""
+    if isinstance(stage, VectorAssembler) and stage.getHandleInvalid() == "skip":
+        df = drop_incomplete(df, stage.getInputCols())
+        stage = stage.copy({stage.handleInvalid: "keep"})
+    return stage.transform(df)
+
+
 def assemble_features(df: DataFrame, features: Sequence[str] = CANONICAL_19) -> DataFrame:
-    return assembler(features).transform(df)
+    return _apply(assembler(features), df)
 
 
 def train_random_forest(
@@ -42,7 +53,8 @@ def train_random_forest(
         labelCol=TARGET, featuresCol="features", numTrees=trees, maxDepth=depth,
         subsamplingRate=subsampling, seed=seed, maxMemoryInMB=memory_mb,
     )
-    return Pipeline(stages=[assembler(features), forest]).fit(train.select(*features, TARGET))
+    rows = assemble_features(train.select(*features, TARGET), features)
+    return PipelineModel([assembler(features), forest.fit(rows.select("features", TARGET))])
 
 
 def anomaly_columns(scored: DataFrame) -> DataFrame:
@@ -56,9 +68,9 @@ def anomaly_columns(scored: DataFrame) -> DataFrame:
 def score_batch(df: DataFrame, model: Transformer) -> DataFrame:
     """Input columns plus prediction, is_anomaly and anomaly_score. Works alike on a
     table, a single record and a stream."""
-    return (
-        model.transform(df).transform(anomaly_columns).drop("features", "rawPrediction", "probability")
-    )
+    for stage in model.stages if isinstance(model, PipelineModel) else [model]:
+        df = _apply(stage, df)
+    return df.transform(anomaly_columns).drop("features", "rawPrediction", "probability")
 
 
 score_stream = score_batch

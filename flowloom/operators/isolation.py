@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowloom.functions.fields import drop_incomplete
 from flowloom.functions.hashing import HASH_SPACE, hash_rank
 from flowloom.schemas import CANONICAL_19
 
@@ -56,7 +57,9 @@ def tree_samples(
     About 2 x sample candidates per tree leave the scan; the smallest hashes among
     them stay. Where rows are fewer than that, rows serve several trees.
     """
-    rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features]).na.drop()
+    rows = drop_incomplete(
+        df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features])
+    )
     total = max(rows.count(), 1)
     wanted = 2 * sample * trees
     copies = min(trees, math.ceil(wanted / total))
@@ -171,7 +174,7 @@ def score_isolation_forest(
 
     inputs = F.struct(*[F.col(c).cast("double").alias(c) for c in forest.features])
     return (
-        df.na.drop(subset=forest.features)
+        drop_incomplete(df, forest.features)
         .withColumn("anomaly_score", score(inputs))
         .withColumn("is_anomaly", (F.col("anomaly_score") >= threshold).cast("int"))
     )

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from flowloom.functions.fields import number_from_text
+from flowloom.functions.fields import drop_incomplete, number_from_text
 from flowloom.functions.hashing import percent_bucket
 from flowloom.functions.labels import binary_label
 from flowloom.schemas import CANONICAL_19, FEATURE_GROUPS, RAW_41
-from pyspark.sql.types import DoubleType
 
 IDENTIFIERS = ["flow_id", "src_ip", "dst_ip", "src_ip_int", "dst_ip_int", "flow_start_time"]
 # Fixed value: the target column, as models saved by earlier jobs name it.
@@ -23,7 +23,7 @@ def drop_identifiers(flows: DataFrame) -> DataFrame:
 
 
 def drop_any_null(df: DataFrame) -> DataFrame:
-    return df.na.drop()
+    return drop_incomplete(df)
 
 
 def add_target(flows: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def training_set(flows: DataFrame) -> DataFrame:
 def training_set_with_id(flows: DataFrame) -> DataFrame:
     """The same rows with ``flow_id`` in front, for splits and samples by id."""
     checked = [c for c in flows.columns if c not in IDENTIFIERS]
-    return flows.na.drop(subset=checked).select(
+    return drop_incomplete(flows, checked).select(
         "flow_id", *CANONICAL_19, binary_label(F.col("attack_type")).alias(TARGET)
     )
 

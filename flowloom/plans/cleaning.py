@@ -181,7 +181,9 @@ def _group_sql(group: str, names: list[str]) -> str:
 @query(oracle(" UNION ALL ".join(_group_sql(g, n) for g, n in FEATURE_GROUPS.items()), "raw_flows"))
 def feature_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each group's columns summed over all rows, every group from the same scan."""
-    numbers = training_data.raw_features(fx.raw_flows(spark, sf_dir)).na.drop(subset=["PROTOCOL"])
+    numbers = fields.drop_incomplete(
+        training_data.raw_features(fx.raw_flows(spark, sf_dir)), ["PROTOCOL"]
+    )
     sums = numbers.agg(*[
         sum(
             (F.sum(F.col(c).cast("bigint"))

@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowloom.functions.fields import drop_incomplete
 from flowloom.functions.labels import derive_label
 from flowloom.operators import forest, isolation, training_data
 from flowloom.plans import fixtures as fx
@@ -73,7 +74,7 @@ def score_batch_raw41(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide model: the 41 raw measures, labelled by the raw label."""
     label = derive_label(F.col("Label")).alias(training_data.TARGET)
     rows = training_data.raw_features(fx.raw_flows(spark, sf_dir), "event_id", label)
-    train, test = training_data.split_train_test(rows.na.drop(), ["event_id"])
+    train, test = training_data.split_train_test(drop_incomplete(rows), ["event_id"])
     model = forest.train_random_forest(train, RAW_41, trees=20, depth=8)
     scored = forest.score_batch(test, model)
     return scored.select("event_id", "is_anomaly", F.round("anomaly_score", 6).alias("score"))
