@@ -9,7 +9,9 @@ from flowloom.functions import messages as fn
 from flowloom.plans import fixtures as fx
 from flowloom.plans.fixtures import oracle
 from flowloom.plans.registry import query
+from flowloom.plans.stored import flows_table, message_topic, scored_table
 from flowloom.schemas import ALERT, ALERT_COLUMNS, FLOW
+from flowloom.sources.topics import batch_messages
 
 # Messages that are not JSON parse to a row of nulls.
 PARSED_SQL = "SELECT " + ", ".join(
@@ -18,14 +20,18 @@ PARSED_SQL = "SELECT " + ", ".join(
 SENT_SQL = f"SELECT {fx.MESSAGE_LIST} FROM sent"
 
 
+def received_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch_messages(spark, message_topic(spark, sf_dir)).transform(fn.decode_value)
+
+
 @query(oracle("SELECT json FROM messages", "messages"))
 def decode_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fn.decode_value(fx.messages(spark, sf_dir))
+    return received_texts(spark, sf_dir)
 
 
 @query(oracle(PARSED_SQL, "flows"))
 def parse_flow_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.messages(spark, sf_dir).transform(fn.decode_value).transform(fn.parse_flow_json)
+    return received_texts(spark, sf_dir).transform(fn.parse_flow_json)
 
 
 _LEGACY = {
@@ -36,7 +42,7 @@ LEGACY_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _LEGACY.items()) +
 
 
 def legacy_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.flows(spark, sf_dir).selectExpr(*[f"{e} AS {n}" for n, e in _LEGACY.items()])
+    rows = flows_table(spark, sf_dir).selectExpr(*[f"{e} AS {n}" for n, e in _LEGACY.items()])
     return rows.select(F.to_json(F.struct("*")).alias("json"))
 
 
@@ -49,7 +55,7 @@ def parse_legacy_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT json, json <> 'not json' AS readable FROM messages", "messages"
 ))
 def split_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = fn.decode_value(fx.messages(spark, sf_dir))
+    texts = received_texts(spark, sf_dir)
     readable, rejected = fn.split_malformed(texts)
     return readable.withColumn("readable", F.lit(True)).unionByName(
         rejected.withColumn("readable", F.lit(False))
@@ -66,7 +72,7 @@ _ALERT_FIELDS = [c for c in ALERT_COLUMNS if c != "ingestion_time"]
 ))
 def encode_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded, then read back field by field: JSON keeps times to the millisecond."""
-    scored = fx.scored_flows(spark, sf_dir).withColumnRenamed("flow_start_time", "ingestion_time")
+    scored = scored_table(spark, sf_dir).withColumnRenamed("flow_start_time", "ingestion_time")
     values = fn.encode_alert(scored)
     return values.select(F.from_json("value", ALERT).alias("alert")).select("alert.*")
 
@@ -78,7 +84,7 @@ _ROW_FIELDS = [c for c in FLOW.names if c != "flow_start_time"]
     f"SELECT {', '.join(_ROW_FIELDS)}, 'flows.csv' AS source_file FROM flows", "flows"
 ))
 def encode_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.flows(spark, sf_dir).drop("flow_start_time")
+    rows = flows_table(spark, sf_dir).select(*_ROW_FIELDS)
     values = fn.encode_row(rows, F.lit("flows.csv"))
     schema = rows.schema.add("source_file", "string")
     return values.select(F.from_json("value", schema).alias("row")).select("row.*")

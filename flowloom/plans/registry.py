@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from flowloom.session import tune
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -26,7 +28,7 @@ def query(sql: str | None = None) -> Callable[[Run], Run]:
 
     def register(run: Run) -> Run:
         def comparable(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return without_zone(run(spark, sf_dir))
+            return without_zone(run(tune(spark), sf_dir))
 
         QUERIES[run.__name__] = Query(comparable, sql)
         return run

@@ -13,6 +13,7 @@ from flowloom.operators import packets as packet_ops
 from flowloom.operators import upsert
 from flowloom.plans import fixtures as fx
 from flowloom.plans.fixtures import oracle
+from flowloom.plans.messages import received_texts
 from flowloom.plans.registry import query
 from flowloom.plans.stored import flows_table, scored_table
 from flowloom.schemas import FLOW_COLUMNS, MEASURES, RAW_COLUMNS
@@ -36,7 +37,7 @@ _SOURCE = 192 * 16777216 + 168 * 65536 + 8 * 256 + 9
 
 @query(oracle(f"{_SCORED} WHERE prediction = 1", "scored"))
 def filter_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.filter_alerts(fx.scored_flows(spark, sf_dir))
+    return lookups.filter_alerts(scored_table(spark, sf_dir)).select(*_SCORED_COLUMNS)
 
 
 @query(oracle(f"{_FLOWS} WHERE label = 1", "flows"))
@@ -120,7 +121,9 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flows",
 ))
 def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.class_distribution(training_data.training_set(fx.flows(spark, sf_dir)))
+    return reports.class_distribution(
+        training_data.training_set(flows_table(spark, sf_dir).drop("flow_date"))
+    )
 
 
 @query(oracle(
@@ -129,7 +132,7 @@ def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flows",
 ))
 def top_attack_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_attack_types(fx.flows(spark, sf_dir))
+    return reports.top_attack_types(flows_table(spark, sf_dir))
 
 
 @query(oracle(
@@ -141,7 +144,7 @@ def top_attack_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flows",
 ))
 def attack_breakdown_with_others(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.attack_breakdown_with_others(fx.flows(spark, sf_dir), 2)
+    return reports.attack_breakdown_with_others(flows_table(spark, sf_dir), 2)
 
 
 @query(oracle(
@@ -152,7 +155,7 @@ def attack_breakdown_with_others(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flows",
 ))
 def volume_by_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.volume_by_protocol(fx.flows(spark, sf_dir))
+    return reports.volume_by_protocol(flows_table(spark, sf_dir))
 
 
 @query(oracle(
@@ -161,7 +164,7 @@ def volume_by_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
     "scored",
 ))
 def top_suspicious_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_suspicious_ips(fx.scored_flows(spark, sf_dir))
+    return reports.top_suspicious_ips(scored_table(spark, sf_dir))
 
 
 _AUTH = (
@@ -199,7 +202,7 @@ def auth_failure_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     "scored",
 ))
 def alert_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.alert_trend(fx.scored_flows(spark, sf_dir))
+    return reports.alert_trend(scored_table(spark, sf_dir))
 
 
 @query(oracle(
@@ -216,7 +219,7 @@ def dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(oracle(f"{_FLOWS} ORDER BY flow_id LIMIT 5", "flows"))
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.preview(fx.flows(spark, sf_dir), ["flow_id"])
+    return reports.preview(flows_table(spark, sf_dir).select(*FLOW_COLUMNS), ["flow_id"])
 
 
 @query(oracle(_FLOWS, "flows"))
@@ -339,9 +342,8 @@ def enrich_flows_with_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flows",
 ))
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert.keyed_upsert(
-        fx.flows(spark, sf_dir), ["src_ip_int"], ["flow_start_time", "flow_id"]
-    )
+    flows = flows_table(spark, sf_dir).select(*FLOW_COLUMNS)
+    return upsert.keyed_upsert(flows, ["src_ip_int"], ["flow_start_time", "flow_id"])
 
 
 _RANK = "cast('0x' || substr(md5(cast(flow_id AS string) || '-42'), 1, 15) AS bigint)"
@@ -349,13 +351,12 @@ _RANK = "cast('0x' || substr(md5(cast(flow_id AS string) || '-42'), 1, 15) AS bi
 
 @query(oracle(f"{_FLOWS} ORDER BY {_RANK}, flow_id LIMIT 4000", "flows"))
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.hash_sample(fx.flows(spark, sf_dir), 4000)
+    return sampling.hash_sample(flows_table(spark, sf_dir).select(*FLOW_COLUMNS), 4000)
 
 
 @query(oracle("SELECT json FROM messages ORDER BY json LIMIT 1000", "messages"))
 def limit_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = fx.messages(spark, sf_dir).select(F.col("value").cast("string").alias("json"))
-    return sampling.limit_batch(texts, 1000, ["json"])
+    return sampling.limit_batch(received_texts(spark, sf_dir), 1000, ["json"])
 
 
 @query(oracle(
@@ -364,7 +365,7 @@ def limit_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flows",
 ))
 def split_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.flows(spark, sf_dir).select("flow_id")
+    rows = flows_table(spark, sf_dir).select("flow_id")
     train, test = training_data.split_train_test(rows)
     return train.withColumn("side", F.lit("train")).unionByName(
         test.withColumn("side", F.lit("test"))
@@ -376,7 +377,7 @@ def split_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     "scored",
 ))
 def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.accuracy(fx.scored_flows(spark, sf_dir), "label")
+    return metrics.accuracy(scored_table(spark, sf_dir), "label")
 
 
 @query(oracle(
@@ -387,5 +388,5 @@ def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     "scored",
 ))
 def auc_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    area = metrics.auc_roc(fx.scored_flows(spark, sf_dir), "label")
+    area = metrics.auc_roc(scored_table(spark, sf_dir), "label")
     return area.select(F.round("auc", 9).alias("auc"))

@@ -12,7 +12,7 @@ from flowloom.plans.cleaning import EXPORT_SQL, TRAINING_SQL
 from flowloom.plans.fixtures import oracle
 from flowloom.plans.messages import PARSED_SQL
 from flowloom.plans.registry import query
-from flowloom.plans.stored import flows_table, message_topic
+from flowloom.plans.stored import flows_table, message_topic, scored_table
 from flowloom.schemas import FLOW, FLOW_COLUMNS, LEGACY_FLOW, MESSAGE, RAW_COLUMNS
 from flowloom.session import run_dir
 from flowloom.sources import csvs, documents, tables, topics
@@ -159,7 +159,7 @@ def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(oracle(f"SELECT {fx.MESSAGE_LIST} FROM flows", "flows"))
 def publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = topics.Topic("published", run_dir(spark, "topics"), "parquet")
-    rows = fx.flows(spark, sf_dir).select(*MESSAGE.names)
+    rows = flows_table(spark, sf_dir).select(*MESSAGE.names)
     topics.publish_messages(fn.encode_row(rows), topic)
     received = topics.batch_messages(spark, topic)
     return received.transform(fn.decode_value).transform(fn.parse_flow_json)
@@ -171,7 +171,7 @@ _DOCUMENT = [c for c in FLOW_COLUMNS if c != "flow_start_time"]
 @query(oracle(f"SELECT {', '.join(_DOCUMENT)} FROM flows", "flows"))
 def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "documents")
-    rows = fx.flows(spark, sf_dir).select(*_DOCUMENT)
+    rows = flows_table(spark, sf_dir).select(*_DOCUMENT)
     documents.index_documents(rows, path)
     return spark.read.schema(rows.schema).json(path)
 
@@ -186,7 +186,7 @@ LEGACY_ROWS_SQL = (
 @query(oracle(LEGACY_ROWS_SQL.format(protocol="protocol", source="flows"), "flows"))
 def legacy_flow_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "legacy-flows")
-    tables.legacy_flow_insert(normalize.legacy_from_canonical(fx.flows(spark, sf_dir)), path)
+    tables.legacy_flow_insert(normalize.legacy_from_canonical(flows_table(spark, sf_dir)), path)
     return spark.read.schema(LEGACY_FLOW).parquet(path).drop("id")
 
 
@@ -198,7 +198,7 @@ def legacy_flow_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 ))
 def export_predictions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "report-csv")
-    csvs.export_predictions_csv(fx.scored_flows(spark, sf_dir), path, "label")
+    csvs.export_predictions_csv(scored_table(spark, sf_dir), path, "label")
     schema = "Label_Binaire int, prediction double, Label string, `Prédiction` string"
     return spark.read.schema(schema).option("header", True).csv(path)
 
