@@ -49,10 +49,10 @@ def salted_left_join(
     def mark(df: DataFrame) -> DataFrame:
         return df.join(hot, _same(keys, "_hot_"), "left").select(*df.columns, "_hot")
 
-    spread = mark(left).withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(0),
-    ).drop("_hot")
+    # The salt repeats when a task is retried, and the partition number in it spreads
+    # even identical rows.
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *left.columns), F.lit(salts))
+    spread = mark(left).withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
     zero, last = F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")
     copies = F.when(F.col("_hot"), F.sequence(zero, last)).otherwise(F.array(zero))
     copied = mark(right).withColumn("_salt", F.explode(copies)).drop("_hot")

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.functions.labels import severity
 
 
+# Day partition that goes with each time column.
+DAY_COLUMNS = {"flow_start_time": "flow_date", "ingestion_time": "ingestion_date"}
+
+
 def filter_alerts(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("prediction") == 1)
 
@@ -23,13 +27,22 @@ def flows_by_attack_type(flows: DataFrame, attack_type: str) -> DataFrame:
     return flows.filter(F.col("attack_type") == attack_type)
 
 
-def _in_period(time: Column, since: datetime | None, until: datetime | None) -> Column:
-    inside = F.lit(True)
+def _in_period(
+    df: DataFrame, time: str, since: datetime | None, until: datetime | None
+) -> DataFrame:
+    """Rows in [since, until). Where the table is partitioned by day, days out of reach
+    are not read; a day's margin allows for writers in another time zone."""
+    day = DAY_COLUMNS.get(time)
+    by_day = day in df.columns
     if since is not None:
-        inside = inside & (time >= F.lit(since))
+        df = df.filter(F.col(time) >= F.lit(since))
+        if by_day:
+            df = df.filter(F.col(day) >= F.lit(since.date() - timedelta(days=1)))
     if until is not None:
-        inside = inside & (time < F.lit(until))
-    return inside
+        df = df.filter(F.col(time) < F.lit(until))
+        if by_day:
+            df = df.filter(F.col(day) <= F.lit(until.date() + timedelta(days=1)))
+    return df
 
 
 def _latest(
@@ -37,11 +50,7 @@ def _latest(
     since: datetime | None, until: datetime | None, n: int | None,
 ) -> DataFrame:
     order = [F.col(time).desc(), *([F.col(tie)] if tie else [])]
-    rows = (
-        df.filter(F.col("src_ip_int") == src)
-        .filter(_in_period(F.col(time), since, until))
-        .orderBy(*order)
-    )
+    rows = _in_period(df.filter(F.col("src_ip_int") == src), time, since, until).orderBy(*order)
     return rows if n is None else rows.limit(n)
 
 
@@ -74,7 +83,7 @@ def dashboard_filter(
 
     Severity is the band of ``anomaly_score``: low < 0.5 <= medium < 0.8 <= high.
     """
-    rows = scored.filter(_in_period(F.col(time), since, until))
+    rows = _in_period(scored, time, since, until)
     if sources is not None:
         rows = rows.filter(F.col("src_ip").isin(*sources))
     rows = rows.withColumn("severity", severity(F.col("anomaly_score")))

@@ -69,8 +69,12 @@ def attack_breakdown_with_others(flows: DataFrame, n: int = 9) -> DataFrame:
     """The ``n`` most frequent attacks, the remaining attacks as one ``others`` row,
     and each one's percent of all rows. Totals come from scalar subqueries over the
     same counts, so no window gathers the attack types in one task."""
-    counts = attack_counts(flows)
-    attacks = counts.filter(F.col("attack_type") != BENIGN)
+    # The flag is an aggregate, so filtering on it does not move below the counting
+    # and every branch shares the one scan.
+    counts = flows.groupBy("attack_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_and(F.col("attack_type") != BENIGN).alias("attack")
+    )
+    attacks = counts.filter("attack").drop("attack")
     top = attacks.orderBy(F.desc("rows"), "attack_type").limit(n)
     all_rows = counts.agg(F.sum("rows")).scalar()
     top_rows = top.agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar()
