@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Model, PipelineModel, Transformer
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from flowloom.functions.fields import drop_incomplete
 from flowloom.operators.metrics import accuracy, auc_roc
 from flowloom.operators.training_data import TARGET
 from flowloom.schemas import CANONICAL_19
+from flowloom.session import run_dir
 
 # The detector's hyperparameters.
 TREES, DEPTH, SUBSAMPLING, SEED = 80, 12, 0.8, 42
@@ -54,7 +55,12 @@ def train_random_forest(
         subsamplingRate=subsampling, seed=seed, maxMemoryInMB=memory_mb,
     )
     rows = assemble_features(train.select(*features, TARGET), features)
-    return PipelineModel([assembler(features), forest.fit(rows.select("features", TARGET))])
+    fitted = forest.fit(rows.select("features", TARGET))
+    # A fresh model drags its training summary, session and data included, into every
+    # scoring task; its stored copy is the trees alone.
+    path = run_dir(train.sparkSession, "fitted-forest")
+    fitted.write().save(path)
+    return PipelineModel([assembler(features), RandomForestClassificationModel.load(path)])
 
 
 def anomaly_columns(scored: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ def auc_roc(
         F.count_if(F.col("label") == 1).cast("double").alias("pos"),
         F.count_if(F.col("label") != 1).cast("double").alias("neg"),
     )
-    splits = [float("-inf"), *cuts, float("inf")]
+    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(by_score)
     within = Window.partitionBy("range").orderBy("score")
     lower = F.sum("neg").over(within) - F.col("neg")
