@@ -49,7 +49,11 @@ def first_present(columns: Sequence[str], field: str) -> Column:
 def normalize_flow_export(export: DataFrame) -> DataFrame:
     """Any known export header to the 24 message fields; what the export lacks
     gets the message default."""
-    given = {field: first_present(export.columns, field) for field in ALIASES}
+    # Resolved in a projection of their own, as the conversions use them repeatedly.
+    resolved = export.select(*[
+        first_present(export.columns, field).alias(f"_{field}") for field in ALIASES
+    ])
+    given = {field: F.col(f"_{field}") for field in ALIASES}
     text_ip = {side: F.coalesce(given[side], F.lit("")) for side in ("src_ip", "dst_ip")}
     known = {
         **text_ip,
@@ -67,7 +71,7 @@ def normalize_flow_export(export: DataFrame) -> DataFrame:
         "tcp_flags": decode_tcp_flags(given["flags"]),
         "attack_type": F.lit(BENIGN),
     }
-    return export.select(*[
+    return resolved.select(*[
         known.get(f.name, F.lit(0)).try_cast(f.dataType).alias(f.name) for f in MESSAGE.fields
     ])
 

@@ -217,10 +217,13 @@ def scored_flows(spark: SparkSession, sf_dir: str, table: str = "events") -> Dat
     return fixed_scorer(flows(spark, sf_dir, table))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def message_values(flow_rows: DataFrame) -> DataFrame:
     """One binary ``value`` per flow."""
-    text = F.expr(MESSAGE_EXPRESSION.replace("\\", "\\\\"))
-    return flows(spark, sf_dir).select(text.cast("binary").alias("value"))
+    return flow_rows.select(F.expr(MESSAGE_EXPRESSION).cast("binary").alias("value"))
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return message_values(flows(spark, sf_dir))
 
 
 def flow_export(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,7 +122,7 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 ))
 def class_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.class_distribution(
-        training_data.training_set(flows_table(spark, sf_dir).drop("flow_date"))
+        training_data.training_set(flows_table(spark, sf_dir).select(*FLOW_COLUMNS))
     )
 
 

@@ -46,7 +46,8 @@ def message_topic(spark: SparkSession, sf_dir: str) -> Topic:
     """All flows as messages in a folder topic."""
 
     def write(path: str) -> None:
-        publish_messages(fx.messages(spark, sf_dir), Topic("flow-messages", path, "parquet"))
+        values = fx.message_values(flows_table(spark, sf_dir))
+        publish_messages(values, Topic("flow-messages", path, "parquet"))
 
     return Topic("flow-messages", _once(spark, sf_dir, "topic", write), "parquet")
 

@@ -12,7 +12,7 @@ from flowloom.plans import fixtures as fx
 from flowloom.plans.fixtures import oracle
 from flowloom.plans.messages import LEGACY_SQL, PARSED_SQL, SENT_SQL, legacy_texts
 from flowloom.plans.registry import query
-from flowloom.plans.stored import detector, message_topic, scored_table
+from flowloom.plans.stored import detector, flows_table, message_topic, scored_table
 from flowloom.plans.tables import LEGACY_ROWS_SQL, write_raw_csv
 from flowloom.schemas import ALERT, FLOW, LEGACY_FLOW, MESSAGE, RAW, RAW_COLUMNS
 from flowloom.session import run_dir
@@ -155,7 +155,7 @@ def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = topics.Topic("resumed", base, "parquet")
     outputs = outputs_in(base)
     for _ in range(2):
-        topics.publish_messages(fx.messages(spark, sf_dir), topic)
+        topics.publish_messages(fx.message_values(flows_table(spark, sf_dir)), topic)
         realtime.realtime_scoring(
             topics.stream_messages(spark, topic), fx.fixed_scorer, outputs,
             f"{base}/checkpoint", once=True,

@@ -90,8 +90,11 @@ def write_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, path, schema=FLOW)
 
 
-@query(oracle(f"SELECT {fx.FLOW_LIST}, cast(flow_start_time AS date) AS flow_date FROM flows",
-              "flows"))
+@query(oracle(
+    f"SELECT {fx.FLOW_LIST}, cast(src_ip_int % 64 AS integer) AS src_bucket, "
+    "cast(flow_start_time AS date) AS flow_date FROM flows",
+    "flows",
+))
 def table_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "clustered")
     tables.write_clustered(fx.flows(spark, sf_dir), path)

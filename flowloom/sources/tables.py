@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StructType
 
 from flowloom.operators.cleaning import assign_uuid
 from flowloom.operators.upsert import keyed_upsert, merge_latest
-from flowloom.schemas import FLOW, LEGACY_FLOW, PREDICTION
+from flowloom.schemas import FLOW, LEGACY_FLOW, PREDICTION, source_bucket
 
 STORED_PREDICTION = StructType([*PREDICTION.fields]).add("flow_id", LongType(), True)
 
@@ -72,23 +72,24 @@ def write_flows(
     flows.transform(clustered_order).write.format(fmt).options(**options).mode("append").save(path)
 
 
-def write_clustered(
-    flows: DataFrame, path: str, mode: str = "overwrite", partitions: int | None = None
-) -> None:
-    """Day partitions whose files each hold one range of (source, time).
+def write_clustered(flows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Day partitions with each source's flows together, newest first.
 
-    Files carry tight source bounds for the scan to prune by. The range runs on
-    through time, so a source with very many flows fills several files instead of
-    one task.
+    One shuffle and no sampling pass, so the input is read once. Files hold few
+    ``src_bucket`` values, sorted, so a lookup's bucket and address prune files and
+    pages. The rebalance splits a bucket grown too big, be it by one source, over
+    several tasks and files, and packs small ones together.
     """
-    dated = flows.withColumn("flow_date", F.to_date("flow_start_time"))
-    order = ["flow_date", "src_ip_int", F.desc("flow_start_time"), "flow_id"]
-    ranged = (
-        dated.repartitionByRange(partitions, *order)
-        if partitions
-        else dated.repartitionByRange(*order)
+    placed = flows.withColumns({
+        "flow_date": F.to_date("flow_start_time"),
+        "src_bucket": source_bucket(F.col("src_ip_int")),
+    })
+    order = ["flow_date", "src_bucket", "src_ip_int", F.desc("flow_start_time"), "flow_id"]
+    (
+        placed.hint("rebalance", "flow_date", "src_bucket")
+        .sortWithinPartitions(*order)
+        .write.partitionBy("flow_date").mode(mode).parquet(path)
     )
-    ranged.sortWithinPartitions(*order).write.partitionBy("flow_date").mode(mode).parquet(path)
 
 
 def upsert_table(

@@ -13,6 +13,8 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "6g",
+            # Plans are read by tests; do not cut their filters short.
+            "spark.sql.maxMetadataStringLength": "2000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
