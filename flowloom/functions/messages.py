@@ -48,11 +48,20 @@ def parse_legacy_json(texts: DataFrame, column: str = "json") -> DataFrame:
     return parsed.select("_parsed.*", *others)
 
 
+def flag_readable(texts: DataFrame, column: str = "json") -> DataFrame:
+    """Texts with a true or false ``readable`` column."""
+    return texts.withColumn("readable", is_json_object(F.col(column)))
+
+
 def split_malformed(texts: DataFrame, column: str = "json") -> tuple[DataFrame, DataFrame]:
     """(readable, rejected) documents. A readable document is a JSON object; a bad
-    field inside one does not reject it."""
-    readable = F.coalesce(is_json_object(F.col(column)), F.lit(False))
-    return texts.filter(readable), texts.filter(~readable)
+    field inside one does not reject it. Texts already flagged are not read again."""
+    flagged = texts if "readable" in texts.columns else flag_readable(texts, column)
+    keep = [c for c in texts.columns if c != "readable"]
+    return (
+        flagged.filter(F.col("readable")).select(*keep),
+        flagged.filter(~F.col("readable")).select(*keep),
+    )
 
 
 def encode_alert(scored: DataFrame, *keep: str) -> DataFrame:

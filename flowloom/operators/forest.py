@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from flowloom.functions.fields import drop_incomplete
 from flowloom.operators.metrics import accuracy, auc_roc
 from flowloom.operators.training_data import TARGET
-from flowloom.schemas import CANONICAL_19
+from flowloom.schemas import CANONICAL_19, FEATURE_GROUPS, MEASURES
 from flowloom.session import run_dir
 
 # The detector's hyperparameters.
@@ -88,6 +88,17 @@ def feature_importances(model: PipelineModel) -> list[tuple[str, float]]:
     return [(name, float(value)) for name, value in zip(names, values, strict=True)]
 
 
+def group_importances(model: PipelineModel) -> list[tuple[str, float]]:
+    """Importance per feature group; features outside every group are left out."""
+    raw = {name: source for name, (source, _) in MEASURES.items()}
+    weights: dict[str, float] = {}
+    for name, value in feature_importances(model):
+        for group, members in FEATURE_GROUPS.items():
+            if raw.get(name, name) in members:
+                weights[group] = weights.get(group, 0.0) + value
+    return sorted(weights.items(), key=lambda item: (-item[1], item[0]))
+
+
 def _forest(model: PipelineModel) -> Model:
     return model.stages[-1]
 
@@ -101,7 +112,8 @@ def top_feature_importances(df: DataFrame, model: PipelineModel, n: int = 10) ->
 
 
 def evaluation_report(test: DataFrame, model: PipelineModel, n: int = 10) -> DataFrame:
-    """Accuracy, area under ROC and the top importances as (kind, name, value) rows."""
+    """Accuracy, area under ROC, the top importances and those of feature groups, as
+    (kind, name, value) rows."""
     scored = score_batch(test, model).select(TARGET, "prediction", "anomaly_score").persist()
     try:
         metrics = accuracy(scored).select(
@@ -117,4 +129,5 @@ def evaluation_report(test: DataFrame, model: PipelineModel, n: int = 10) -> Dat
     values += [("importance", f, v) for f, v in sorted(
         feature_importances(model), key=lambda item: (-item[1], item[0])
     )[:n]]
+    values += [("group", group, value) for group, value in group_importances(model)]
     return test.sparkSession.createDataFrame(values, "kind string, name string, value double")

@@ -80,7 +80,12 @@ def score_batch_raw41(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("event_id", "is_anomaly", F.round("anomaly_score", 6).alias("score"))
 
 
-@query()
+_ALIKE_SQL = oracle(
+    f"SELECT true AS alike, count(*) AS rows FROM flows WHERE {_COMPLETE}", "flows"
+)
+
+
+@query(_ALIKE_SQL)
 def save_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows by whether the saved copy of the model scores them alike."""
     model, path = detector(spark, sf_dir), run_dir(spark, "model")
@@ -88,7 +93,7 @@ def save_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _agreement(flows_table(spark, sf_dir), model, models.load_model(path))
 
 
-@query()
+@query(_ALIKE_SQL)
 def load_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = models.load_model(detector_path(spark, sf_dir))
     return _agreement(flows_table(spark, sf_dir), detector(spark, sf_dir), loaded)

@@ -30,7 +30,8 @@ def create_tables(spark: SparkSession, database: str, location: str | None = Non
     ``flows`` and ``predictions`` are partitioned by day, the compaction window of
     their time-ordered rows.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     names = []
     for name, (schema, day) in TABLES.items():
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in schema.fields]
@@ -96,6 +97,7 @@ def upsert_table(
     incoming: DataFrame, path: str, keys: Sequence[str], newest_by: Sequence[str], day: str
 ) -> None:
     """Write ``incoming`` over a day-partitioned Parquet table, last write per key wins.
+    The driver sees one value per day touched.
 
     ``day`` must be a function of the keys, so only the days that ``incoming`` touches
     are read and rewritten. Running it again changes nothing. ``incoming`` is read

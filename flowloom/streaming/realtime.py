@@ -20,6 +20,7 @@ from flowloom.functions.labels import binary_label
 from flowloom.functions.messages import (
     decode_value,
     encode_alert,
+    flag_readable,
     parse_flow_json,
     split_malformed,
 )
@@ -140,7 +141,7 @@ def score_messages(
     enrich: Transform | None = None,
 ) -> None:
     """One batch of (json, ingestion_time): rejects aside, the rest to every output."""
-    texts = texts.persist()
+    texts = flag_readable(texts).persist()
     try:
         readable, rejected = split_malformed(texts)
         _replace_batch(rejected, outputs.rejects, batch_id, outputs.fmt)
