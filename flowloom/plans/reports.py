@@ -304,17 +304,17 @@ def assemble_flows_one_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Extractor records: one per packet seen of an even-numbered client, so flows have
-# several candidates or none.
+# Extractor records: one per packet of the TCP conversations, so flows have several
+# candidates or none.
 _FEATURE_ROWS = (
     "SELECT src_ip, dst_ip, src_port, dst_port, protocol, ts AS flow_start_time, "
-    "pkt_len * 2 AS idle_mean, tcp_flags % 4 AS syn_count FROM packets WHERE tcp_flags % 4 <> 3"
+    "pkt_len * 2 AS idle_mean, tcp_flags & 2 AS syn_seen FROM packets WHERE protocol = 6"
 )
 
 
 @query(oracle(
     "SELECT p.ts AS flow_start_time, p.src_ip, p.dst_ip, p.src_port, p.dst_port, p.protocol, "
-    "p.pkt_len, f.idle_mean, f.syn_count FROM packets p LEFT JOIN ("
+    "p.pkt_len, f.idle_mean, f.syn_seen FROM packets p LEFT JOIN ("
     "SELECT *, time_bucket(interval '6 hours', flow_start_time) AS slice, row_number() OVER ("
     "PARTITION BY src_ip, dst_ip, src_port, dst_port, protocol, "
     "time_bucket(interval '6 hours', flow_start_time) ORDER BY flow_start_time DESC) AS rank "
@@ -326,9 +326,9 @@ _FEATURE_ROWS = (
 def enrich_flows_with_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     packets = fx.packets(spark, sf_dir)
     flows = packets.withColumnRenamed("ts", "flow_start_time").drop("tcp_flags")
-    features = packets.filter("tcp_flags % 4 <> 3").selectExpr(
+    features = packets.filter("protocol = 6").selectExpr(
         "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "ts AS flow_start_time",
-        "pkt_len * 2 AS idle_mean", "tcp_flags % 4 AS syn_count",
+        "pkt_len * 2 AS idle_mean", "tcp_flags & 2 AS syn_seen",
     )
     return enrichment.enrich_flows_with_features(flows, features, slice="6 hours")
 

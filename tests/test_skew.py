@@ -6,7 +6,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowloom.operators import enrichment, isolation, metrics, packets, sampling, upsert
-from flowloom.operators.lookups import latest_flows_for_source
+from flowloom.operators.lookups import (
+    flows_by_attack_type,
+    flows_by_label,
+    latest_flows_for_source,
+)
+from flowloom.operators.reports import (
+    attack_breakdown_with_others,
+    top_attack_types,
+    volume_by_protocol,
+)
+from flowloom.plans.stored import flows_table
 from flowloom.session import run_dir
 from flowloom.sources.tables import upsert_table, write_clustered
 
@@ -195,3 +205,23 @@ def test_tree_samples_are_bounded(flows):
     few = rows.limit(100)
     per_tree = isolation.tree_samples(few, ["x"], 7, 64, ["flow_id"], 1).groupBy("tree").count()
     assert [r["count"] for r in per_tree.collect()] == [64] * 7
+
+
+def test_lookups_and_reports_prune_the_scan(spark, sf_dir):
+    stored = flows_table(spark, sf_dir)
+    for rows, pushed in (
+        (flows_by_label(stored, 1), "EqualTo(label,1)"),
+        (flows_by_attack_type(stored, "SSH-Bruteforce"), "EqualTo(attack_type,SSH-Bruteforce)"),
+    ):
+        assert pushed in final_plan(rows)
+    plan = final_plan(volume_by_protocol(stored))
+    assert "ReadSchema: struct<protocol:int,in_bytes:bigint,out_bytes:bigint>" in plan
+    plan = final_plan(top_attack_types(stored))
+    assert "ReadSchema: struct<attack_type:string>" in plan and "TakeOrderedAndProject" in plan
+
+
+def test_breakdown_scans_once(spark, sf_dir):
+    out = attack_breakdown_with_others(flows_table(spark, sf_dir), 2)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1
