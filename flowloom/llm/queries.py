@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-from flowloom.llm import packing, quality_rules, rank_array_bpe, token_files
+from flowloom.llm import (
+    packing,
+    permutation_index,
+    quality_rules,
+    rank_array_bpe,
+    text_density,
+    token_files,
+    toxicity,
+)
 from flowloom.plans.registry import Query
 
 
 def llm_catalog() -> dict[str, Query]:
     return {
         "op1_token_files": Query(token_files.op1_token_files, None),
+        "op2_toxicity_grammar": Query(toxicity.op2_toxicity_grammar, None),
+        "op3_text_density": Query(text_density.op3_text_density, None),
         "op4_rank_array_bpe": Query(rank_array_bpe.op4_rank_array_bpe, None),
         "op7_cost_balanced_packing": Query(packing.op7_cost_balanced_packing, None),
         "op8_quality_rules": Query(quality_rules.op8_quality_rules, quality_rules.OP8_SQL),
+        "op10_permutation_index": Query(permutation_index.op10_permutation_index, None),
     }
