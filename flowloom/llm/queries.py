@@ -7,6 +7,7 @@ from flowloom.llm import (
     permutation_index,
     quality_rules,
     rank_array_bpe,
+    resampling,
     text_density,
     token_files,
     toxicity,
@@ -20,6 +21,7 @@ def llm_catalog() -> dict[str, Query]:
         "op2_toxicity_grammar": Query(toxicity.op2_toxicity_grammar, None),
         "op3_text_density": Query(text_density.op3_text_density, None),
         "op4_rank_array_bpe": Query(rank_array_bpe.op4_rank_array_bpe, None),
+        "op6_importance_resampling": Query(resampling.op6_importance_resampling, None),
         "op7_cost_balanced_packing": Query(packing.op7_cost_balanced_packing, None),
         "op8_quality_rules": Query(quality_rules.op8_quality_rules, quality_rules.OP8_SQL),
         "op10_permutation_index": Query(permutation_index.op10_permutation_index, None),
