@@ -1,8 +1,64 @@
-"""Corpus pipeline; its stages follow."""
+"""From raw documents to packed token sequences.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read
+again as the next stage's docs. All but the last keep the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from flowloom.llm import near_dedup, packing, resampling, toxicity
+from flowloom.llm.texts import table
+from flowloom.session import run_dir
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling keeps.
+
+    Every row is judged by its own text; rows without words go. Repeated rows share a verdict,
+    and rows with a null id are sampled with one common noise. An empty table stays empty, and
+    without labels every text with words stays.
+    """
+    model = resampling.fitted(spark, docs, table(spark, sf_dir, "labels"))
+    return resampling.keep(docs, model)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar does not predict as toxic; null texts stay."""
+    grammar = toxicity.fitted(spark, docs, table(spark, sf_dir, "labels"))
+    return toxicity.keep(docs, grammar)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, that of the smallest id."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens, with their ids."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("toxicity", toxicity_filter),
+    ("near_dedup", near_dedup_stage),
+    ("packing", packing_stage),
+]
+
+#: Fitted models, hashing and packing have no SQL form; tests/llm holds run() against the
+#: stages applied one by one in plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each on what the one before it wrote."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            path = run_dir(spark, f"pipeline-{name}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs

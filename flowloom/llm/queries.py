@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flowloom.llm import (
+    near_dedup,
     packing,
     permutation_index,
     quality_rules,
@@ -24,5 +25,6 @@ def llm_catalog() -> dict[str, Query]:
         "op6_importance_resampling": Query(resampling.op6_importance_resampling, None),
         "op7_cost_balanced_packing": Query(packing.op7_cost_balanced_packing, None),
         "op8_quality_rules": Query(quality_rules.op8_quality_rules, quality_rules.OP8_SQL),
+        "op9_prob_min_hash": Query(near_dedup.op9_prob_min_hash, None),
         "op10_permutation_index": Query(permutation_index.op10_permutation_index, None),
     }

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.texts import fold, table, text_list
+from flowloom.llm.texts import fold, put_back, set_aside, table, text_list
 from flowloom.llm.toxicity import training_sample
 from flowloom.session import run_dir
 
@@ -236,7 +236,9 @@ def resample(weighed: DataFrame, path: str, k: int | None = None) -> DataFrame:
     never kept. Rows whose keys tie with the k-th are kept together, so equal rows share a fate.
     """
     spark = weighed.sparkSession
-    weighed.withColumn("key", F.col("log_weight") + gumbel("doc_id")).write.parquet(path)
+    weighed.withColumn("key", F.col("log_weight") + gumbel("doc_id")).write.option(
+        "compression", "zstd"
+    ).parquet(path)
     stored = spark.read.parquet(path)
     finite = stored.where(F.col("log_weight") > -math.inf)
     total, positive = finite.agg(
@@ -249,6 +251,14 @@ def resample(weighed: DataFrame, path: str, k: int | None = None) -> DataFrame:
     )
 
 
+def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Resampler:
+    """The models of docs and of labelled good rows outside the held-out fold."""
+    sample = training_sample(docs, labels, fold("doc_id", 3) != 1, "quality", TRAINING_ROWS)
+    path = run_dir(spark, "quality-sample")
+    sample.write.parquet(path)
+    return fit(docs, spark.read.parquet(path))
+
+
 def quality(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """doc_id, log_weight, key and kept of every document.
 
@@ -258,13 +268,16 @@ def quality(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFra
     An empty table gives no rows; without labels every text with words is kept. Other columns
     are ignored. Whole texts count, whatever their length.
     """
-    spark = docs.sparkSession
-    sample = training_sample(docs, labels, fold("doc_id", 3) != 1, "quality", TRAINING_ROWS)
-    path = run_dir(spark, "quality-sample")
-    sample.write.parquet(path)
-    model = fit(docs, spark.read.parquet(path))
+    model = fitted(docs.sparkSession, docs, labels)
     weighed = weigh(docs.select("doc_id", "text"), model).drop("text")
-    return resample(weighed, run_dir(spark, "quality-weights"), k)
+    return resample(weighed, run_dir(docs.sparkSession, "quality-weights"), k)
+
+
+def keep(docs: DataFrame, model: Resampler) -> DataFrame:
+    """The rows of docs that are sampled, with all their columns and no others."""
+    weighed = weigh(set_aside(docs), model)
+    stored = resample(weighed, run_dir(docs.sparkSession, "quality-weights"))
+    return put_back(stored.where("kept"), docs.columns)
 
 
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

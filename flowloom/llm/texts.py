@@ -22,3 +22,16 @@ def fold(key: str, folds: int) -> Column:
 def text_list(batch: pa.RecordBatch, name: str) -> list[str]:
     """A text column of an Arrow batch; null reads as empty."""
     return [text or "" for text in batch.column(name).to_pylist()]
+
+
+def set_aside(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the other columns as the struct rest, out of reach of added names."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*others, F.lit(0).alias("flowloom_pad"))
+    return docs.select("doc_id", "text", rest.alias("rest"))
+
+
+def put_back(df: DataFrame, names: list[str], *more: str) -> DataFrame:
+    """The columns that set_aside() had, in their order, and more."""
+    own = ("doc_id", "text")
+    return df.select(*(F.col(n) if n in own else F.col("rest")[n].alias(n) for n in names), *more)

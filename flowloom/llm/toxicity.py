@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.texts import fold, table, text_list
+from flowloom.llm.texts import fold, put_back, set_aside, table, text_list
 from flowloom.session import run_dir
 
 #: Labelled rows that the grammar is fitted on, at most about so many (picked by hash of the id).
@@ -400,6 +400,11 @@ def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Grammar:
     return fit(spark.read.parquet(path))
 
 
+def keep(docs: DataFrame, grammar: Grammar) -> DataFrame:
+    """The rows of docs that are not predicted as toxic, with all their columns and no others."""
+    return put_back(score(set_aside(docs), grammar).where("predicted = 0"), docs.columns)
+
+
 def op2_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     grammar = fitted(spark, docs, table(spark, sf_dir, "labels"))
