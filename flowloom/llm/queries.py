@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flowloom.llm import (
+    hidden_markov,
     near_dedup,
     packing,
     permutation_index,
@@ -22,6 +23,7 @@ def llm_catalog() -> dict[str, Query]:
         "op2_toxicity_grammar": Query(toxicity.op2_toxicity_grammar, None),
         "op3_text_density": Query(text_density.op3_text_density, None),
         "op4_rank_array_bpe": Query(rank_array_bpe.op4_rank_array_bpe, None),
+        "op5_hidden_markov": Query(hidden_markov.op5_hidden_markov, None),
         "op6_importance_resampling": Query(resampling.op6_importance_resampling, None),
         "op7_cost_balanced_packing": Query(packing.op7_cost_balanced_packing, None),
         "op8_quality_rules": Query(quality_rules.op8_quality_rules, quality_rules.OP8_SQL),
