@@ -12,14 +12,24 @@ from __future__ import annotations
 import functools
 import os
 import re
+import sys
 from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: White space, a space, white space or the end: here a plain split at spaces would differ.
+_NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 _RUN = re.compile(r"\s (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S) ")
-#: Entries a worker keeps in each cache; beyond it the cache starts anew.
-CACHE_ENTRIES = 500_000
+#: Stands before a text's first chunk, which has no space before it; a private character.
+_HEAD = "\ue000"
+#: Characters of texts that are encoded together.
+RUN_CHARACTERS = 6_000_000
+#: Entries a worker keeps of either kind, some 200 bytes each; a full cache starts anew.
+CHUNK_ENTRIES, WORD_ENTRIES = 1_000_000, 800_000
 #: White space of the pre-tokenizer's pattern.
 _S = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The byte-level pre-tokenizer's pattern (fixed value of the format).
@@ -34,73 +44,125 @@ def cut(text: str) -> list[str]:
     return _CUT.split(text) if _RUN.search(text) else text.split(" ")
 
 
-class ChunkCache(dict):
-    """Chunk to its ids as little-endian unsigned 32-bit integers, filled on demand."""
-
-    def __init__(self, encode: Callable[[str], bytes], prefix: str) -> None:
-        self._encode = encode
-        self._prefix = prefix
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self._encode(self._prefix + chunk)
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[chunk] = ids
-        return ids
-
-
 class ChunkEncoder:
-    """ids_of(text) by any function that encodes one word of the pre-tokenizer.
+    """Ids of texts by any function that encodes one word of the pre-tokenizer.
 
-    special maps strings that stand for an id of their own.
+    Ids are little-endian unsigned 32-bit integers. special maps strings that stand for an id of
+    their own.
     """
 
     def __init__(self, encode: Callable[[str], bytes], special: dict[str, int]) -> None:
         import regex
 
-        self._words = ChunkCache(encode, "")
+        self._encode = encode
+        self._words: dict[str, bytes] = {}
+        self._chunks: dict[str, bytes] = {}
         self._find = regex.compile(PATTERN).findall
         self._special = {text: little_endian([i]) for text, i in special.items()}
         self._cut_special = (
             regex.compile("(" + "|".join(map(regex.escape, special)) + ")").split
             if special else None
         )
-        self._first = ChunkCache(self._encode_chunk, "")
-        self._rest = ChunkCache(self._encode_chunk, " ")
 
-    def _encode_chunk(self, chunk: str) -> bytes:
-        if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
-            return self._words[chunk]
+    def _word(self, word: str) -> bytes:
+        ids = self._words.get(word)
+        if ids is None:
+            if len(self._words) >= WORD_ENTRIES:
+                self._words.clear()
+            self._words[word] = ids = self._encode(word)
+        return ids
+
+    def _chunk(self, key: str) -> bytes:
+        """Ids of a chunk that is not kept yet; a text's first one is marked by _HEAD."""
+        chunk = key[1:] if key[:1] == _HEAD else " " + key
+        # Letters, or letters and a full stop or comma, need no pattern.
+        if chunk[:1] == " " or chunk[:1].isalpha():
+            if chunk[1:].isalpha():
+                ids = self._word(chunk)
+            elif chunk[-1:] in (".", ",") and chunk[1:-1].isalpha():
+                ids = self._word(chunk[:-1]) + self._word(chunk[-1])
+            else:
+                ids = self._by_pattern(chunk)
+        else:
+            ids = self._by_pattern(chunk)
+        if len(self._chunks) >= CHUNK_ENTRIES:
+            self._chunks.clear()
+        self._chunks[key] = ids
+        return ids
+
+    def _by_pattern(self, chunk: str) -> bytes:
         segments = self._cut_special(chunk) if self._cut_special else [chunk]
-        words = self._words
         return b"".join(
             self._special[segment] if segment in self._special
-            else b"".join([words[word] for word in self._find(segment)])
+            else b"".join(map(self._word, self._find(segment)))
             for segment in segments
         )
 
+    def _codes(self, keys: list[str]) -> list[bytes]:
+        codes = list(map(self._chunks.get, keys))
+        for i, code in enumerate(codes):
+            if code is None:
+                codes[i] = self._chunk(keys[i])
+        return codes
+
+    def many(self, texts: list[str]) -> Iterator[bytes]:
+        """ids_of every text, a run of texts at a time: equal chunks of a run are looked up once."""
+        run, size = [], 0
+        for text in texts:
+            run.append(text)
+            size += len(text)
+            if size >= RUN_CHARACTERS:
+                yield from self._run(run)
+                run, size = [], 0
+        yield from self._run(run)
+
+    def _run(self, texts: list[str]) -> list[bytes]:
+        alike = [not _RUN.search(text) and _HEAD not in text for text in texts]
+        marked = pa.array([_HEAD + t for t, a in zip(texts, alike, strict=True) if a], pa.string())
+        if not len(marked):
+            return [self.ids_of(text) for text in texts]
+        chunks = pc.split_pattern(marked, " ")
+        coded = chunks.values.dictionary_encode()
+        codes = self._codes(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        flat = np.frombuffer(b"".join(codes), "<u4")
+        which = coded.indices.to_numpy()
+        long = lengths[which]
+        ends = np.cumsum(long)
+        # Place of each id in flat: its chunk's start there, counted on from the chunk's first id.
+        shift = (np.cumsum(lengths) - lengths)[which] - (ends - long)
+        ids = flat[np.arange(ends[-1]) + np.repeat(shift, long)]
+        bounds = np.concatenate([[0], ends])[chunks.offsets.to_numpy()].tolist()
+        found = iter([ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])])
+        return [next(found) if a else self.ids_of(t) for t, a in zip(texts, alike, strict=True)]
+
     def ids_of(self, text: str) -> bytes:
-        if not text:
-            return b""
-        chunks = cut(text)
-        rest = self._rest
-        head = self._first[chunks[0]]
-        return head + b"".join([rest[chunk] for chunk in chunks[1:]])
+        if _HEAD in text:
+            return self._by_pattern(text)
+        keys = cut(text)
+        keys[0] = _HEAD + keys[0]
+        return b"".join(self._codes(keys))
 
 
 def little_endian(ids) -> bytes:
     """ids as little-endian unsigned 32-bit integers."""
-    packed = array("I", ids)
-    if packed.itemsize != 4 or os.sys.byteorder != "little":
-        import numpy as np
+    return array("I", ids).tobytes() if _NATIVE else np.asarray(ids, dtype="<u4").tobytes()
 
-        return np.asarray(ids, dtype="<u4").tobytes()
-    return packed.tobytes()
+
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = (chr(256 + i) for i in range(256))
+    return {b: chr(b) if b in own else next(moved) for b in range(256)}
 
 
 @functools.cache
 def library_encoder(tokenizer_path: str) -> ChunkEncoder:
-    """The tokenizers library's encoder for a file, kept by each Python worker."""
+    """The tokenizers library's byte-level BPE of a file, kept by each Python worker.
+
+    The library's model encodes the words; what its pre-tokenizer does to a whole text is done by
+    the chunks. test_chunks.py holds the ids against the library's encode() of whole texts.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -108,8 +170,12 @@ def library_encoder(tokenizer_path: str) -> ChunkEncoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
+    tokenize = tokenizer.model.tokenize
+    letters = byte_letters()
+
     def encode(word: str) -> bytes:
-        return little_endian(tokenizer.encode(word, add_special_tokens=False).ids)
+        spelled = word.encode().decode("latin-1").translate(letters)
+        return little_endian([token.id for token in tokenize(spelled)])
 
     added = tokenizer.get_added_tokens_decoder()
     return ChunkEncoder(encode, {token.content: i for i, token in added.items()})
@@ -119,8 +185,3 @@ def default_tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
-
-
-def encoded(texts: list[str], tokenizer_path: str) -> Iterator[bytes]:
-    encoder = library_encoder(tokenizer_path)
-    return map(encoder.ids_of, texts)

@@ -118,9 +118,9 @@ def pack(
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         encoder = library_encoder(path)
         for batch in batches:
-            texts = text_list(batch, "text")
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                yield doc_id, encoder.ids_of(text) + end
+            codes = encoder.many(text_list(batch, "text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), codes, strict=True):
+                yield doc_id, ids + end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_id = TaskContext.get().partitionId() << TASK_BITS

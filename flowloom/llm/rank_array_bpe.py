@@ -18,7 +18,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from flowloom.llm.chunks import ChunkEncoder, default_tokenizer, little_endian
+from flowloom.llm.chunks import (
+    ChunkEncoder,
+    byte_letters,
+    default_tokenizer,
+    little_endian,
+)
 from flowloom.llm.texts import table, text_list
 
 #: Parts up to which the minimum is found by scanning.
@@ -26,13 +31,6 @@ SCAN_PARTS = 192
 NO_RANK = 1 << 60
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The printable characters that stand for bytes in byte-level vocabularies."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    moved = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(moved)}
-
-
 class RankArrayBpe:
     """Encoder and decoder of a byte-level BPE vocabulary file."""
 
@@ -40,7 +38,7 @@ class RankArrayBpe:
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
         model = data["model"]
-        alphabet = byte_alphabet()
+        alphabet = {letter: byte for byte, letter in byte_letters().items()}
         vocab = model["vocab"]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self._byte_ids = [0] * 256
@@ -126,7 +124,7 @@ def bpe_documents(docs: DataFrame, tokenizer_path: str | None = None) -> DataFra
 
         bpe, encoder = codec(path)
         for batch in batches:
-            ids = [np.frombuffer(encoder.ids_of(t), "<u4") for t in text_list(batch, "text")]
+            ids = [np.frombuffer(c, "<u4") for c in encoder.many(text_list(batch, "text"))]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.concatenate([*ids, np.zeros(0, "<u4")]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -151,8 +149,7 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame
         bpe, encoder = codec(path)
         for batch in batches:
             counts, of_ids, of_text = [], [], []
-            for text in text_list(batch, "text"):
-                ids = encoder.ids_of(text)
+            for ids in encoder.many(text_list(batch, "text")):
                 decoded = bpe.decode(memoryview(ids).cast("I").tolist() if ids else ())
                 counts.append(len(ids) // 4)
                 of_ids.append(hashlib.sha256(ids).hexdigest())

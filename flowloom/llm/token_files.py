@@ -148,9 +148,9 @@ def _shard_rows(batches, path: str, end: bytes, part: int) -> Iterator[tuple]:
         )
 
     for batch in batches:
-        texts = text_list(batch, "text")
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-            code = encoder.ids_of(text) + end
+        codes = encoder.many(text_list(batch, "text"))
+        for doc_id, code in zip(batch.column("doc_id").to_pylist(), codes, strict=True):
+            code += end
             held += len(code) // 4
             doc_ids.append(doc_id)
             ends.append(held)
