@@ -56,8 +56,13 @@ def protocol_number(text: Column) -> Column:
     )
 
 
+# The bits that an int column holds without its sign.
+_INT_BITS = 0x7FFFFFFF
+
+
 def decode_tcp_flags(text: Column) -> Column:
-    """Flag text (letters such as ``.AP.SF``, ``0x1b`` or a decimal) to its bit mask."""
+    """Flag text (letters such as ``.AP.SF``, ``0x1b`` or a decimal) to its bit mask, cut to
+    31 bits."""
     flags = F.upper(F.trim(text.cast("string")))
     letters = sum(
         (F.when(F.contains(flags, F.lit(letter)), bit).otherwise(0)
@@ -66,8 +71,9 @@ def decode_tcp_flags(text: Column) -> Column:
     )
     return (
         F.when(flags.rlike("^0X[0-9A-F]{1,8}$"),
-               F.conv(F.substring(flags, 3, 8), 16, 10).try_cast("int"))
-        .when(flags.rlike("^[0-9]+$"), flags.try_cast("int"))
+               F.conv(F.substring(flags, 3, 8), 16, 10).cast("bigint").bitwiseAND(F.lit(_INT_BITS))
+               .cast("int"))
+        .when(flags.rlike("^[0-9]+$"), flags.try_cast("bigint").bitwiseAND(F.lit(_INT_BITS)).cast("int"))
         .otherwise(letters)
     )
 

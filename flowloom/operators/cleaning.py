@@ -53,13 +53,35 @@ def stamp_ingestion(
     return df.withColumn(name, F.current_timestamp() if clock is None else clock)
 
 
-def assign_flow_id(df: DataFrame, source: Column | None = None) -> DataFrame:
+# Bits of a generated id for (load or batch number, partition, row), below the bit that
+# tells streams from loads.
+LOAD_BITS = (12, 23, 27)
+STREAM_BITS = (28, 13, 21)
+
+
+def assign_flow_id(
+    df: DataFrame, source: Column | None = None, load: int = 0, stream: bool = False
+) -> DataFrame:
     """Add a 64-bit id: ``source`` if the data has one, else unique but not dense.
 
-    Generated ids depend on the partitioning; write the result before using it twice.
+    Generated ids hold the number of the load (of the micro-batch, with ``stream``), which
+    the caller counts, then partition and row, so no two loads or batches share one. They
+    depend on the partitioning; write the result before using it twice.
     """
-    value = F.monotonically_increasing_id() if source is None else source.cast("bigint")
-    return df.withColumn("flow_id", value)
+    if source is not None:
+        return df.withColumn("flow_id", source.cast("bigint"))
+    bits, part_bits, row_bits = STREAM_BITS if stream else LOAD_BITS
+    if not 0 <= load < 1 << bits:
+        raise ValueError(f"load number {load} does not fit {bits} bits")
+    base = (int(stream) << (bits + part_bits + row_bits)) + (load << (part_bits + row_bits))
+    part = F.shiftright("flow_id", 33)
+    row = F.col("flow_id").bitwiseAND(F.lit((1 << 33) - 1))
+    fits = (part < F.lit(1 << part_bits)) & (row < F.lit(1 << row_bits))
+    placed = F.lit(base) + part * F.lit(1 << row_bits) + row
+    return df.withColumn("flow_id", F.monotonically_increasing_id()).withColumn(
+        "flow_id",
+        F.when(fits, placed).otherwise(F.raise_error(F.lit("too many rows for one load's ids"))),
+    )
 
 
 def assign_uuid(df: DataFrame, name: str = "id") -> DataFrame:
@@ -72,9 +94,10 @@ def canonical_projection(flows: DataFrame) -> DataFrame:
 
 
 def clean_flows(
-    raw: DataFrame, flow_id: Column | None = None, flow_time: Column | None = None
+    raw: DataFrame, flow_id: Column | None = None, flow_time: Column | None = None, load: int = 0
 ) -> DataFrame:
-    """Raw 45-column text to the 27 canonical columns."""
+    """Raw 45-column text to the 27 canonical columns. ``load`` numbers the load that
+    generated ids belong to."""
     return (
         raw.transform(drop_missing_ips)
         .transform(trim_ips)
@@ -83,6 +106,6 @@ def clean_flows(
         .transform(label_flows)
         .transform(rename_attack)
         .transform(stamp_ingestion, "flow_start_time", flow_time)
-        .transform(assign_flow_id, flow_id)
+        .transform(assign_flow_id, flow_id, load)
         .transform(canonical_projection)
     )

@@ -52,24 +52,21 @@ class IsolationForest:
 def tree_samples(
     df: DataFrame, features: Sequence[str], trees: int, sample: int, keys: Sequence[str], seed: int
 ) -> DataFrame:
-    """``sample`` rows for each tree, drawn by hash.
+    """``sample`` rows for each tree, drawn by hash: the sample size is the algorithm's own.
 
-    About 2 x sample candidates per tree leave the scan; the smallest hashes among
-    them stay. Where rows are fewer than that, rows serve several trees.
+    About 2 x sample x trees rows with the smallest hashes leave the scan, whatever the
+    input's size; every tree ranks that bounded pool by a hash of its own.
     """
     rows = drop_incomplete(
         df.select(*keys, *[F.col(c).cast("double").alias(c) for c in features])
     )
     total = max(rows.count(), 1)
     wanted = 2 * sample * trees
-    copies = min(trees, math.ceil(wanted / total))
     key_columns = [F.col(k) for k in keys]
     threshold = math.ceil(HASH_SPACE * min(1.0, wanted / total))
     pool = rows.filter(hash_rank(key_columns, seed) < threshold)
-    first = hash_rank(key_columns, seed + 1) % trees
-    served = pool.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    drawn = served.withColumn("tree", ((first + F.col("_copy")) % trees).cast("int")).withColumn(
-        "_draw", hash_rank([F.col("tree"), *key_columns], seed + 2)
+    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
+        "_draw", F.xxhash64("tree", *keys, F.lit(seed))
     )
     within = Window.partitionBy("tree").orderBy("_draw", *keys)
     return (

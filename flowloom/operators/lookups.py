@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.functions.labels import severity
-from flowloom.schemas import SRC_BUCKETS
 
 
 # Day partition that goes with each time column.
@@ -52,8 +51,6 @@ def _latest(
 ) -> DataFrame:
     order = [F.col(time).desc(), *([F.col(tie)] if tie else [])]
     rows = df.filter(F.col("src_ip_int") == src)
-    if "src_bucket" in df.columns:
-        rows = rows.filter(F.col("src_bucket") == src % SRC_BUCKETS)
     rows = _in_period(rows, time, since, until).orderBy(*order)
     return rows if n is None else rows.limit(n)
 

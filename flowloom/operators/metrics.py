@@ -2,53 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowloom.operators.training_data import TARGET
 
-# Score ranges the ranking is cut into; also the row count of the only global step.
-ROC_RANGES = 1024
-
 
 def accuracy(scored: DataFrame, label: str = TARGET, prediction: str = "prediction") -> DataFrame:
     hit = (F.col(prediction) == F.col(label)).cast("bigint")
     return scored.agg((F.sum(hit) / F.count(hit)).alias("accuracy"))
 
 
-def score_ranges(scored: DataFrame, score: str, ranges: int = ROC_RANGES) -> list[float]:
-    """Cut points that put about equally many rows in each range."""
-    points = [i / ranges for i in range(1, ranges)]
-    cuts = scored.agg(F.percentile_approx(score, points, 100 * ranges)).first()[0] or []
-    return sorted(set(cuts))
-
-
 def auc_roc(
     scored: DataFrame, label: str = TARGET, score: str | Column = "anomaly_score",
-    ranges: int = ROC_RANGES, cuts: Sequence[float] | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve: the share of (attack, benign) pairs in which
     the attack scores higher, ties counting half.
 
-    Rows first collapse to one per distinct score, before the shuffle. The running
-    count of lower benign rows is taken within score ranges in parallel; only one
-    row per range meets in the final, global running sum.
+    Rows first collapse to one per distinct score, before the shuffle; those are dealt out
+    by range of the score (``ranges`` partitions, else the session's number). The running
+    count of lower benign rows is taken within ranges in parallel; only one row per range
+    meets in the final, global running sum.
     """
     value = F.col(score) if isinstance(score, str) else score
     rows = scored.select(value.cast("double").alias("score"), F.col(label).alias("label")).filter(
         F.col("score").isNotNull() & F.col("label").isNotNull()
     )
-    if cuts is None:
-        cuts = score_ranges(rows, "score", ranges)
     by_score = rows.groupBy("score").agg(
         F.count_if(F.col("label") == 1).cast("double").alias("pos"),
         F.count_if(F.col("label") != 1).cast("double").alias("neg"),
     )
-    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(by_score)
+    dealt = by_score.repartitionByRange(*([ranges] if ranges else []), "score")
+    ranged = dealt.withColumn("range", F.spark_partition_id())
     within = Window.partitionBy("range").orderBy("score")
     lower = F.sum("neg").over(within) - F.col("neg")
     by_range = (

@@ -31,7 +31,9 @@ def row_counts(
 ) -> DataFrame:
     """Rows per stage (raw, ready, cleaned, train, test) from one scan."""
     ready = F.col("IPV4_SRC_ADDR").isNotNull() & F.col("IPV4_DST_ADDR").isNotNull()
-    typed = [number_from_text(F.col(c), dtype).isNotNull() for c, dtype in MEASURES.values()]
+    numbers = [number_from_text(F.col(c), dtype) for c, dtype in MEASURES.values()]
+    # NaN is as incomplete as null, as it is for the training set.
+    typed = [n.isNotNull() & ~F.isnan(n.cast("double")) for n in numbers]
     cleaned = reduce(and_, [ready, F.col("Attack").isNotNull(), *typed])
     marked = raw.select(
         ready.alias("ready"),

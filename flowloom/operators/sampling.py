@@ -2,41 +2,79 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowloom.functions.hashing import HASH_SPACE, hash_rank
+from flowloom.functions.hashing import hash_rank
 
+# Documented bound on the labelled rows a detector is trained on.
 TRAINING_CAP = 80_000
 
+# Cells that one step of a rank search counts, and rows it may bring to the driver.
+CELLS = 4096
+LAST_ROWS = 10_000
+
+
+def _nth_smallest(df: DataFrame, column: str, n: int) -> tuple[int, int]:
+    """The n-th smallest value of a whole-number column, and how many rows lie below it.
+
+    Each step counts rows in equal cells and goes on in the cell that holds the n-th, so
+    no row is sorted and the driver sees a bounded number of counts.
+    """
+    value = F.col(column)
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    below = 0
+    while low < high:
+        width = (high - low) // CELLS + 1
+        inside = df.filter(value.between(low, high))
+        cell = ((value - F.lit(low)) / width).cast("bigint") if width > 1 else value - F.lit(low)
+        counts = inside.groupBy(F.least(cell, F.lit(CELLS)).alias("cell")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")
+        )
+        for row in sorted(counts.collect(), key=lambda r: r["low"]):
+            if below + row["n"] >= n:
+                break
+            below += row["n"]
+        low, high = row["low"], row["high"]
+        if row["n"] <= LAST_ROWS:
+            last = df.filter(value.between(low, high)).groupBy(value.alias("v")).count()
+            for v, count in sorted(tuple(r) for r in last.collect()):
+                if below + count >= n:
+                    return v, below
+                below += count
+    return low, below
+
 
 def hash_sample(
     df: DataFrame, n: int = TRAINING_CAP, keys: Sequence[str] = ("flow_id",), seed: int = 42,
-    total: int | None = None,
 ) -> DataFrame:
-    """The ``n`` rows with the smallest key hash: random, yet the same on every run.
+    """The ``n`` rows with the smallest key hash, all if there are fewer: random, yet the
+    same on every run.
 
-    A threshold from the row count first cuts the input to a little over ``n`` rows
-    (ten standard deviations over), so the final top-n ranks next to nothing.
+    The result is a filter by the n-th smallest hash, on as many tasks as the input. Rows
+    of one key rank by their whole content; only rows equal in every column are counted off.
+    ``df`` is read several times: store it first if it holds generated values.
     """
-    rows = df.count() if total is None else total
-    if rows <= n:
+    ranked = df.withColumns({
+        "_rank": hash_rank([F.col(k) for k in keys], seed).cast("bigint"),
+        "_row": F.shiftright(F.xxhash64(*df.columns), 4),
+    })
+    if n <= 0:
+        return df.limit(0)
+    if df.count() <= n:
         return df
-    rank = hash_rank([F.col(k) for k in keys], seed)
-    margin = n + 10 * math.sqrt(n) + 100
-    threshold = min(HASH_SPACE, math.ceil(HASH_SPACE * margin / rows))
-    return (
-        df.withColumn("_rank", rank)
-        .filter(F.col("_rank") < threshold)
-        .orderBy("_rank", *keys)
-        .limit(n)
-        .drop("_rank")
+    rank, below = _nth_smallest(ranked, "_rank", n)
+    tied = ranked.filter(F.col("_rank") == rank)
+    content, under = _nth_smallest(tied, "_row", n - below)
+    taken = ranked.filter(
+        (F.col("_rank") < rank) | ((F.col("_rank") == rank) & (F.col("_row") < content))
     )
+    equal = tied.filter(F.col("_row") == content).limit(n - below - under)
+    return taken.unionByName(equal).drop("_rank", "_row")
 
 
-def limit_batch(df: DataFrame, n: int = 1000, order: Sequence[str | Column] = ()) -> DataFrame:
+def limit_batch(df: DataFrame, n: int, order: Sequence[str | Column] = ()) -> DataFrame:
     """At most ``n`` messages of a bounded read, the first by ``order`` if given."""
     return (df.orderBy(*order) if order else df).limit(n)

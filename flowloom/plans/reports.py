@@ -354,6 +354,22 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.hash_sample(flows_table(spark, sf_dir).select(*FLOW_COLUMNS), 4000)
 
 
+@query(oracle(
+    "SELECT (SELECT least(500, count(*)) FROM flows) AS rows, "
+    "(SELECT count(DISTINCT flow_id % 8) FROM flows) AS keys_met",
+    "flows",
+))
+def hash_sample_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight keys only, so each holds far more rows than any share of the sample."""
+    flows = flows_table(spark, sf_dir).select(*FLOW_COLUMNS)
+    few = flows.withColumn("key", F.col("flow_id") % 8)
+    sample = sampling.hash_sample(few, 500, ["key"])
+    every = sampling.hash_sample(few, few.count() + 1, ["key"])
+    return sample.agg(F.count(F.lit(1)).alias("rows")).crossJoin(
+        every.agg(F.count_distinct("key").alias("keys_met"))
+    )
+
+
 @query(oracle("SELECT json FROM messages ORDER BY json LIMIT 1000", "messages"))
 def limit_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.limit_batch(received_texts(spark, sf_dir), 1000, ["json"])

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.functions import messages as fn
 from flowloom.operators import forest
-from flowloom.operators.cleaning import stamp_ingestion
+from flowloom.operators.cleaning import clean_flows, stamp_ingestion
+from flowloom.operators.lookups import filter_alerts
 from flowloom.plans import fixtures as fx
 from flowloom.plans.fixtures import oracle
 from flowloom.plans.messages import LEGACY_SQL, PARSED_SQL, SENT_SQL, legacy_texts
 from flowloom.plans.registry import query
 from flowloom.plans.stored import detector, flows_table, message_topic, scored_table
 from flowloom.plans.tables import LEGACY_ROWS_SQL, write_raw_csv
-from flowloom.schemas import ALERT, FLOW, LEGACY_FLOW, MESSAGE, RAW, RAW_COLUMNS
+from flowloom.schemas import ALERT, FLOW, LEGACY_FLOW, MEASURES, MESSAGE, RAW, RAW_COLUMNS
 from flowloom.session import run_dir
 from flowloom.sources import topics
-from flowloom.streaming import directory, legacy, realtime, trends
+from flowloom.streaming import directory, history, legacy, realtime, trends
 
 
 def _run_to_end(df: DataFrame, path: str, checkpoint: str) -> None:
@@ -124,28 +127,54 @@ def _output_counts(spark: SparkSession, outputs: realtime.Outputs) -> DataFrame:
     return total
 
 
-@query()
+def _as_in_batch(streamed: DataFrame, batch: DataFrame) -> DataFrame:
+    """Streamed scores beside those of the same flows in one batch: rows, and rows whose
+    score and verdict some flow of the batch shares as often."""
+    keys = ["src_ip_int", "dst_ip_int", "src_port", "dst_port", "is_anomaly", "score"]
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        rounded = df.withColumn("score", F.round("anomaly_score", 9))
+        return rounded.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+    both = counted(streamed, "streamed").join(counted(batch, "scored"), keys, "left")
+    return both.agg(
+        F.sum("streamed").alias("rows"),
+        F.sum(F.least("streamed", F.coalesce("scored", F.lit(0)))).alias("alike"),
+    )
+
+
+def _sent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    received = topics.batch_messages(spark, message_topic(spark, sf_dir))
+    parsed = received.transform(fn.decode_value).transform(fn.parse_flow_json)
+    return forest.score_batch(parsed, detector(spark, sf_dir))
+
+
+_ALL_ALIKE = oracle(
+    "SELECT cast(count(*) AS bigint) AS rows, cast(count(*) AS bigint) AS alike FROM sent WHERE "
+    + " AND ".join(f"{m} IS NOT NULL" for m in MEASURES), "sent",
+)
+
+
+@query(_ALL_ALIKE)
 def realtime_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole path with the trained forest: predictions by verdict."""
+    """The whole path with the trained forest: every prediction is that of a batch."""
     model = detector(spark, sf_dir)
     outputs = _scored_once(spark, sf_dir, lambda flows: forest.score_batch(flows, model))
-    return spark.read.parquet(outputs.predictions).groupBy("is_anomaly").agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.avg("anomaly_score"), 6).alias("mean_score")
-    )
+    return _as_in_batch(spark.read.parquet(outputs.predictions), _sent_scores(spark, sf_dir))
 
 
-@query()
+@query(_ALL_ALIKE)
 def score_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trained forest applied to the stream itself."""
+    """The trained forest applied to the stream itself, beside a batch."""
     base = run_dir(spark, "score-stream")
     received = topics.stream_messages(spark, message_topic(spark, sf_dir))
     parsed = received.transform(fn.decode_value).transform(fn.parse_flow_json)
     scored = forest.score_stream(parsed.transform(stamp_ingestion), detector(spark, sf_dir))
-    rows = scored.select("src_ip", "dst_ip", "src_port", "is_anomaly", "anomaly_score")
-    _run_to_end(rows, f"{base}/rows", f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/rows").withColumn(
-        "anomaly_score", F.round("anomaly_score", 6)
+    rows = scored.select(
+        "src_ip_int", "dst_ip_int", "src_port", "dst_port", "is_anomaly", "anomaly_score"
     )
+    _run_to_end(rows, f"{base}/rows", f"{base}/checkpoint")
+    return _as_in_batch(spark.read.parquet(f"{base}/rows"), _sent_scores(spark, sf_dir))
 
 
 @query(oracle(f"{SENT_SQL} UNION ALL {SENT_SQL}", "sent"))
@@ -215,6 +244,90 @@ def legacy_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legacy_batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "legacy-batch")
     legacy.legacy_batch_load(
-        spark, message_topic(spark, sf_dir), f"{base}/documents", f"{base}/rows", n=None
+        spark, message_topic(spark, sf_dir), f"{base}/documents", f"{base}/rows"
     )
     return spark.read.schema(LEGACY_FLOW).parquet(f"{base}/rows").drop("id")
+
+
+def _two_batches(spark: SparkSession, sf_dir: str) -> realtime.Outputs:
+    base = run_dir(spark, "two-batches")
+    topic = topics.Topic("twice", base, "parquet")
+    outputs = outputs_in(base)
+    for _ in range(2):
+        topics.publish_messages(fx.message_values(flows_table(spark, sf_dir)), topic)
+        realtime.realtime_scoring(
+            topics.stream_messages(spark, topic), fx.fixed_scorer, outputs,
+            f"{base}/checkpoint", once=True,
+        ).awaitTermination()
+    return outputs
+
+
+@query(oracle(
+    "SELECT * FROM (SELECT 'history' AS output, 2 * count(*) AS rows, 2 * count(*) AS ids FROM sent "
+    "UNION ALL SELECT 'predictions', 2 * count(*), 2 * count(*) FROM sent "
+    "UNION ALL SELECT 'alerts', 2 * count(*), 2 * count(*) FROM scored "
+    "WHERE flow_id % 61 <> 0 AND prediction = 1 "
+    "UNION ALL SELECT 'loads', 2 * count(*), 2 * count(*) FROM flows)",
+    "sent", "scored", "flows",
+))
+def flow_ids_over_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two micro-batches and two loads: as many ids (and alert keys) as rows."""
+    outputs = _two_batches(spark, sf_dir)
+    keyed: list[DataFrame] = []
+    for batch in (0, 1):
+        stored = spark.read.schema(FLOW).parquet(realtime.batch_path(outputs.history, batch))
+        scored = fx.fixed_scorer(stored).transform(filter_alerts)
+        keyed.append(scored.select("flow_id"))
+    loads = [
+        clean_flows(fx.raw_flows(spark, sf_dir), flow_time=F.col("ts").cast("timestamp"), load=n)
+        .select("flow_id") for n in (0, 1)
+    ]
+    ids = {
+        "history": spark.read.schema(FLOW).parquet(outputs.history),
+        "predictions": spark.read.parquet(outputs.predictions),
+        "alerts": keyed[0].unionByName(keyed[1]),
+        "loads": loads[0].unionByName(loads[1]),
+    }
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("flow_id").alias("ids"))
+        .select(F.lit(name).alias("output"), "rows", "ids") for name, df in ids.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(oracle(
+    f"SELECT {fx.MESSAGE_LIST} FROM sent UNION ALL SELECT {fx.MESSAGE_LIST} FROM sent", "sent"
+))
+def compact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the first compacted before the second arrives, the second later."""
+    base = run_dir(spark, "compacted")
+    outputs = _two_batches(spark, sf_dir)
+    first = realtime.batch_path(outputs.history, 0)
+    spark.read.schema(FLOW).parquet(first).write.parquet(realtime.batch_path(base + "/h", 0))
+    history.compact_history(spark, base + "/h", base + "/c")
+    second = realtime.batch_path(outputs.history, 1)
+    spark.read.schema(FLOW).parquet(second).write.parquet(realtime.batch_path(base + "/h", 1))
+    half = history.read_history(spark, base + "/h", base + "/c").count()
+    history.compact_history(spark, base + "/h", base + "/c")
+    whole = history.read_history(spark, base + "/h", base + "/c")
+    if history.compact_history(spark, base + "/h", base + "/c") or whole.count() != half:
+        raise AssertionError("a compaction changed the history")
+    return whole.select(*MESSAGE.names)
+
+
+_ROW_SQL = oracle(
+    f"SELECT {fx.RAW_LIST} FROM raw_flows", "raw_flows"
+)
+
+
+@query(_ROW_SQL)
+def folder_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New CSV files as messages, read back from the topic."""
+    base = run_dir(spark, "folder-topic")
+    write_raw_csv(spark, sf_dir, f"{base}/in")
+    topic = topics.Topic("rows", base, "parquet")
+    directory.publish_csv_directory(
+        spark, f"{base}/in", RAW, topic, f"{base}/checkpoint", once=True
+    ).awaitTermination()
+    texts = topics.batch_messages(spark, topic).transform(fn.decode_value)
+    return texts.select(F.from_json("json", RAW).alias("row")).select("row.*")

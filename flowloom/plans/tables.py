@@ -39,6 +39,45 @@ def read_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvs.read_raw_csv(spark, path)
 
 
+@query(oracle(f"SELECT {fx.RAW_LIST} FROM raw_flows", "raw_flows"))
+def read_raw_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder with their columns in two orders."""
+    path = run_dir(spark, "raw-csv-orders")
+    rows = fx.raw_flows(spark, sf_dir)
+    for rest, names in ((0, RAW_COLUMNS), (1, RAW_COLUMNS[::-1])):
+        rows.filter(F.col("event_id") % 2 == rest).select(*names).write.option(
+            "header", True
+        ).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False
+        ).mode("append").csv(path)
+    return csvs.read_raw_csv(spark, path)
+
+
+@query(oracle(EXPORT_SQL, "flow_export"))
+def read_flow_export_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder with two headers, both known."""
+    path = run_dir(spark, "export-csv-mixed")
+    rows = fx.flow_export(spark, sf_dir)
+    first = F.crc32(F.coalesce(F.col("DstPort"), F.lit("")).cast("binary")) % 2 == 0
+    other = rows.filter(~first).select(*rows.columns[::-1]).withColumnsRenamed(
+        {"Src Addr": "sa", "DstAddr": "da", "Prot": "pr", "Bytes": "ibyt", "Flags": "flg"}
+    )
+    for part in (rows.filter(first), other):
+        part.write.option("header", True).mode("append").csv(path)
+    return csvs.read_flow_export(spark, path)
+
+
+@query(oracle(EXPORT_SQL, "flow_export"))
+def export_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collector export to messages in a topic, read back as any consumer does."""
+    base = run_dir(spark, "export-topic")
+    fx.flow_export(spark, sf_dir).write.option("header", True).csv(f"{base}/in")
+    topic = topics.Topic("exports", base, "parquet")
+    csvs.publish_flow_export(spark, f"{base}/in", topic)
+    received = topics.batch_messages(spark, topic)
+    return received.transform(fn.decode_value).transform(fn.parse_flow_json)
+
+
 @query(oracle(_FLOWS, "flows"))
 def read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "orc-flows")
@@ -87,13 +126,11 @@ def read_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "flows")
     tables.write_flows(fx.flows(spark, sf_dir), path)
-    return tables.read_table(spark, path, schema=FLOW)
+    return tables.read_table(spark, path).select(*FLOW_COLUMNS)
 
 
 @query(oracle(
-    f"SELECT {fx.FLOW_LIST}, cast(src_ip_int % 64 AS integer) AS src_bucket, "
-    "cast(flow_start_time AS date) AS flow_date FROM flows",
-    "flows",
+    f"SELECT {fx.FLOW_LIST}, cast(flow_start_time AS date) AS flow_date FROM flows", "flows"
 ))
 def table_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "clustered")
@@ -101,6 +138,25 @@ def table_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query(oracle(
+    f"SELECT {fx.FLOW_LIST}, cast(flow_start_time AS date) AS flow_date FROM flows", "flows"
+))
+def one_flow_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow table filled by a load, by an append and by rewriting one day, then read
+    through the catalog table over the same files."""
+    location = run_dir(spark, "one-table")
+    database = "one_" + location.rsplit("-", 1)[1]
+    tables.create_tables(spark, database, location)
+    flows, path = flows_table(spark, sf_dir).select(*FLOW_COLUMNS), f"{location}/flows"
+    early = F.col("flow_id") % 3 == 0
+    tables.write_clustered(flows.filter(early), path)
+    tables.write_flows(flows.filter(~early), path)
+    last = flows.agg(F.max(F.to_date("flow_start_time"))).first()[0]
+    tables.write_clustered(flows.filter(F.to_date("flow_start_time") == F.lit(last)), path)
+    spark.sql(f"MSCK REPAIR TABLE {database}.flows")
+    return spark.table(f"{database}.flows")
+
+
 @query(oracle(
     "SELECT 'flows' AS table_name, (SELECT count(*) FROM flows) AS rows, 28 AS columns, "
     "(SELECT cast(sum(in_bytes) AS bigint) FROM flows) AS in_bytes "

@@ -5,8 +5,6 @@ Addresses held as integers are unsigned 32-bit values, so they are longs here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
     DataType,
@@ -94,15 +92,6 @@ FLOW = _struct({
     "attack_type": _STRING,
 })
 FLOW_COLUMNS = FLOW.names
-# Buckets of source addresses in the clustered flow table. Fixed, as stored tables and
-# their lookups must agree on it.
-SRC_BUCKETS = 64
-
-
-def source_bucket(address: Column) -> Column:
-    return F.pmod(address, F.lit(SRC_BUCKETS)).cast("int")
-
-
 FLOW_KEY = ["src_ip_int", "flow_start_time", "flow_id"]
 
 # Flow message, 24 fields, as its consumers see it ...

@@ -2,30 +2,85 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flowloom.functions.labels import decode_prediction
+from flowloom.functions.messages import encode_row
+from flowloom.operators.enrichment import enrich_flows_with_features
 from flowloom.operators.normalize import normalize_flow_export
 from flowloom.operators.packets import normalize_packets
 from flowloom.operators.training_data import TARGET
 from flowloom.schemas import PACKET_CSV, RAW
+from flowloom.sources.topics import Topic, publish_messages
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """CSV files by their header line. The driver sees one line and path per file."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "place"))
+    found: dict[str, list[str]] = {}
+    for file, header in first.collect():
+        found.setdefault(header, []).append(file)
+    return found
+
+
+def read_csv_by_name(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """The named columns of CSV files as text, wherever each file's own header has them.
+
+    Files of one header are read together; a column that a file lacks is null. Names match
+    exactly. Where there is no file with a header, there are no rows.
+    """
+    rows = None
+    for _, files in sorted(_files_by_header(spark, path).items()):
+        part = spark.read.option("header", True).csv(files)
+        part = part.select(*[
+            (F.col(f"`{c}`") if c in part.columns else F.lit(None)).cast("string").alias(c)
+            for c in columns
+        ])
+        rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        rows = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    return rows
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType = RAW) -> DataFrame:
-    """Labelled flow CSV, every column text: nothing is inferred, nothing scanned twice."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Labelled flow CSV, every column text and found by its name: nothing is inferred."""
+    return read_csv_by_name(spark, path, schema.names)
 
 
 def read_flow_export(spark: SparkSession, path: str) -> DataFrame:
-    """Collector CSV with any known header, as canonical messages."""
-    return normalize_flow_export(spark.read.option("header", True).csv(path))
+    """Collector CSV as canonical messages; each file may have any known header."""
+    rows = None
+    for _, files in sorted(_files_by_header(spark, path).items()):
+        part = normalize_flow_export(spark.read.option("header", True).csv(files))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
 def read_packets(spark: SparkSession, path: str) -> DataFrame:
-    """Per-packet CSV, with plain names and one source and destination port."""
-    return normalize_packets(spark.read.schema(PACKET_CSV).option("header", True).csv(path))
+    """Per-packet CSV by column name, with plain names and one source and destination port."""
+    named = read_csv_by_name(spark, path, PACKET_CSV.names)
+    return normalize_packets(named.select(*[
+        F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in PACKET_CSV.fields
+    ]))
+
+
+def publish_flow_export(
+    spark: SparkSession, path: str, topic: Topic, features: DataFrame | None = None
+) -> None:
+    """Collector CSV to a message topic, joined with the extractor's features if given."""
+    messages = read_flow_export(spark, path)
+    if features is not None:
+        messages = enrich_flows_with_features(messages, features)
+    publish_messages(encode_row(messages), topic)
 
 
 def predictions_report(scored: DataFrame, label: str = TARGET) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql.types import LongType, StructType
 
 from flowloom.operators.cleaning import assign_uuid
 from flowloom.operators.upsert import keyed_upsert, merge_latest
-from flowloom.schemas import FLOW, LEGACY_FLOW, PREDICTION, source_bucket
+from flowloom.schemas import FLOW, LEGACY_FLOW, PREDICTION
+from flowloom.session import run_dir
 
 STORED_PREDICTION = StructType([*PREDICTION.fields]).add("flow_id", LongType(), True)
 
@@ -58,38 +59,48 @@ def read_table(
     return reader.load(name) if name else reader.load()
 
 
+# Formats whose folders carry the partition column.
+FILE_FORMATS = ("parquet", "orc", "json", "csv")
+
+
 def clustered_order(flows: DataFrame) -> DataFrame:
     """Within each partition: by source, then newest first, then id."""
     return flows.sortWithinPartitions("src_ip_int", F.desc("flow_start_time"), "flow_id")
 
 
+def place_flows(flows: DataFrame) -> DataFrame:
+    """Canonical flows with their day, dealt out in the order of the flow table.
+
+    By range of (day, source, time, id): a task holds few days and a contiguous run of
+    sources, so file statistics prune on both, and a source that fills more than a task is
+    split by time. The range needs a sample, so ``flows`` is read twice.
+    """
+    dated = flows.withColumn("flow_date", F.to_date("flow_start_time"))
+    return dated.repartitionByRange(
+        "flow_date", "src_ip_int", "flow_start_time", "flow_id"
+    ).sortWithinPartitions("flow_date", "src_ip_int", F.desc("flow_start_time"), "flow_id")
+
+
 def write_flows(
     flows: DataFrame, path: str, fmt: str = "parquet", metrics: Observation | None = None,
     **options: str,
 ) -> None:
-    """Append canonical flows; ``metrics`` receives the row count of the same job."""
+    """Append canonical flows to the flow table; ``metrics`` receives the row count of the
+    same job. A store connector gets them in their order, without the day column."""
+    is_file = fmt in FILE_FORMATS
+    rows = place_flows(flows) if is_file else flows.transform(clustered_order)
     if metrics is not None:
-        flows = flows.observe(metrics, F.count(F.lit(1)).alias("rows"))
-    flows.transform(clustered_order).write.format(fmt).options(**options).mode("append").save(path)
+        rows = rows.observe(metrics, F.count(F.lit(1)).alias("rows"))
+    writer = rows.write.format(fmt).options(**options).mode("append")
+    (writer.partitionBy("flow_date") if is_file else writer).save(path)
 
 
-def write_clustered(flows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Day partitions with each source's flows together, newest first.
-
-    One shuffle and no sampling pass, so the input is read once. Files hold few
-    ``src_bucket`` values, sorted, so a lookup's bucket and address prune files and
-    pages. The rebalance splits a bucket grown too big, be it by one source, over
-    several tasks and files, and packs small ones together.
-    """
-    placed = flows.withColumns({
-        "flow_date": F.to_date("flow_start_time"),
-        "src_bucket": source_bucket(F.col("src_ip_int")),
-    })
-    order = ["flow_date", "src_bucket", "src_ip_int", F.desc("flow_start_time"), "flow_id"]
+def write_clustered(flows: DataFrame, path: str) -> None:
+    """Write whole days of the flow table: the days that ``flows`` holds are replaced, all
+    others stay. Same layout as write_flows()."""
     (
-        placed.hint("rebalance", "flow_date", "src_bucket")
-        .sortWithinPartitions(*order)
-        .write.partitionBy("flow_date").mode(mode).parquet(path)
+        place_flows(flows).write.partitionBy("flow_date")
+        .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
     )
 
 
@@ -100,9 +111,13 @@ def upsert_table(
     The driver sees one value per day touched.
 
     ``day`` must be a function of the keys, so only the days that ``incoming`` touches
-    are read and rewritten. Running it again changes nothing. ``incoming`` is read
-    more than once: store it first if it holds generated ids or random values.
+    are read and rewritten. Running it again changes nothing. ``incoming`` is stored first,
+    as it is read more than once. Days change one after the other: a reader that must see
+    all of them at once has to wait for the end of the call.
     """
+    staged = run_dir(incoming.sparkSession, "upsert")
+    incoming.write.parquet(staged)
+    incoming = incoming.sparkSession.read.schema(incoming.schema).parquet(staged)
     days = [r[0] for r in incoming.select(day).distinct().collect()]
     if not days:
         return

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
+from flowloom.functions.messages import encode_row
+from flowloom.sources.topics import Topic, publish_messages
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -19,6 +22,8 @@ def stream_csv_directory(
     reader = (
         spark.readStream.schema(StructType([*schema.fields]).add(_CORRUPT, StringType(), True))
         .option("header", True)
+        # A file whose header has other names or another order fails, not shifts columns.
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
     )
@@ -51,3 +56,24 @@ def ingest_csv_directory(
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def publish_csv_directory(
+    spark: SparkSession, folder: str, schema: StructType, topic: Topic, checkpoint: str,
+    archive: str | None = None, max_files: int | None = None, once: bool = False,
+) -> StreamingQuery:
+    """Rows of every new file to a topic, as JSON with their ``source_file``; rows that do
+    not fit the schema stay out. A batch that runs again replaces what it sent to a folder
+    topic; other topics get it at least once."""
+    rows = stream_csv_directory(spark, folder, schema, archive, max_files)
+
+    def send(batch: DataFrame, batch_id: int) -> None:
+        good = batch.persist()
+        try:
+            fit = good.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
+            publish_messages(encode_row(fit), topic, batch_id)
+        finally:
+            good.unpersist()
+
+    writer = rows.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()

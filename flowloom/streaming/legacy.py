@@ -1,4 +1,4 @@
-"""The two earlier ingestion jobs: a stream and a bounded batch of legacy messages."""
+"""The two earlier ingestion jobs: a stream and a batch of legacy messages."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowloom.functions.messages import decode_value, parse_legacy_json, split_malformed
 from flowloom.operators.cleaning import assign_uuid
 from flowloom.operators.normalize import legacy_from_documents
-from flowloom.operators.sampling import limit_batch
+from flowloom.session import run_dir
 from flowloom.sources.documents import index_documents
 from flowloom.sources.tables import legacy_flow_insert
 from flowloom.sources.topics import Topic, batch_messages
@@ -30,16 +30,18 @@ def legacy_stream_ingest(
 
 
 def legacy_batch_load(
-    spark: SparkSession, topic: Topic, documents: str, table: str, n: int | None = 1000
+    spark: SparkSession, topic: Topic, documents: str, table: str,
+    failures: str | None = None,
 ) -> DataFrame:
-    """At most ``n`` messages of a topic (None: all) to the search index, best effort,
-    and to the ten-column table. Returns the undecodable ones, which are skipped."""
-    texts = batch_messages(spark, topic).transform(decode_value)
-    if n is not None:
-        texts = limit_batch(texts, n, ["json"])
-    readable, rejected = split_malformed(texts)
-    index_documents(readable, documents, "text", best_effort=True)
+    """All messages of a topic to the search index, best effort (``failures`` names what it
+    lacks), and to the ten-column table. Returns the undecodable ones, which are skipped.
+
+    The topic is read once, into the shared folder, so that the three outputs agree
+    however much arrives meanwhile.
+    """
+    staged = run_dir(spark, "legacy-batch-read")
+    batch_messages(spark, topic).transform(decode_value).write.parquet(staged)
+    readable, rejected = split_malformed(spark.read.parquet(staged))
+    index_documents(readable, documents, "text", best_effort=True, failures=failures)
     legacy_flow_insert(legacy_from_documents(readable), table)
     return rejected
-
-

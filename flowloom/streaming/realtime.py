@@ -26,8 +26,7 @@ from flowloom.functions.messages import (
 )
 from flowloom.operators.cleaning import assign_flow_id, canonical_projection, stamp_ingestion
 from flowloom.operators.lookups import filter_alerts
-from flowloom.operators.upsert import keyed_upsert
-from flowloom.schemas import FLOW, PREDICTION_COLUMNS, PREDICTION_KEY
+from flowloom.schemas import FLOW, PREDICTION_COLUMNS
 from flowloom.sources.documents import index_documents
 from flowloom.sources.topics import Topic, publish_messages
 
@@ -39,7 +38,8 @@ Transform = Callable[[DataFrame], DataFrame]
 @dataclass(frozen=True)
 class Outputs:
     """Where a scoring query writes. Table folders get one ``batch_id`` partition per
-    micro-batch; ``documents`` is a search index or folder, written best effort."""
+    micro-batch; ``documents`` is a search index or folder, written best effort: what
+    could not be written is named in the table ``index_failures``, for a retry to read."""
 
     history: str
     predictions: str
@@ -48,17 +48,21 @@ class Outputs:
     fmt: str = "parquet"
     documents: str | None = None
     documents_fmt: str = "json"
+    index_failures: str | None = None
 
 
 def batch_path(folder: str, batch_id: int) -> str:
     return f"{folder}/batch_id={batch_id}"
 
 
-def flows_from_messages(parsed: DataFrame, time: str = "ingestion_time") -> DataFrame:
-    """Parsed messages as canonical flows: trimmed addresses, integers recomputed where
-    the sender left them out, the ingestion time as flow time, a label if the sender
-    named the attack type."""
-    trimmed = parsed.withColumns({"src_ip": F.trim("src_ip"), "dst_ip": F.trim("dst_ip")})
+def flows_from_messages(
+    parsed: DataFrame, batch_id: int, time: str = "ingestion_time"
+) -> DataFrame:
+    """Parsed messages as canonical flows, cleaned as a load is: without rows that lack an
+    address, trimmed addresses, integers recomputed where the sender left them out, the
+    ingestion time as flow time, a label if the sender named the attack type."""
+    given = parsed.filter(F.col("src_ip").isNotNull() & F.col("dst_ip").isNotNull())
+    trimmed = given.withColumns({"src_ip": F.trim("src_ip"), "dst_ip": F.trim("dst_ip")})
     return (
         trimmed.withColumns({
             "src_ip_int": F.coalesce("src_ip_int", ipv4_to_long(F.col("src_ip"))),
@@ -68,7 +72,7 @@ def flows_from_messages(parsed: DataFrame, time: str = "ingestion_time") -> Data
                 F.col("attack_type").isNotNull(), binary_label(F.col("attack_type"))
             ),
         })
-        .transform(assign_flow_id)
+        .transform(assign_flow_id, None, batch_id, True)
         .transform(canonical_projection)
     )
 
@@ -96,11 +100,9 @@ def predictions_from_scored(scored: DataFrame) -> DataFrame:
 def stream_predictions_sink(
     scored: DataFrame, batch_id: int, folder: str, fmt: str = "parquet"
 ) -> None:
-    """Store the batch's predictions, one per key."""
-    latest = keyed_upsert(
-        predictions_from_scored(scored), PREDICTION_KEY, ["anomaly_score"]
-    )
-    _replace_batch(latest, folder, batch_id, fmt)
+    """Store the batch's predictions. The key holds the flow id, which no two flows share,
+    so there is one per key as it is."""
+    _replace_batch(predictions_from_scored(scored), folder, batch_id, fmt)
 
 
 def stream_alerts_sink(scored: DataFrame, batch_id: int, topic: Topic) -> None:
@@ -130,7 +132,7 @@ def fan_out(
         if outputs.documents is not None:
             index_documents(
                 stored, batch_path(outputs.documents, batch_id), outputs.documents_fmt,
-                best_effort=True, mode="overwrite",
+                best_effort=True, mode="overwrite", failures=outputs.index_failures,
             )
     finally:
         scored.unpersist()
@@ -145,7 +147,7 @@ def score_messages(
     try:
         readable, rejected = split_malformed(texts)
         _replace_batch(rejected, outputs.rejects, batch_id, outputs.fmt)
-        flows = readable.transform(parse_flow_json).transform(flows_from_messages)
+        flows = readable.transform(parse_flow_json).transform(flows_from_messages, batch_id)
         fan_out(flows, batch_id, scorer, outputs, enrich)
     finally:
         texts.unpersist()

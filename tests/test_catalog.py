@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from flowloom.plans import catalog
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -39,7 +40,7 @@ def _sorted_rows(columns, rows):
     return sorted(values, key=lambda row: [(v is None, str(v)) for v in row])
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for n, q in catalog().items() if q.sql))
 def test_matches_sql(spark, engine, name):
     df = driver.queries()[name](spark, SF_DIR)
     got = _sorted_rows(df.columns, df.collect())
@@ -53,7 +54,7 @@ def test_matches_sql(spark, engine, name):
     assert got
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(driver.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(n for n, q in catalog().items() if not q.sql))
 def test_gives_rows(spark, name):
     assert driver.queries()[name](spark, SF_DIR).count() > 0
 

@@ -106,13 +106,18 @@ def test_features_match_within_the_slice(spark):
 
 def test_clustered_table_splits_a_hot_source(spark, flows):
     path = run_dir(spark, "clustered")
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, "32k")
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         write_clustered(flows.repartition(16), path)
     finally:
-        spark.conf.set(size, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     stored = spark.read.parquet(path)
     assert stored.count() == ROWS
     hot = stored.filter("src_ip_int = 1 AND flow_date = '2024-01-01'")
@@ -122,7 +127,7 @@ def test_clustered_table_splits_a_hot_source(spark, flows):
         stored, 1, datetime(2024, 1, 1, 6), datetime(2024, 1, 2, 6), 5
     )
     plan = final_plan(rows)
-    for part in ("EqualTo(src_ip_int,1)", "EqualTo(src_bucket,1)", "TakeOrderedAndProject"):
+    for part in ("EqualTo(src_ip_int,1)", "TakeOrderedAndProject"):
         assert part in plan
     assert "flow_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     want = flows.filter("src_ip_int = 1 AND flow_start_time < TIMESTAMP '2024-01-02 06:00:00'")
@@ -137,7 +142,7 @@ def test_files_are_sorted_within(spark, flows):
     for part in spark.read.parquet(path).select(F.input_file_name().alias("f")).distinct().collect():
         rows = spark.read.parquet(part.f).select("src_ip_int", "flow_start_time").collect()
         assert rows == sorted(
-            rows, key=lambda r: (r.src_ip_int % 64, r.src_ip_int, -r.flow_start_time.timestamp())
+            rows, key=lambda r: (r.src_ip_int, -r.flow_start_time.timestamp())
         )
 
 
@@ -198,6 +203,16 @@ def test_hash_sample_is_exact_and_repeats(flows):
     assert sampling.hash_sample(flows, ROWS).count() == ROWS
 
 
+def test_hash_sample_with_repeated_ids(spark, flows):
+    rows = flows.select((F.col("flow_id") % 5).alias("flow_id"), "src_ip_int").repartition(9)
+    equal = spark.range(3000).select(F.lit(1).alias("flow_id"))
+    for n in (1, 700, 2999):
+        assert sampling.hash_sample(rows, n).count() == n
+        assert sampling.hash_sample(equal, n).count() == n
+    plan = final_plan(sampling.hash_sample(flows, 2000))
+    assert "TakeOrderedAndProject" not in plan
+
+
 def test_tree_samples_are_bounded(flows):
     rows = flows.withColumn("x", F.col("src_ip_int").cast("double"))
     per_tree = isolation.tree_samples(rows, ["x"], 7, 64, ["flow_id"], 1).groupBy("tree").count()

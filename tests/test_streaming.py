@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from flowloom.functions import messages as fn
+from flowloom.operators.cleaning import assign_flow_id
 from flowloom.operators.reports import alert_trend
 from flowloom.plans import fixtures as fx
 from flowloom.plans.streams import outputs_in
@@ -64,7 +66,9 @@ def test_flows_without_features_are_stored_but_not_scored(spark):
     outputs = outputs_in(base)
     texts = spark.createDataFrame(
         [('{"src_ip": "10.0.0.1", "dst_ip": " 10.0.0.2 ", "src_port": 1, "attack_type": "Bot"}',),
-         ('{"src_ip": "10.0.0.3"}',)],
+         ('{"src_ip": "10.0.0.3", "dst_ip": "10.0.0.4"}',),
+         # As in a load, a row without an address is no flow.
+         ('{"src_ip": "10.0.0.5"}',), ("{}",)],
         "json string",
     ).withColumn("ingestion_time", F.current_timestamp())
 
@@ -85,7 +89,7 @@ def test_enrichment_runs_before_the_scorer(spark):
     base = run_dir(spark, "t-enrich")
     outputs = outputs_in(base)
     texts = spark.createDataFrame(
-        [('{"src_ip": "10.0.0.1", "src_port": 1}',)], "json string"
+        [('{"src_ip": "10.0.0.1", "dst_ip": "10.0.0.2", "src_port": 1}',)], "json string"
     ).withColumn("ingestion_time", F.current_timestamp())
 
     def scorer(flows):
@@ -105,12 +109,17 @@ def test_enrichment_runs_before_the_scorer(spark):
 def test_failed_search_index_does_not_stop_a_batch(spark, sf_dir):
     base = run_dir(spark, "t-index")
     outputs = outputs_in(base)
-    broken = realtime.Outputs(**{**outputs.__dict__, "documents_fmt": "no.such.connector"})
+    broken = realtime.Outputs(**{
+        **outputs.__dict__, "documents_fmt": "no.such.connector",
+        "index_failures": f"{base}/failures",
+    })
     texts = fx.messages(spark, sf_dir).transform(fn.decode_value).withColumn(
         "ingestion_time", F.current_timestamp()
     )
     realtime.score_messages(texts, 0, fx.fixed_scorer, broken)
     assert spark.read.parquet(broken.predictions).count() > 0
+    missing = spark.read.parquet(broken.index_failures).collect()
+    assert [r.target for r in missing] == [realtime.batch_path(broken.documents, 0)]
 
 
 def test_directory_takes_each_file_once_and_sets_bad_rows_aside(spark):
@@ -146,3 +155,25 @@ def test_streamed_trend_holds_only_closed_buckets(spark):
         "t string, prediction double",
     ).withColumn("flow_start_time", F.col("t").cast("timestamp"))
     assert [r.alerts for r in alert_trend(rows).orderBy("bucket_start").collect()] == [1, 1]
+
+
+def test_a_file_with_other_columns_fails_the_ingestion(spark):
+    base = run_dir(spark, "t-dir-order")
+    spark.createDataFrame([("c,b,a",), ("1,2,3",)], "value string").coalesce(1).write.text(
+        f"{base}/in"
+    )
+    with pytest.raises(Exception, match="header"):
+        directory.ingest_csv_directory(
+            spark, f"{base}/in", spark.createDataFrame([], RAW_3).schema, f"{base}/out",
+            f"{base}/bad", f"{base}/checkpoint", once=True,
+        ).awaitTermination()
+
+
+def test_load_numbers_that_do_not_fit_are_refused(spark):
+    with pytest.raises(ValueError):
+        assign_flow_id(spark.range(1), load=1 << 12)
+    ids = [
+        r.flow_id for stream in (False, True) for load in (0, 1)
+        for r in assign_flow_id(spark.range(0, 50, 1, 5), None, load, stream).collect()
+    ]
+    assert len(set(ids)) == 200 and min(ids) >= 0
