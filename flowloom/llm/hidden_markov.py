@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowloom.llm.resampling import kth_largest
 from flowloom.llm.texts import fold, table, text_list
 from flowloom.session import run_dir
 
@@ -113,7 +114,11 @@ class Vocabulary:
 def vocabulary(stored: DataFrame, ends: int) -> tuple[Vocabulary, DataFrame]:
     """The bounded part of stored word counts, and the table of all other classes' totals."""
     n_sum, distinct = stored.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = stored.orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).collect()
+    # Words met more often than the HEAD_WORDS-th: fewer than HEAD_WORDS, and no sort of all.
+    often = 0
+    if distinct > HEAD_WORDS:
+        often = kth_largest(stored.select(F.col("n").cast("double")), "n", HEAD_WORDS)
+    head = sorted(stored.where(F.col("n") > often).collect(), key=lambda r: (-r["n"], r["word"]))
     own = [bytes(r["word"]) for r in head[:OWN_CLASSES]]
     least = (head[len(own) - 1]["n"], own[-1]) if own else (0, b"")
     # Own classes are the first words in the order (count down, word up).
