@@ -15,13 +15,24 @@ from flowloom.schemas import FIVE_TUPLE
 # A key is hot when it holds more than one row in SHARE of the left side, so there
 # are fewer than SHARE hot keys whatever the data: their list is safe to broadcast.
 HOT_SHARE = 1000
+MOST_SHARE = 10_000
+KEY_CELLS = 1 << 16
 SALTS = 64
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys with more than 1/share of all rows: fewer than ``share`` of them."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
+    """Keys with more than 1/share of all rows: fewer than ``share`` of them.
+
+    Rows are first counted by a hash of the key in KEY_CELLS cells, which combine before the
+    shuffle; only rows in a cell that is hot itself are counted by key.
+    """
+    if not 0 < share <= MOST_SHARE:
+        raise ValueError(f"share must be between 1 and {MOST_SHARE}")
+    cell = F.pmod(F.xxhash64(*keys), F.lit(KEY_CELLS))
+    cells = df.groupBy(cell.alias("cell")).count().collect()
+    total = sum(r["count"] for r in cells)
+    heavy = [r["cell"] for r in cells if r["count"] * share > total]
+    counts = df.filter(cell.isin(heavy)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return counts.filter(F.col("_n") * share > total).drop("_n")
 
 
