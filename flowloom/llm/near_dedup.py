@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 7
 REGISTERS = BANDS * ROWS
-#: Pivots of a bucket in the first round and in each later one.
-FIRST_PIVOTS, MORE_PIVOTS = 1, 24
+#: Pivots of a bucket in the first round and the second; then twice as many each, up to a bound.
+FIRST_PIVOTS, MORE_PIVOTS, MOST_PIVOTS = 1, 24, 768
 #: Shingles whose arrivals are drawn together.
 BATCH_SHINGLES = 400_000
 WORD_ENTRIES = 500_000
@@ -183,10 +184,10 @@ def sketch(docs: DataFrame, path: str) -> DataFrame:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) whose exact Jaccard reaches SIMILARITY."""
+    """The labels of pairs whose exact Jaccard reaches SIMILARITY."""
     last, theirs = None, set()
     for batch in batches:
-        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+        b = batch.column("b").to_pylist()
         texts_a, texts_b = text_list(batch, "text_a"), text_list(batch, "text_b")
         linked = []
         for i, pivot in enumerate(b):
@@ -198,12 +199,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shared = len(ours & theirs)
             if shared >= SIMILARITY * (len(ours) + len(theirs) - shared):
                 linked.append(i)
+        kept = pa.array(linked, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([a[i] for i in linked], pa.binary()),
-                pa.array([b[i] for i in linked], pa.binary()),
-            ],
-            ["a", "b"],
+            [batch.column("label").take(kept), batch.column("pivot_label").take(kept)], ["a", "b"]
         )
 
 
@@ -225,7 +223,8 @@ def components(edges: DataFrame) -> DataFrame:
             F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
         ).distinct(), "stars",
     )
-    while True:
+    # Done once every node hangs on a node that hangs on nothing, by one edge.
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(
@@ -238,26 +237,33 @@ def components(edges: DataFrame) -> DataFrame:
                 F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             )).alias("e")
         ).select("e.*").where(F.col("u") != F.col("v")).distinct()
-        after = _stored(small, "stars")
-        # Done once every node hangs on a node that hangs on nothing, by one edge.
-        shape = after.agg(F.count("*").alias("n"), F.count_distinct("u").alias("d")).first()
-        inner = after.join(after.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
-        if shape["n"] == shape["d"] and not inner.count():
-            roots = after.select(F.col("v").alias("node")).distinct()
-            return after.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-                roots.withColumn("label", F.col("node"))
-            )
-        edges = after
+        edges = _stored(small, "stars")
+    roots = edges.select(F.col("v").alias("node")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
+        roots.withColumn("label", F.col("node"))
+    )
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    shape = edges.agg(F.count("*").alias("n"), F.count_distinct("u").alias("d")).first()
+    if shape["n"] != shape["d"]:
+        return False
+    hubs = edges.select(F.col("v").alias("u")).distinct()
+    return edges.join(hubs, "u", "left_semi").limit(1).count() == 0
 
 
 def classes(sketches: DataFrame) -> DataFrame:
-    """node, label: classes of two or more different texts linked by verified pairs."""
+    """node, label: classes of two or more different texts linked by verified pairs.
+
+    Links join the labels of two classes, so each round's components are those of the classes
+    that it brings together, and the union of all rounds' merges gives the last labels.
+    """
     nodes = sketches.groupBy("node").agg(F.min("bands").alias("bands"))
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = _stored(banded.join(shared, "bucket").withColumn("label", F.col("node")), "members")
     texts = sketches.select("node", "text")
-    links, pivots = None, FIRST_PIVOTS
+    merges, pivots = [], FIRST_PIVOTS
     while True:
         by_bucket = Window.partitionBy("bucket").orderBy("node")
         chosen = members.withColumn("place", F.row_number().over(by_bucket)).where(
@@ -266,29 +272,32 @@ def classes(sketches: DataFrame) -> DataFrame:
         pairs = _stored(
             members.join(chosen, "bucket").where(
                 (F.col("node") > F.col("pivot")) & (F.col("label") != F.col("pivot_label"))
-            ).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs",
+            ).select(
+                F.col("node").alias("a"), F.col("pivot").alias("b"), "label", "pivot_label"
+            ).distinct(), "pairs",
         )
-        found = _stored(_linked(pairs, texts), "links")
-        links = found if links is None else links.unionByName(found)
-        labels = _stored(components(links), "labels")
+        merged = _stored(components(_linked(pairs, texts)), "merged")
+        merges.append(merged)
         # Each pivot has met all that stand behind it in its bucket; it leaves the bucket.
         passed = chosen.groupBy("bucket").agg(F.max("pivot").alias("passed"))
-        rest = members.drop("label").join(passed, "bucket").where(
-            F.col("node") > F.col("passed")
-        ).drop("passed").join(labels, "node", "left").withColumn(
-            "label", F.coalesce("label", "node")
-        )
+        rest = members.join(passed, "bucket").where(F.col("node") > F.col("passed")).join(
+            merged.select(F.col("node").alias("label"), F.col("label").alias("new")), "label", "left"
+        ).select("bucket", "node", F.coalesce("new", "label").alias("label"))
         mixed = rest.groupBy("bucket").agg(
             F.min("label").alias("low"), F.max("label").alias("high")
         ).where(F.col("low") != F.col("high")).select("bucket")
         members = _stored(rest.join(mixed, "bucket").select("bucket", "node", "label"), "members")
-        pivots = MORE_PIVOTS
         if not members.count():
-            return labels
+            break
+        pivots = min(MOST_PIVOTS, max(MORE_PIVOTS, 2 * pivots))
+    if len(merges) == 1:
+        return merges[0]
+    every = reduce(DataFrame.unionByName, merges)
+    return components(every.select(F.col("node").alias("a"), F.col("label").alias("b")))
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that verification keeps."""
+    """Labels (a, b) of the classes that a verified pair links, for pairs with their labels."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node"))
     ).distinct()
@@ -299,7 +308,9 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
     with_a = pairs.join(one_each.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     full = with_a.join(one_each.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return full.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary")
+    return full.select("a", "b", "label", "pivot_label", "text_a", "text_b").mapInArrow(
+        _verify, "a binary, b binary"
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
