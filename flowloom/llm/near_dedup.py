@@ -29,8 +29,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 7
 REGISTERS = BANDS * ROWS
-#: Pivots of a bucket in the first round and the second; then twice as many each, up to a bound.
-FIRST_PIVOTS, MORE_PIVOTS, MOST_PIVOTS = 1, 24, 768
+#: Pivots of a bucket in the first round; then four times as many each, up to a bound.
+FIRST_PIVOTS, MOST_PIVOTS = 1, 768
+#: Share of equal registers below which a pair is not verified: 4.5 standard deviations of
+#: what a pair of just SIMILARITY has.
+LEAST_EQUAL = 0.68
 #: Shingles whose arrivals are drawn together.
 BATCH_SHINGLES = 400_000
 WORD_ENTRIES = 500_000
@@ -128,9 +131,9 @@ def _band_keys(holders: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _sketch(texts: list[str]) -> tuple[list[bytes], list]:
-    """Key of each text's words, and its band keys (none without words)."""
-    keys, bands = [], [[] for _ in texts]
+def _sketch(texts: list[str]) -> tuple[list[bytes], list, list[bytes]]:
+    """Key of each text's words, its band keys (none without words), a byte of each register."""
+    keys, bands, registers = [], [[] for _ in texts], [b"" for _ in texts]
     pending: list[tuple[int, np.ndarray, np.ndarray]] = []
     held = 0
 
@@ -142,8 +145,9 @@ def _sketch(texts: list[str]) -> tuple[list[bytes], list]:
                 np.concatenate([w for _, _, w in pending]),
                 np.repeat(np.arange(len(pending)), sizes), len(pending),
             )
-            for (i, _, _), row in zip(pending, _band_keys(holders), strict=True):
-                bands[i] = row.tolist()
+            short = (holders & np.uint64(0xFF)).astype(np.uint8)
+            for (i, _, _), row, own in zip(pending, _band_keys(holders), short, strict=True):
+                bands[i], registers[i] = row.tolist(), own.tobytes()
             pending.clear()
 
     for i, text in enumerate(texts):
@@ -156,7 +160,7 @@ def _sketch(texts: list[str]) -> tuple[list[bytes], list]:
                 flush()
                 held = 0
     flush()
-    return keys, bands
+    return keys, bands, registers
 
 
 def sketch(docs: DataFrame, path: str) -> DataFrame:
@@ -165,20 +169,21 @@ def sketch(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, bands = _sketch(text_list(batch, "text"))
+            keys, bands, registers = _sketch(text_list(batch, "text"))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text"), batch.column("rest"),
                     pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(registers, pa.binary()),
                 ],
-                ["doc_id", "text", "rest", "node", "bands"],
+                ["doc_id", "text", "rest", "node", "bands", "registers"],
             )
 
     kinds = dict(shaped.dtypes)
     shaped.mapInArrow(
         run,
         f"doc_id {kinds['doc_id']}, text string, rest {kinds['rest']}, node binary, "
-        "bands array<long>",
+        "bands array<long>, registers binary",
     ).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.parquet(path)
 
@@ -258,7 +263,11 @@ def classes(sketches: DataFrame) -> DataFrame:
     Links join the labels of two classes, so each round's components are those of the classes
     that it brings together, and the union of all rounds' merges gives the last labels.
     """
-    nodes = sketches.groupBy("node").agg(F.min("bands").alias("bands"))
+    nodes = _stored(
+        sketches.groupBy("node").agg(
+            F.min("bands").alias("bands"), F.min("registers").alias("registers")
+        ), "nodes",
+    )
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = _stored(banded.join(shared, "bucket").withColumn("label", F.col("node")), "members")
@@ -276,7 +285,8 @@ def classes(sketches: DataFrame) -> DataFrame:
                 F.col("node").alias("a"), F.col("pivot").alias("b"), "label", "pivot_label"
             ).distinct(), "pairs",
         )
-        merged = _stored(components(_linked(pairs, texts)), "merged")
+        likely = _stored(_likely(pairs, nodes), "likely")
+        merged = _stored(components(_linked(likely, texts)), "merged")
         merges.append(merged)
         # Each pivot has met all that stand behind it in its bucket; it leaves the bucket.
         passed = chosen.groupBy("bucket").agg(F.max("pivot").alias("passed"))
@@ -289,13 +299,38 @@ def classes(sketches: DataFrame) -> DataFrame:
         members = _stored(rest.join(mixed, "bucket").select("bucket", "node", "label"), "members")
         if not members.count():
             break
-        pivots = min(MOST_PIVOTS, max(MORE_PIVOTS, 2 * pivots))
+        pivots = min(MOST_PIVOTS, 4 * pivots)
     if len(merges) == 1:
         return merges[0]
     every = reduce(DataFrame.unionByName, merges)
     return components(every.select(F.col("node").alias("a"), F.col("label").alias("b")))
 
 
+def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose two texts share enough registers to be worth verifying."""
+    for batch in batches:
+        size = batch.num_rows
+        ours, theirs = (
+            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(size, -1)
+            for c in ("registers_a", "registers_b")
+        )
+        near = (ours == theirs).mean(axis=1) >= LEAST_EQUAL if size else np.zeros(0, bool)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).filter(pa.array(near)) for c in ("a", "b", "label", "pivot_label")],
+            ["a", "b", "label", "pivot_label"],
+        )
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that their registers do not rule out; texts are then moved for few pairs."""
+    def side(name: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(name), F.col("registers").alias(f"registers_{name}"))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
+        _agree, "a binary, b binary, label binary, pivot_label binary"
+    )
+
+
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Labels (a, b) of the classes that a verified pair links, for pairs with their labels."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(
