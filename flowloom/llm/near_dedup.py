@@ -1,9 +1,10 @@
 """Near duplicates by ProbMinHash, banding and verification.
 
-Texts are sets of weighted five-word shingles. ProbMinHash lets the shingles of a text arrive in a
-Poisson process each, at a rate of their weight, and gives every register to the first arrival it
-sees; arrivals later than the last register's are never drawn. Two texts agree in a register
-with their probability Jaccard. Texts that agree in a whole band of registers meet in a bucket,
+Texts are sets of five-word shingles. ProbMinHash lets the shingles of a text arrive in a Poisson
+process each, at a rate of their weight, and gives every register to the first arrival it sees;
+arrivals later than the last register's are never drawn. Two texts agree in a register with
+their probability Jaccard. Every distinct shingle weighs one, however often it is repeated, so
+that this is the Jaccard of the sets, by which pairs are verified. Texts that agree in a whole band of registers meet in a bucket,
 and pairs that meet are verified by the exact Jaccard of their shingle sets.
 
 Exact copies are one node from the start. A bucket never gives all its pairs: its members are
@@ -72,19 +73,18 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _weighted_shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of distinct shingles and their weights: one, and more slowly the more repeats."""
+def _shingle_hashes(words: list[str]) -> np.ndarray:
+    """Hashes of distinct shingles."""
     hashes = np.array([_WORD_HASH[w] for w in words], dtype=np.uint64)
     if len(words) < SHINGLE:
         whole = np.array([len(words)], dtype=np.uint64)
         for i in range(len(hashes)):
             whole = _mixed(whole * _GOLDEN + hashes[i:i + 1])
-        return whole, np.ones(1)
+        return whole
     rolled = hashes[:len(hashes) - SHINGLE + 1].copy()
     for i in range(1, SHINGLE):
         rolled = rolled * _GOLDEN + hashes[i:len(hashes) - SHINGLE + 1 + i]
-    distinct, counts = np.unique(_mixed(rolled), return_counts=True)
-    return distinct, 1.0 + np.log(counts)
+    return np.unique(_mixed(rolled))
 
 
 def prob_min_hash(
@@ -134,19 +134,18 @@ def _band_keys(holders: np.ndarray) -> np.ndarray:
 def _sketch(texts: list[str]) -> tuple[list[bytes], list, list[bytes]]:
     """Key of each text's words, its band keys (none without words), a byte of each register."""
     keys, bands, registers = [], [[] for _ in texts], [b"" for _ in texts]
-    pending: list[tuple[int, np.ndarray, np.ndarray]] = []
+    pending: list[tuple[int, np.ndarray]] = []
     held = 0
 
     def flush() -> None:
         if pending:
-            sizes = [len(e) for _, e, _ in pending]
+            sizes = [len(e) for _, e in pending]
             holders = prob_min_hash(
-                np.concatenate([e for _, e, _ in pending]),
-                np.concatenate([w for _, _, w in pending]),
+                np.concatenate([e for _, e in pending]), np.ones(sum(sizes)),
                 np.repeat(np.arange(len(pending)), sizes), len(pending),
             )
             short = (holders & np.uint64(0xFF)).astype(np.uint8)
-            for (i, _, _), row, own in zip(pending, _band_keys(holders), short, strict=True):
+            for (i, _), row, own in zip(pending, _band_keys(holders), short, strict=True):
                 bands[i], registers[i] = row.tolist(), own.tobytes()
             pending.clear()
 
@@ -154,7 +153,7 @@ def _sketch(texts: list[str]) -> tuple[list[bytes], list, list[bytes]]:
         words = words_of(text)
         keys.append(hashlib.md5(" ".join(words).encode(), usedforsecurity=False).digest())
         if words:
-            pending.append((i, *_weighted_shingles(words)))
+            pending.append((i, _shingle_hashes(words)))
             held += len(pending[-1][1])
             if held >= BATCH_SHINGLES:
                 flush()

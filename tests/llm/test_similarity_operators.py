@@ -58,6 +58,29 @@ def test_crowded_buckets(spark):
     assert sorted(r.doc_id for r in one_each) == sorted(set(found.values()))
 
 
+@pytest.mark.parametrize("times", [20, 100])
+def test_repeats_of_one_copy(spark, times):
+    """One copy repeats a passage; the sets of shingles are still alike (0.83)."""
+    rng = np.random.default_rng(times)
+    texts = []
+    for pair in range(40):
+        own = [f"p{pair}w{i}" for i in range(204)]
+        at = int(rng.integers(20, 150))
+        other = list(own)
+        for place in (5, 190, 198):
+            other[place] = f"p{pair}x{place}"
+        texts += [other, own[:at] + own[at:at + 24] * times + own[at + 24:]]
+    shared = [len(set.intersection(*(near_dedup.shingle_set(" ".join(t)) for t in texts[i:i + 2])))
+              / len(set.union(*(near_dedup.shingle_set(" ".join(t)) for t in texts[i:i + 2])))
+              for i in range(0, len(texts), 2)]
+    assert 0.8 < min(shared) and max(shared) < 0.85
+    docs = spark.createDataFrame(
+        [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"
+    )
+    found = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert found == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_near_duplicates_odd(spark, odd_docs, odd_rows, no_docs):
     found = near_dedup.near_duplicates(odd_docs)
     assert found.columns == [c for c in odd_docs.columns if c != "class_id"] + ["class_id"]
