@@ -3,8 +3,9 @@
 Every node gets its characters per tag, adjusted by how much of them are links (a node of links
 falls, a node of prose rises). A node's density sum adds up its children's densities; the node of
 the highest sum holds the prose. The lowest density on its path up to the body is the threshold:
-subtrees of the body that reach it are content too. Parts that the page itself names as something
-else (navigation, adverts, comments, ...) are cut out before densities are taken.
+subtrees of the body that reach it are content too. Elements that never hold an article are cut out
+before densities are taken. Parts whose class or id names something else (navigation, adverts,
+comments, ...) are cut out unless headings, articles or their own density speak for them.
 """
 
 from __future__ import annotations
@@ -58,7 +59,18 @@ NAMES = frozenset(
     "recommendations newsletter subscribe subscription signup login search pagination pager toolbar "
     "widget widgets hidden".split()
 )
+#: Names of a discussion, which is prose too: density and headings do not speak for it.
+DISCUSSION = frozenset(
+    "comments commentlist comment-list comment_list replies respond disqus "
+    "disqus_thread".split()
+)
+#: Words that a name may hold beside those of NAMES.
+NEUTRAL = frozenset("bar block box container list".split())
 HOLDERS = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Share of the body's unlinked characters below which a named part is cut whatever its density,
+#: and the share for one that stands beside an article or main; beside one with a heading it is cut.
+SMALL_SHARE, SMALL_BESIDE = 0.1, 0.5
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -77,7 +89,7 @@ _PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Node:
     __slots__ = (
         "tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density",
-        "density_sum",
+        "density_sum", "named",
     )
 
     def __init__(self, tag: str, parent: Node | None) -> None:
@@ -85,6 +97,7 @@ class Node:
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.density_sum = 0.0
+        self.named = ""
 
 
 def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
@@ -102,14 +115,30 @@ def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "style" and "display:none" in value.lower().replace(" ", ""):
             return True
-        if name in ("class", "id") and tag not in HOLDERS | {"h1"}:
-            if any(piece.lower() in NAMES for piece in _PIECES.findall(value)):
-                return True
-        elif name in ("class", "id") and "comment" in value.lower():
-            return True
     return False
 
 
+def _named(tag: str, attributes: str, in_article: bool) -> str:
+    """"other" or "discussion" if a whole class, or the id, names something but the article."""
+    if not attributes or tag in HEADINGS or tag in INLINE or tag in ("html", "body"):
+        return ""
+    found = ""
+    for name, value in _NAMING.findall(attributes):
+        name = name.lower()
+        if name not in ("class", "id"):
+            continue
+        for token in value.strip("\"'").split():
+            if token.lower() in DISCUSSION or tag in HOLDERS and token.lower() == "comment":
+                return "discussion"
+            # An id inside an article is an anchor.
+            if tag in HOLDERS or name == "id" and in_article:
+                continue
+            pieces = {piece.lower() for piece in _PIECES.findall(token)}
+            if pieces & NAMES and pieces <= NAMES | NEUTRAL:
+                found = "other"
+    return found
+
+
 def parse(page: str) -> Node:
     """The page's tree without parts that are not content; texts are decoded strings."""
     root = Node("#root", None)
@@ -162,6 +191,7 @@ def parse(page: str) -> Node:
                 skip, stack = tag, [tag]
             continue
         child = Node(tag, node)
+        child.named = _named(tag, attributes, articles > 0)
         node.children.append(child)
         if not closed:
             node = child
@@ -206,14 +236,20 @@ def _make_room(node: Node, tag: str, articles: int) -> tuple[Node, int]:
     return node, articles
 
 
-def measure(root: Node) -> list[Node]:
-    """All nodes in page order, with counts, densities and density sums."""
+def _in_order(root: Node) -> list[Node]:
     nodes, pending = [], [root]
     while pending:
         node = pending.pop()
         nodes.append(node)
         pending += [c for c in reversed(node.children) if isinstance(c, Node)]
+    return nodes
+
+
+def measure(root: Node) -> list[Node]:
+    """All nodes in page order, with counts, densities and density sums."""
+    nodes = _in_order(root)
     for node in reversed(nodes):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         for child in node.children:
             if isinstance(child, str):
                 node.chars += len("".join(child.split()))
@@ -244,9 +280,68 @@ def _density(node: Node, overall: float) -> float:
     return max(0.0, chars / tags * math.log(chars / links * tags / link_tags) / math.log(base))
 
 
+def _body_path(nodes: list[Node], body: Node) -> tuple[Node, float]:
+    """The node of the highest density sum, and the lowest density from it up to the body."""
+    best = max(nodes, key=lambda n: (n.density_sum, n.density))
+    threshold, path = best.density, best
+    while path is not body and path.parent is not None and path.parent is not body:
+        path = path.parent
+        threshold = min(threshold, path.density)
+    return best, threshold
+
+
+def _cut_named(root: Node) -> list[Node]:
+    """All nodes, measured, without named parts that nothing speaks for."""
+    nodes = _in_order(root)
+    if not any(n.named for n in nodes):
+        return measure(root)
+    spoken_for = set()
+    for node in reversed(nodes):
+        if node.parent is not None and (
+            node in spoken_for or node.tag in HEADINGS
+            or node.tag in HOLDERS and node.named != "discussion"
+        ) and node.named != "discussion":
+            spoken_for.add(node.parent)
+    measure(root)
+    body = next((n for n in nodes if n.tag == "body"), root)
+    unlinked = body.chars - body.link_chars
+    cut, pending = [], [root]
+    while pending:
+        node = pending.pop()
+        for i, child in enumerate(node.children):
+            if not isinstance(child, Node):
+                continue
+            if child.named == "discussion" or child.named and child not in spoken_for:
+                node.children[i] = " "
+                cut.append((node, i, child, child.density, child.chars - child.link_chars))
+            else:
+                pending.append(child)
+    nodes = measure(root)
+    _, threshold = _body_path(nodes, body)
+    held = any(n.tag in HOLDERS and n.chars for n in nodes)
+    titled = any(n.tag in HEADINGS and n.chars and _holder_above(n) for n in nodes)
+    back = []
+    for node, i, child, density, plain in cut:
+        beside = held and not _holder_above(node)
+        if beside and titled:
+            continue
+        least = max(1, (SMALL_BESIDE if beside else SMALL_SHARE) * unlinked)
+        if child.named != "discussion" and density >= threshold and plain >= least:
+            back.append((node, i, child))
+    for node, i, child in back:
+        node.children[i] = child
+    return measure(root) if back else nodes
+
+
+def _holder_above(node: Node | None) -> bool:
+    while node is not None and node.tag not in HOLDERS:
+        node = node.parent
+    return node is not None
+
+
 def content(root: Node) -> list[Node]:
     """The subtrees that hold the article."""
-    nodes = measure(root)
+    nodes = _cut_named(root)
     body = next((n for n in nodes if n.tag == "body"), root)
     if not body.chars:
         return []

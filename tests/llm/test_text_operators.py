@@ -183,6 +183,34 @@ def test_density_selects_prose():
     assert "link" not in text_density.main_text(page)
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='layout has-sidebar'", "div id='page' class='with-nav'", "div class='search-results'",
+    "div class='widget'", "div class='sidebar'",
+])
+@pytest.mark.parametrize("inner", ["<article><h1>T</h1>{}</article>", "<div>{}</div>"])
+def test_names_of_wrappers(wrapper, inner):
+    page = f"<body><div class=ad>buy</div><{wrapper}>{inner.format(PROSE * 3)}</div></body>"
+    found = text_density.main_text(page)
+    assert found.count("Long prose here") == found.count("A second one") == 3
+    assert "buy" not in found
+
+
+def test_names_inside_an_article():
+    page = (
+        f"<article>{PROSE}<h2 id='related-work'>Related work</h2>{PROSE}<h3 class=comment>Aside</h3>"
+        f"<section id='login'><h2>Log in</h2><p>Use the form.</p></section>"
+        f"<section id=search><p>Look here.</p></section><pre><span class=comment># c</span> x</pre>"
+        "<div class='share'>Tell all</div><div id=comments><h2>Said</h2><p>No.</p></div></article>"
+    )
+    found = text_density.main_text(page)
+    for kept in ("Related work", "Aside", "Log in", "Use the form.", "Look here.", "# c x"):
+        assert kept in found
+    assert "Tell all" not in found and "No." not in found
+    assert found.count("Long prose here") == 2
+    titled = text_density.main_text(f"<article class='post has-comments'>{PROSE}</article>")
+    assert "Long prose here" in titled
+
+
 def test_pages_odd(spark):
     rows = [(1, None, None), (None, "u", ""), (2, "u", "<p>a</p>"), (2, "u", "<p>a</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
