@@ -68,6 +68,9 @@ DISCUSSION = frozenset(
 NEUTRAL = frozenset("bar block box container list".split())
 HOLDERS = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What short prose is in; parts of lists and tables, which are not judged by themselves.
+PROSE = HEADINGS | frozenset("p ul ol dl table pre blockquote figure header hgroup".split())
+WITHIN_LISTS = frozenset("p li dt dd tr td th caption figcaption summary".split())
 #: Share of the body's unlinked characters below which a named part is cut whatever its density,
 #: and the share for one that stands beside an article or main; beside one with a heading it is cut.
 SMALL_SHARE, SMALL_BESIDE = 0.1, 0.5
@@ -339,34 +342,54 @@ def _holder_above(node: Node | None) -> bool:
     return node is not None
 
 
-def content(root: Node) -> list[Node]:
-    """The subtrees that hold the article."""
+def _of_links(node: Node) -> bool:
+    """Whether a part is a list of links rather than prose that holds some."""
+    return (
+        node.tag not in INLINE and node.tag not in WITHIN_LISTS and node.tag not in HEADINGS
+        and node.link_tags > 1 and 2 * node.link_chars > node.chars
+    )
+
+
+def content(root: Node) -> Node | None:
+    """The body with only what belongs to the article; None if there is no text.
+
+    On the path from the body to the best node, what stands beside it stays if its density
+    reaches the threshold; an article, or a paragraph, list or heading below the body stays
+    below it too. In what stays, and in the best node, only lists of links below the threshold go.
+    Of what goes, subtrees that reach the threshold stay.
+    """
     nodes = _cut_named(root)
     body = next((n for n in nodes if n.tag == "body"), root)
     if not body.chars:
-        return []
-    best = max(nodes, key=lambda n: (n.density_sum, n.density))
-    holder, above = None, best
-    while above is not None:
-        if above.tag in HOLDERS:
-            holder = above
+        return None
+    best, threshold = _body_path(nodes, body)
+    if not _below(best, body):
+        best, threshold = body, body.density
+    path, above = set(), best
+    while above is not body:
+        path.add(above)
         above = above.parent
-    if holder is not None:
-        return [holder]
-    if best is body or best is root or not _below(best, body):
-        return [body]
-    threshold, path = best.density, best
-    while path.parent is not None and path.parent is not body:
-        path = path.parent
-        threshold = min(threshold, path.density)
-    chosen, pending = [], [body]
+    pending = [(body, "whole" if best is body else "path")]
     while pending:
-        node = pending.pop()
-        if node is not body and node.density >= threshold:
-            chosen.append(node)
-        else:
-            pending += [c for c in reversed(node.children) if isinstance(c, Node)]
-    return chosen
+        node, part = pending.pop()
+        for i, child in enumerate(node.children):
+            if isinstance(child, str):
+                if part == "dense" or part == "path" and node is body:
+                    node.children[i] = " "
+                continue
+            reaches = child.density >= threshold
+            if part == "path" and child in path:
+                whole = child is best or child.tag == "article"
+                pending.append((child, "whole" if whole else "path"))
+            elif reaches or not _of_links(child) and (
+                part == "whole" or part == "path" and (
+                    child.tag in HOLDERS or node is not body and child.tag in PROSE
+                )
+            ):
+                pending.append((child, "whole"))
+            else:
+                pending.append((child, "dense"))
+    return body
 
 
 def _below(node: Node, above: Node) -> bool:
@@ -396,7 +419,8 @@ def main_text(page: str) -> str:
     """The article of a page as one line; empty if there is none."""
     if not page:
         return ""
-    return " ".join(" ".join(map(text_of, content(parse(page)))).split())
+    body = content(parse(page))
+    return "" if body is None else " ".join(text_of(body).split())
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

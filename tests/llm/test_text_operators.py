@@ -195,6 +195,25 @@ def test_names_of_wrappers(wrapper, inner):
     assert "buy" not in found
 
 
+LINKS = "<div>" + "".join(f"<div><a href={i}>link number {i}</a></div>" for i in range(9)) + "</div>"
+
+
+@pytest.mark.parametrize("page,prose", [
+    (f"<body><article>{PROSE * 3}</article><article>{PROSE}</article></body>", 4),
+    (f"<body><div><article>{PROSE}</article><article>{PROSE * 2}</article></div>{LINKS}</body>", 3),
+    (f"<body><article><h1>T</h1>{PROSE * 3}</article><div>{PROSE * 2}</div>{LINKS}</body>", 5),
+    (f"<body><main>{LINKS}<h1>T</h1><div>{PROSE * 3}</div>{LINKS}</main></body>", 3),
+    (f"<body><main><h1>T</h1>{PROSE * 3}{LINKS}</main></body>", 3),
+    (f"<body><main><div>{PROSE * 3}</div><div>Legal</div></main></body>", 3),
+    (f"<body><article><div>{PROSE * 3}<ul><li>one<li>two</ul></div>{LINKS}</article></body>", 3),
+])
+def test_threshold_beside_and_inside_holders(page, prose):
+    found = text_density.main_text(page)
+    assert found.count("Long prose here") == found.count("A second one") == prose
+    assert "link" not in found and "Legal" not in found
+    assert ("T" in found.split()) == ("<h1>" in page) and ("two" in found) == ("<li>two" in page)
+
+
 def test_names_inside_an_article():
     page = (
         f"<article>{PROSE}<h2 id='related-work'>Related work</h2>{PROSE}<h3 class=comment>Aside</h3>"
