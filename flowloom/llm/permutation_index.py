@@ -176,10 +176,14 @@ def search(
     """The k nearest of each query: query_id, rank (from 1), vec_id, score (Euclidean distance).
 
     A query never finds its own id. Ties go to smaller ids; fewer candidates than k give fewer
-    rows. Unusable queries give no rows, and a query id that repeats is asked once. An empty
-    index or query table gives no rows. Other columns are ignored.
+    rows. Unusable queries give no rows, and a query id that repeats is asked once, with the
+    smallest of its vectors. An empty index or query table gives no rows. Other columns are
+    ignored.
     """
-    asked = usable(queries, id_column, vector_column).dropDuplicates(["vec_id"])
+    least = F.min(F.struct("vector", "dim")).alias("least")
+    asked = usable(queries, id_column, vector_column).groupBy("vec_id").agg(least).select(
+        "vec_id", "least.vector", "least.dim"
+    )
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     # Queries in bounded blocks against shards of bounded size.

@@ -186,6 +186,46 @@ def test_recall_beyond_the_candidates():
     assert np.mean(hits) >= 9
 
 
+def test_recall_at_a_full_shard():
+    """16,384 perturbed copies of the real embeddings; an eighth is ranked exactly."""
+    import pandas as pd
+    import pyarrow.parquet as pq
+
+    real = np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist())
+    n, rng = permutation_index.SHARD_ROWS, np.random.default_rng(3)
+    assert permutation_index.CANDIDATES * 8 <= n
+    copies = real[np.arange(n) % len(real)]
+    matrix = copies + rng.normal(size=copies.shape) * real.std(axis=0)
+    pivots = permutation_index._spread(np.unique(matrix, axis=0))
+    orders = permutation_index._nearest_pivots(matrix, pivots)
+    shard = {
+        "vec_ids": np.arange(n, dtype="<i8").tobytes(), "vectors": matrix.tobytes(),
+        "pivots": pivots.tobytes(), "postings": permutation_index._post(orders, len(pivots)),
+    }
+    asked = list(range(0, n, 820))
+    queries = pd.DataFrame({"vec_id": asked, "vector": [matrix[i] for i in asked]})
+    found = {}
+    for query, vec_id, _ in permutation_index._search_shard(queries, shard, real.shape[1], 10):
+        found.setdefault(query, set()).add(vec_id)
+    hits = [len(found[q] & {i for i, _ in brute_neighbours(list(range(n)), matrix, q)})
+            for q in asked]
+    assert np.mean(hits) >= 9
+
+
+def test_repeated_query_ids(spark):
+    """The smallest vector of an id is asked, in whatever order its rows arrive."""
+    rows = [(1, [0.0, 1.0]), (2, [5.0, 5.0]), (3, [9.0, 1.0])]
+    index = permutation_index.build_index(
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    ).persist()
+    asked = [(7, [9.0, 1.0]), (7, [0.0, 1.0]), (7, [5.0, 5.0])]
+    for order in itertools.permutations(asked):
+        queries = spark.createDataFrame(list(order), "vec_id long, embedding array<float>")
+        found = permutation_index.search(index, queries.coalesce(1), 1).collect()
+        assert [(r.query_id, r.vec_id, r.score) for r in found] == [(7, 1, 0.0)]
+    index.unpersist()
+
+
 def test_neighbours_odd(spark):
     rows = [
         (0, [1.0, 0.0]), (100, [0.0, 0.0]), (200, None), (300, [float("nan"), 1.0]),
