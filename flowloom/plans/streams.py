@@ -44,7 +44,7 @@ def outputs_in(base: str) -> realtime.Outputs:
     return realtime.Outputs(
         history=f"{base}/history", predictions=f"{base}/predictions",
         alerts=topics.Topic("alerts", base, "parquet"), rejects=f"{base}/rejects",
-        documents=f"{base}/documents",
+        documents=f"{base}/documents", index_failures=f"{base}/index_failures",
     )
 
 
@@ -244,7 +244,8 @@ def legacy_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legacy_batch_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "legacy-batch")
     legacy.legacy_batch_load(
-        spark, message_topic(spark, sf_dir), f"{base}/documents", f"{base}/rows"
+        spark, message_topic(spark, sf_dir), f"{base}/documents", f"{base}/rows",
+        f"{base}/index_failures",
     )
     return spark.read.schema(LEGACY_FLOW).parquet(f"{base}/rows").drop("id")
 

@@ -34,7 +34,7 @@ def legacy_batch_load(
     failures: str | None = None,
 ) -> DataFrame:
     """All messages of a topic to the search index, best effort (``failures`` names what it
-    lacks), and to the ten-column table. Returns the undecodable ones, which are skipped.
+    lacks, beside ``table`` unless given), and to the ten-column table. Returns the undecodable ones, which are skipped.
 
     The topic is read once, into the shared folder, so that the three outputs agree
     however much arrives meanwhile.
@@ -42,6 +42,9 @@ def legacy_batch_load(
     staged = run_dir(spark, "legacy-batch-read")
     batch_messages(spark, topic).transform(decode_value).write.parquet(staged)
     readable, rejected = split_malformed(spark.read.parquet(staged))
-    index_documents(readable, documents, "text", best_effort=True, failures=failures)
+    index_documents(
+        readable, documents, "text", best_effort=True,
+        failures=failures or f"{table}_index_failures",
+    )
     legacy_flow_insert(legacy_from_documents(readable), table)
     return rejected

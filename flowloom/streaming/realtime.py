@@ -39,7 +39,8 @@ Transform = Callable[[DataFrame], DataFrame]
 class Outputs:
     """Where a scoring query writes. Table folders get one ``batch_id`` partition per
     micro-batch; ``documents`` is a search index or folder, written best effort: what
-    could not be written is named in the table ``index_failures``, for a retry to read."""
+    could not be written is named in the table ``index_failures`` (beside ``rejects`` unless
+    given), for a retry to read."""
 
     history: str
     predictions: str
@@ -50,6 +51,10 @@ class Outputs:
     documents_fmt: str = "json"
     index_failures: str | None = None
 
+    def __post_init__(self) -> None:
+        if self.index_failures is None:
+            object.__setattr__(self, "index_failures", f"{self.rejects}_index_failures")
+
 
 def batch_path(folder: str, batch_id: int) -> str:
     return f"{folder}/batch_id={batch_id}"

@@ -5,11 +5,12 @@ from flowloom.functions import messages as fn
 from flowloom.operators.cleaning import assign_flow_id
 from flowloom.operators.reports import alert_trend
 from flowloom.plans import fixtures as fx
+from flowloom.plans.stored import message_topic
 from flowloom.plans.streams import outputs_in
 from flowloom.schemas import FLOW, FLOW_COLUMNS, MESSAGE
 from flowloom.session import run_dir
 from flowloom.sources.topics import Topic, batch_messages, publish_messages, stream_messages
-from flowloom.streaming import directory, realtime
+from flowloom.streaming import directory, legacy, realtime
 
 RAW_3 = "a string, b string, c string"
 
@@ -122,6 +123,26 @@ def test_failed_search_index_does_not_stop_a_batch(spark, sf_dir):
     assert [r.target for r in missing] == [realtime.batch_path(broken.documents, 0)]
 
 
+def test_failures_are_named_by_default(spark, sf_dir):
+    base = run_dir(spark, "t-index-default")
+    given = outputs_in(base)
+    assert given.index_failures == f"{base}/index_failures"
+    broken = realtime.Outputs(**{
+        **given.__dict__, "documents_fmt": "no.such.connector", "index_failures": None,
+    })
+    texts = fx.messages(spark, sf_dir).transform(fn.decode_value).withColumn(
+        "ingestion_time", F.current_timestamp()
+    )
+    realtime.score_messages(texts, 0, fx.fixed_scorer, broken)
+    missing = spark.read.parquet(f"{broken.rejects}_index_failures").collect()
+    assert [r.target for r in missing] == [realtime.batch_path(broken.documents, 0)]
+
+    topic = message_topic(spark, sf_dir)
+    legacy.legacy_batch_load(spark, topic, "no-such-store://index/flows", f"{base}/rows")
+    missing = spark.read.parquet(f"{base}/rows_index_failures").collect()
+    assert [r.target for r in missing] == ["no-such-store://index/flows"]
+
+
 def test_directory_takes_each_file_once_and_sets_bad_rows_aside(spark):
     base = run_dir(spark, "t-dir")
     lines = spark.createDataFrame(
