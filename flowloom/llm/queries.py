@@ -13,6 +13,7 @@ from flowloom.llm import (
     text_density,
     token_files,
     toxicity,
+    whitening,
 )
 from flowloom.plans.registry import Query
 
@@ -29,4 +30,5 @@ def llm_catalog() -> dict[str, Query]:
         "op8_quality_rules": Query(quality_rules.op8_quality_rules, quality_rules.OP8_SQL),
         "op9_prob_min_hash": Query(near_dedup.op9_prob_min_hash, None),
         "op10_permutation_index": Query(permutation_index.op10_permutation_index, None),
+        "op12_feast_whitening": Query(whitening.op12_feast_whitening, None),
     }
