@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from flowloom.llm import (
     hidden_markov,
+    max_sketch,
     near_dedup,
     packing,
     permutation_index,
@@ -31,4 +32,5 @@ def llm_catalog() -> dict[str, Query]:
         "op9_prob_min_hash": Query(near_dedup.op9_prob_min_hash, None),
         "op10_permutation_index": Query(permutation_index.op10_permutation_index, None),
         "op12_feast_whitening": Query(whitening.op12_feast_whitening, None),
+        "op13_max_sketch_search": Query(max_sketch.op13_max_sketch_search, max_sketch.OP13_SQL),
     }
