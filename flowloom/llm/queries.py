@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flowloom.llm import (
+    folded_bpe,
     hidden_markov,
     max_sketch,
     near_dedup,
@@ -31,6 +32,7 @@ def llm_catalog() -> dict[str, Query]:
         "op8_quality_rules": Query(quality_rules.op8_quality_rules, quality_rules.OP8_SQL),
         "op9_prob_min_hash": Query(near_dedup.op9_prob_min_hash, None),
         "op10_permutation_index": Query(permutation_index.op10_permutation_index, None),
+        "op11_folded_bpe": Query(folded_bpe.op11_folded_bpe, None),
         "op12_feast_whitening": Query(whitening.op12_feast_whitening, None),
         "op13_max_sketch_search": Query(max_sketch.op13_max_sketch_search, max_sketch.OP13_SQL),
     }
