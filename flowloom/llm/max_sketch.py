@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ TOP = 50
 CELLS_PER_TERM, LEAST_CELLS = 8, 64
 #: The cell value for all frequencies above 254; its impact is the largest there is.
 SATURATED, LARGEST_IMPACT = 255, 1_000_000
+#: Bytes of text that are folded together.
+RUN_BYTES = 1 << 20
 #: Pairs of a query and a term that are asked together.
 BLOCK_PAIRS = 65_536
 #: Cells of sketches that are multiplied together.
@@ -121,21 +124,23 @@ def write_index(docs: DataFrame, path: str) -> None:
             )
 
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            vectors = [Counter(terms_of(text)) for text in texts]
-            kept = [i for i, v in enumerate(vectors) if v]
-            vectors = [vectors[i] for i in kept]
-            for vector in vectors:
-                held.update(vector.keys())
-            yield _index_rows(
-                "doc", len(kept), doc_id=batch.column("doc_id").take(pa.array(kept, pa.int64())),
-                n=pa.array([v.total() for v in vectors], pa.int64()), cells=sketches(vectors),
-                terms=[b" ".join(v) for v in vectors],
-                counts=[np.fromiter(v.values(), "<u4", len(v)).tobytes() for v in vectors],
-            )
-            if len(held) >= COUNT_ENTRIES:
-                yield counted()
-                held.clear()
+            for part in _runs(batch):
+                texts = part.column("text").cast(pa.binary()).to_pylist()
+                vectors = [Counter(terms_of(text)) for text in texts]
+                kept = [i for i, v in enumerate(vectors) if v]
+                vectors = [vectors[i] for i in kept]
+                for vector in vectors:
+                    held.update(vector.keys())
+                yield _index_rows(
+                    "doc", len(kept),
+                    doc_id=part.column("doc_id").take(pa.array(kept, pa.int64())),
+                    n=pa.array([v.total() for v in vectors], pa.int64()), cells=sketches(vectors),
+                    terms=[b" ".join(v) for v in vectors],
+                    counts=[np.fromiter(v.values(), "<u4", len(v)).tobytes() for v in vectors],
+                )
+                if len(held) >= COUNT_ENTRIES:
+                    yield counted()
+                    held.clear()
         if held:
             yield counted()
 
@@ -144,6 +149,15 @@ def write_index(docs: DataFrame, path: str) -> None:
     ).write.partitionBy("kind").option("compression", "zstd").parquet(path)
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about RUN_BYTES of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    run = np.cumsum(sizes) // RUN_BYTES
+    bounds = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(bounds, bounds[1:]):
+        yield batch.slice(a, b - a)
+
+
 def _index_rows(kind: str, size: int, **columns) -> pa.RecordBatch:
     kinds = {
         "kind": pa.string(), "doc_id": pa.int64(), "n": pa.int64(), "cells": pa.binary(),
