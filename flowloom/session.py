@@ -62,3 +62,9 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/flowloom/{label}-{uuid.uuid4().hex}"
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete what was written below a path, on whatever store it lies; nothing there is fine."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
