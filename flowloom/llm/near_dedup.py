@@ -1,43 +1,47 @@
 """Near duplicates by ProbMinHash, banding and verification.
 
-Texts are sets of five-word shingles. ProbMinHash lets the shingles of a text arrive in a Poisson
-process each, at a rate of their weight, and gives every register to the first arrival it sees;
-arrivals later than the last register's are never drawn. Two texts agree in a register with
-their probability Jaccard. Every distinct shingle weighs one, however often it is repeated, so
-that this is the Jaccard of the sets, by which pairs are verified. Texts that agree in a whole band of registers meet in a bucket,
-and pairs that meet are verified by the exact Jaccard of their shingle sets.
-
-Exact copies are one node from the start. A bucket never gives all its pairs: its members are
-compared with a few pivots, what is linked is merged, and only buckets that still hold several
-classes go on with further pivots, until none has a pair left to compare between two classes.
+Texts are sets of five-word shingles, and a shingle weighs as many characters as its words have.
+ProbMinHash lets the shingles of a text arrive in a Poisson process each, at a rate of their
+weight, and gives every register to the first arrival it sees; arrivals later than the last
+register's are never drawn. Two texts agree in a register with their probability Jaccard. A
+shingle weighs the same in every text, so that this is the share of shingle characters that the
+two have in common, by which pairs are verified. Texts that agree in a whole band of registers
+meet in a bucket.
+
+Exact copies are one node from the start. Buckets are compared in blocks of bounded size: a task
+holds the shingle sets of two blocks, gets all similarities from matrix products, and hands on
+no pairs but the few links that join its classes. The first round compares a block with itself
+and some pivots in some bands, which joins most of what belongs together; the second compares all
+blocks of the buckets that still hold several classes.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.texts import put_back, set_aside, table, text_list
-from flowloom.session import run_dir
+from flowloom.llm.texts import table, text_list
+from flowloom.session import drop_dir, run_dir
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 7
 REGISTERS = BANDS * ROWS
-#: Pivots of a bucket in the first round; then four times as many each, up to a bound.
-FIRST_PIVOTS, MOST_PIVOTS = 1, 768
-#: Share of equal registers below which a pair is not verified: 4.5 standard deviations of
-#: what a pair of just SIMILARITY has.
-LEAST_EQUAL = 0.68
+#: Members of a bucket that are compared with each other in one task, about; two blocks meet.
+BLOCK = 512
+#: Bands of the first round, and members of a bucket that all its blocks meet there, about.
+FIRST_BANDS, PIVOTS = 8, 64
+#: Shingles whose columns are multiplied together.
+PRODUCT_SHINGLES = 4_096
 #: Shingles whose arrivals are drawn together.
 BATCH_SHINGLES = 400_000
-WORD_ENTRIES = 500_000
+#: Entries that a worker keeps: hashes of words, and texts it has seen.
+WORD_ENTRIES, NODE_ENTRIES = 500_000, 500_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -67,24 +71,39 @@ def shingle_set(text: str) -> set:
     return set(zip(*(words[i:] for i in range(SHINGLE))))
 
 
+def weight(shingles: set) -> int:
+    """Characters of the words of all shingles."""
+    return sum(len(word) for shingle in shingles for word in shingle)
+
+
+def similarity(ours: set, theirs: set) -> float:
+    """Probability Jaccard of two texts' shingles; 0 if one has none."""
+    shared = weight(ours & theirs)
+    return shared / (weight(ours) + weight(theirs) - shared) if shared else 0.0
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def _shingle_hashes(words: list[str]) -> np.ndarray:
-    """Hashes of distinct shingles."""
+def weighted_shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of distinct shingles, rising, and their weights."""
     hashes = np.array([_WORD_HASH[w] for w in words], dtype=np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
     if len(words) < SHINGLE:
         whole = np.array([len(words)], dtype=np.uint64)
         for i in range(len(hashes)):
             whole = _mixed(whole * _GOLDEN + hashes[i:i + 1])
-        return whole
-    rolled = hashes[:len(hashes) - SHINGLE + 1].copy()
+        return whole, sizes.sum(keepdims=True)
+    last = len(hashes) - SHINGLE + 1
+    rolled, weights = hashes[:last].copy(), sizes[:last].copy()
     for i in range(1, SHINGLE):
-        rolled = rolled * _GOLDEN + hashes[i:len(hashes) - SHINGLE + 1 + i]
-    return np.unique(_mixed(rolled))
+        rolled = rolled * _GOLDEN + hashes[i:last + i]
+        weights += sizes[i:last + i]
+    distinct, first = np.unique(_mixed(rolled), return_index=True)
+    return distinct, weights[first]
 
 
 def prob_min_hash(
@@ -123,106 +142,138 @@ def prob_min_hash(
 
 
 def _band_keys(holders: np.ndarray) -> np.ndarray:
-    """One key per text and band; the band's number is part of it."""
+    """One key per text and band; its low five bits are the band's number."""
     banded = holders.reshape(len(holders), BANDS, ROWS)
     key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), banded.shape[:2]).copy()
     for row in range(ROWS):
         key = _mixed(key * _GOLDEN + banded[:, :, row])
-    return key.view(np.int64)
+    return (key & ~np.uint64(BANDS - 1) | np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def _sketch(texts: list[str]) -> tuple[list[bytes], list, list[bytes]]:
-    """Key of each text's words, its band keys (none without words), a byte of each register."""
-    keys, bands, registers = [], [[] for _ in texts], [b"" for _ in texts]
-    pending: list[tuple[int, np.ndarray]] = []
+def _node(words: list[str]) -> bytes:
+    """What exact copies share: a digest of the words."""
+    return hashlib.md5(" ".join(words).encode(), usedforsecurity=False).digest()
+
+
+def _sketch(texts: list[list[str]]) -> list[list[int]]:
+    """Band keys of texts that are given as words (none without words)."""
+    bands: list[list[int]] = [[] for _ in texts]
+    pending: list[tuple[int, np.ndarray, np.ndarray]] = []
     held = 0
 
     def flush() -> None:
         if pending:
-            sizes = [len(e) for _, e in pending]
             holders = prob_min_hash(
-                np.concatenate([e for _, e in pending]), np.ones(sum(sizes)),
-                np.repeat(np.arange(len(pending)), sizes), len(pending),
+                np.concatenate([e for _, e, _ in pending]),
+                np.concatenate([w for _, _, w in pending]),
+                np.repeat(np.arange(len(pending)), [len(e) for _, e, _ in pending]), len(pending),
             )
-            short = (holders & np.uint64(0xFF)).astype(np.uint8)
-            for (i, _), row, own in zip(pending, _band_keys(holders), short, strict=True):
-                bands[i], registers[i] = row.tolist(), own.tobytes()
+            for (i, _, _), keys in zip(pending, _band_keys(holders), strict=True):
+                bands[i] = keys.tolist()
             pending.clear()
 
-    for i, text in enumerate(texts):
-        words = words_of(text)
-        keys.append(hashlib.md5(" ".join(words).encode(), usedforsecurity=False).digest())
+    for i, words in enumerate(texts):
         if words:
-            pending.append((i, _shingle_hashes(words)))
+            pending.append((i, *weighted_shingles(words)))
             held += len(pending[-1][1])
             if held >= BATCH_SHINGLES:
                 flush()
                 held = 0
     flush()
-    return keys, bands, registers
+    return bands
 
 
-def sketch(docs: DataFrame, path: str) -> DataFrame:
-    """Store and return docs (as rest, a struct) with doc_id, text, node and bands."""
-    shaped = set_aside(docs)
+def sketch(docs: DataFrame) -> DataFrame:
+    """doc_id, node, row_hash of each row, and bands of the first row of a node in a task.
+
+    A later row of the same text has null bands, as has a text without words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            keys, bands, registers = _sketch(text_list(batch, "text"))
+            texts = [words_of(text) for text in text_list(batch, "text")]
+            nodes = [_node(words) for words in texts]
+            fresh = []
+            for i, node in enumerate(nodes):
+                if node not in seen:
+                    if len(seen) >= NODE_ENTRIES:
+                        seen.clear()
+                    seen.add(node)
+                    fresh.append(i)
+            bands: list[list[int] | None] = [None] * len(texts)
+            for i, keys in zip(fresh, _sketch([texts[i] for i in fresh]), strict=True):
+                bands[i] = keys or None
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("text"), batch.column("rest"),
-                    pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(registers, pa.binary()),
+                    batch.column("doc_id"), pa.array(nodes, pa.binary()),
+                    batch.column("row_hash"), pa.array(bands, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text", "rest", "node", "bands", "registers"],
+                ["doc_id", "node", "row_hash", "bands"],
             )
 
-    kinds = dict(shaped.dtypes)
-    shaped.mapInArrow(
-        run,
-        f"doc_id {kinds['doc_id']}, text string, rest {kinds['rest']}, node binary, "
-        "bands array<long>, registers binary",
-    ).write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", _row_hash(docs).alias("row_hash")
+    ).mapInArrow(run, "doc_id long, node binary, row_hash long, bands array<long>")
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The labels of pairs whose exact Jaccard reaches SIMILARITY."""
-    last, theirs = None, set()
-    for batch in batches:
-        b = batch.column("b").to_pylist()
-        texts_a, texts_b = text_list(batch, "text_a"), text_list(batch, "text_b")
-        linked = []
-        for i, pivot in enumerate(b):
-            if pivot != last:
-                last, theirs = pivot, shingle_set(texts_b[i])
-            ours = shingle_set(texts_a[i])
-            if min(len(ours), len(theirs)) < SIMILARITY * max(len(ours), len(theirs)):
-                continue
-            shared = len(ours & theirs)
-            if shared >= SIMILARITY * (len(ours) + len(theirs) - shared):
-                linked.append(i)
-        kept = pa.array(linked, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("label").take(kept), batch.column("pivot_label").take(kept)], ["a", "b"]
-        )
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of the whole row, but for maps, which Spark does not hash."""
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*hashed)
+
+
+def with_nodes(docs: DataFrame) -> DataFrame:
+    """docs (its columns as the struct rest) with text, row_hash and node."""
+    rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    shaped = docs.select(rest.alias("rest"), _row_hash(docs).alias("row_hash"), "text")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [_node(words_of(text)) for text in text_list(batch, "text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rest"), batch.column("row_hash"), pa.array(nodes, pa.binary())],
+                ["rest", "row_hash", "node"],
+            )
+
+    kind = dict(shaped.dtypes)["rest"]
+    return shaped.mapInArrow(run, f"rest {kind}, row_hash long, node binary")
+
+
+class Scratch:
+    """Tables written below the shared folder, which cuts lineage, and deleted when done with."""
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    """df written below the shared folder and read again, which cuts its lineage."""
-    path = run_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = run_dir(self._spark, label)
+        df.write.option("compression", "zstd").parquet(path)
+        read = self._spark.read.parquet(path)
+        self._paths[id(read)] = read, path
+        return read
+
+    def drop(self, *tables: DataFrame) -> None:
+        for df in tables:
+            drop_dir(self._spark, self._paths.pop(id(df))[1])
+
+    def close(self) -> None:
+        self.drop(*(df for df, _ in list(self._paths.values())))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, label (smallest node of its component) of every node of the edges (a, b).
 
-    Alternating large and small stars; the edges are stored after each round. Aggregates combine
-    before they shuffle, and a hub's joins are left to adaptive skew splitting.
+    Alternating large and small stars; the edges are stored after each round, and the last ones
+    remain. Aggregates combine before they shuffle, and a hub's joins are left to adaptive skew
+    splitting.
     """
-    edges = _stored(
+    return _components(edges, Scratch(edges.sparkSession))
+
+
+def _components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    edges = scratch.stored(
         edges.where(F.col("a") != F.col("b")).select(
             F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
         ).distinct(), "stars",
@@ -241,7 +292,8 @@ def components(edges: DataFrame) -> DataFrame:
                 F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             )).alias("e")
         ).select("e.*").where(F.col("u") != F.col("v")).distinct()
-        edges = _stored(small, "stars")
+        before, edges = edges, scratch.stored(small, "stars")
+        scratch.drop(before)
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         roots.withColumn("label", F.col("node"))
@@ -256,128 +308,249 @@ def _are_stars(edges: DataFrame) -> bool:
     return edges.join(hubs, "u", "left_semi").limit(1).count() == 0
 
 
-def classes(sketches: DataFrame) -> DataFrame:
-    """node, label: classes of two or more different texts linked by verified pairs.
+def links(sets: list[tuple[np.ndarray, np.ndarray]], labels: list[bytes]) -> Iterator[tuple]:
+    """Pairs of labels (larger, smaller) that join all classes which links of these sets connect.
 
-    Links join the labels of two classes, so each round's components are those of the classes
-    that it brings together, and the union of all rounds' merges gives the last labels.
+    All similarities are sums over shared shingles, a matrix product for some thousand shingles
+    at a time; only shingles that two sets hold are multiplied.
     """
-    nodes = _stored(
-        sketches.groupBy("node").agg(
-            F.min("bands").alias("bands"), F.min("registers").alias("registers")
-        ), "nodes",
+    names, label = np.unique(np.array(labels, dtype=object), return_inverse=True)
+    if len(names) < 2:
+        return
+    owner = np.repeat(np.arange(len(sets)), [len(h) for h, _ in sets])
+    _, shingle, counts = np.unique(
+        np.concatenate([h for h, _ in sets]), return_inverse=True, return_counts=True
     )
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = _stored(banded.join(shared, "bucket").withColumn("label", F.col("node")), "members")
-    texts = sketches.select("node", "text")
-    merges, pivots = [], FIRST_PIVOTS
-    while True:
-        by_bucket = Window.partitionBy("bucket").orderBy("node")
-        chosen = members.withColumn("place", F.row_number().over(by_bucket)).where(
-            F.col("place") <= pivots
-        ).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
-        pairs = _stored(
-            members.join(chosen, "bucket").where(
-                (F.col("node") > F.col("pivot")) & (F.col("label") != F.col("pivot_label"))
-            ).select(
-                F.col("node").alias("a"), F.col("pivot").alias("b"), "label", "pivot_label"
-            ).distinct(), "pairs",
+    weights = np.concatenate([w for _, w in sets]).astype(np.float64)
+    totals = np.bincount(owner, weights, len(sets))
+    # Sums of whole numbers, exact in either precision.
+    kind = np.float32 if totals.max() < 2**23 else np.float64
+    shared = np.flatnonzero(counts > 1)
+    place = np.full(len(counts), -1)
+    place[shared] = np.arange(len(shared))
+    column = place[shingle]
+    met = column >= 0
+    order = np.argsort(column[met], kind="stable")
+    owner, column, weights = owner[met][order], column[met][order], weights[met][order]
+    common = np.zeros((len(sets), len(sets)), kind)
+    for start in range(0, len(shared), PRODUCT_SHINGLES):
+        part = slice(*np.searchsorted(column, [start, start + PRODUCT_SHINGLES]))
+        held = np.zeros((len(sets), PRODUCT_SHINGLES), kind)
+        held[owner[part], column[part] - start] = 1
+        weighed = np.zeros_like(held)
+        weighed[owner[part], column[part] - start] = weights[part]
+        common += weighed @ held.T
+    common = common.astype(np.float64)
+    alike = common >= SIMILARITY * (totals[:, None] + totals[None, :] - common)
+    alike &= common > 0
+    # Walk over classes: those of the sets that a set of the class is linked to.
+    unseen = np.ones(len(names), dtype=bool)
+    for first in range(len(names)):
+        if not unseen[first]:
+            continue
+        unseen[first] = False
+        stack = [first]
+        while stack:
+            reached = label[alike[label == stack.pop()].any(axis=0)]
+            fresh = np.unique(reached[unseen[reached]])
+            unseen[fresh] = False
+            stack += fresh.tolist()
+            for other in fresh.tolist():
+                yield names[other], names[first]
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each group of rows with the same bucket and task; groups stand together."""
+    key, members = None, {}
+
+    def found() -> pa.RecordBatch:
+        sets = [
+            (np.frombuffer(s, "<u8", len(s) // 12), np.frombuffer(s, "<u4", len(s) // 12,
+                                                                 8 * (len(s) // 12)))
+            for _, s in members.values()
+        ]
+        pairs = list(links(sets, [label for label, _ in members.values()]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"]
         )
-        likely = _stored(_likely(pairs, nodes), "likely")
-        merged = _stored(components(_linked(likely, texts)), "merged")
-        merges.append(merged)
-        # Each pivot has met all that stand behind it in its bucket; it leaves the bucket.
-        passed = chosen.groupBy("bucket").agg(F.max("pivot").alias("passed"))
-        rest = members.join(passed, "bucket").where(F.col("node") > F.col("passed")).join(
-            merged.select(F.col("node").alias("label"), F.col("label").alias("new")), "label", "left"
-        ).select("bucket", "node", F.coalesce("new", "label").alias("label"))
-        mixed = rest.groupBy("bucket").agg(
-            F.min("label").alias("low"), F.max("label").alias("high")
-        ).where(F.col("low") != F.col("high")).select("bucket")
-        members = _stored(rest.join(mixed, "bucket").select("bucket", "node", "label"), "members")
-        if not members.count():
-            break
-        pivots = min(MOST_PIVOTS, 4 * pivots)
-    if len(merges) == 1:
-        return merges[0]
-    every = reduce(DataFrame.unionByName, merges)
-    return components(every.select(F.col("node").alias("a"), F.col("label").alias("b")))
-
-
-def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose two texts share enough registers to be worth verifying."""
+
     for batch in batches:
-        size = batch.num_rows
-        ours, theirs = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(size, -1)
-            for c in ("registers_a", "registers_b")
-        )
-        near = (ours == theirs).mean(axis=1) >= LEAST_EQUAL if size else np.zeros(0, bool)
+        columns = (batch.column(c).to_pylist() for c in ("bucket", "task", "node", "label", "held"))
+        for bucket, task, node, label, held in zip(*columns, strict=True):
+            if (bucket, task) != key:
+                if len(members) > 1:
+                    yield found()
+                key, members = (bucket, task), {}
+            members[node] = label, held
+    if len(members) > 1:
+        yield found()
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node and held (hashes and weights of the shingles) of texts."""
+    for batch in batches:
+        held = []
+        for text in text_list(batch, "text"):
+            hashes, weights = weighted_shingles(words_of(text))
+            held.append(hashes.astype("<u8").tobytes() + weights.astype("<u4").tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(c).filter(pa.array(near)) for c in ("a", "b", "label", "pivot_label")],
-            ["a", "b", "label", "pivot_label"],
+            [batch.column("node"), pa.array(held, pa.binary())], ["node", "held"]
         )
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that their registers do not rule out; texts are then moved for few pairs."""
-    def side(name: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(name), F.col("registers").alias(f"registers_{name}"))
+def _text_nodes(docs: DataFrame) -> DataFrame:
+    """node and text, a text once in a task."""
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
-        _agree, "a binary, b binary, label binary, pivot_label binary"
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            nodes = [_node(words_of(text)) for text in text_list(batch, "text")]
+            fresh = []
+            for i, node in enumerate(nodes):
+                if node not in seen:
+                    if len(seen) >= NODE_ENTRIES:
+                        seen.clear()
+                    seen.add(node)
+                    fresh.append(i)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([nodes[i] for i in fresh], pa.binary()),
+                    batch.column("text").take(pa.array(fresh, pa.int64())),
+                ],
+                ["node", "text"],
+            )
+
+    return docs.select("text").mapInArrow(run, "node binary, text string")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Labels (a, b) of the classes that a verified pair links, for pairs with their labels."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(
-        pairs.select(F.col("b").alias("node"))
-    ).distinct()
-    # One text for each node that is in a pair, however many copies it has.
-    one_each = _stored(
-        texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")),
-        "texts",
+def _linked(members: DataFrame, sets: DataFrame, tasks: Column, scratch: Scratch) -> DataFrame:
+    """Classes (node, label) that join the labels of members, compared in their tasks."""
+    dealt = members.select("bucket", "node", "label", F.explode(tasks).alias("task"))
+    found = dealt.join(sets, "node").repartition("bucket", "task").sortWithinPartitions(
+        "bucket", "task"
+    ).mapInArrow(_compare, "a binary, b binary")
+    return _components(found, scratch)
+
+
+def classes(sketches: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, label: classes of two or more different texts that links connect."""
+    banded = sketches.where("bands IS NOT NULL").select(
+        "node", F.explode("bands").alias("bucket")
     )
-    with_a = pairs.join(one_each.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    full = with_a.join(one_each.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return full.select("a", "b", "label", "pivot_label", "text_a", "text_b").mapInArrow(
-        _verify, "a binary, b binary"
+    # Two texts differ in their nodes; copies that other tasks met are no second member.
+    crowded = banded.withColumn("h", F.xxhash64("node")).groupBy("bucket").agg(
+        F.min("h").alias("low"), F.max("h").alias("high")
+    ).where("low < high").select("bucket")
+    found = banded.join(crowded, "bucket").distinct()
+    members = scratch.stored(found.withColumn("label", F.col("node")), "members")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    members = scratch.stored(members.join(sizes, "bucket"), "sized-members")
+    wanted = members.select("node").distinct()
+    texts = _text_nodes(docs).join(wanted, "node", "left_semi")
+    sets = scratch.stored(
+        texts.mapInArrow(_shingle_rows, "node binary, held binary").dropDuplicates(["node"]), "sets"
     )
 
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    pivot = F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("n") / PIVOTS)) == 0
+    every = F.sequence(F.lit(0), blocks - 1)
+    first = F.pmod(F.col("bucket"), F.lit(BANDS)) < FIRST_BANDS
+    merged = _linked(
+        members.where(first), sets, F.when(pivot, every).otherwise(F.array(own)), scratch
+    )
+    joined = members.join(
+        merged.select(F.col("node").alias("label"), F.col("label").alias("new")), "label", "left"
+    ).withColumn("label", F.coalesce("new", "label")).drop("new")
+    # A bucket that one block held was compared whole.
+    mixed = joined.where(~first | (F.col("n") > BLOCK)).groupBy("bucket").agg(
+        F.min(F.xxhash64("label")).alias("low"), F.max(F.xxhash64("label")).alias("high")
+    ).where("low < high").select("bucket")
+    pairs = F.when(blocks == 1, F.array(F.lit(0))).otherwise(F.transform(
+        F.filter(every, lambda other: other != own),
+        lambda other: F.least(own, other) * blocks + F.greatest(own, other),
+    ))
+    again = _linked(joined.join(mixed, "bucket"), sets, pairs, scratch)
+    return _components(
+        merged.unionByName(again).select(F.col("node").alias("a"), F.col("label").alias("b")),
+        scratch,
+    )
+
+
+def class_table(docs: DataFrame) -> DataFrame:
+    """One row for each text (node) of a class of two or more rows.
+
+    node; class_id, the smallest doc_id of the class; and the row that stands for the class: its
+    keeper (node), keeper_id and keeper_hash, and how many rows are equal to it. The table is
+    stored, and all that led to it deleted. Aggregates combine before they shuffle, so a text
+    that a third of all rows share is one row of each task.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    sketches = scratch.stored(sketch(docs), "sketches")
+    labels = classes(sketches, docs, scratch)
+    rows = sketches.groupBy("node", "doc_id", "row_hash").agg(F.count("*").alias("copies"))
+    labelled = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    first = F.min(F.struct(
+        F.col("doc_id").isNull().alias("unknown"), "doc_id", "node", "row_hash", "copies"
+    ))
+    found = labelled.groupBy("label").agg(
+        first.alias("first"), F.sum("copies").alias("n")
+    ).where("n > 1").select(
+        "label", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("keeper"),
+        F.col("first.doc_id").alias("keeper_id"), F.col("first.row_hash").alias("keeper_hash"),
+        F.col("first.copies").alias("copies"),
+    )
+    nodes = labelled.select("node", "label").distinct()
+    path = run_dir(spark, "near-classes")
+    nodes.join(found, "label").drop("label").write.parquet(path)
+    scratch.close()
+    return spark.read.parquet(path)
+
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """docs with class_id, the smallest doc_id of the (near) copies of each row.
 
     Words are split at white space and lower-cased. Texts of the same words are copies; texts of
     fewer than five words are copies only so; texts without words (null, empty) are copies of each
-    other. Texts are near copies if the Jaccard of their five-word shingles is 0.8 or more, and
-    classes are what such links connect. Rows are told apart by their texts, so equal ids and
-    repeated rows are fine; a class whose ids are all null has a null class_id. All rows and
-    other columns are kept (a class_id among them is replaced). Whole texts count, whatever
-    their length. An empty table gives no rows.
+    other. Texts are near copies if they share 0.8 or more of the weight of their five-word
+    shingles, a shingle weighing as many characters as its words have, and classes are what such
+    links connect. Rows are told apart by their texts, so equal ids and repeated rows are fine; a
+    class whose ids are all null has a null class_id. All rows and other columns are kept (a
+    class_id among them is replaced). Whole texts count, whatever their length. An empty table
+    gives no rows.
     """
-    labelled, _ = _labelled(docs.drop("class_id"))
-    lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    names = [c for c in docs.columns if c != "class_id"]
-    return put_back(labelled.join(lowest, "label"), names, "class_id")
+    docs = docs.drop("class_id")
+    found = class_table(docs).select("node", "class_id", F.lit(True).alias("grouped"))
+    own = F.col("rest")["doc_id"].cast("long")
+    return with_nodes(docs).join(found, "node", "left").select(
+        *(F.col("rest")[c].alias(c) for c in docs.columns),
+        F.when(F.col("grouped"), F.col("class_id")).otherwise(own).alias("class_id"),
+    )
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each class of near_duplicates(): smallest doc_id, then smallest text."""
-    labelled, names = _labelled(docs)
-    order = [F.col("doc_id").asc_nulls_last(), "text", F.xxhash64("rest")]
-    first = F.row_number().over(Window.partitionBy("label").orderBy(*order))
-    return put_back(labelled.withColumn("place", first).where("place = 1"), names)
-
-
-def _labelled(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    sketches = sketch(docs, run_dir(docs.sparkSession, "sketches"))
-    labels = classes(sketches)
-    return sketches.select("doc_id", "text", "rest", "node").join(
-        labels, "node", "left"
-    ).withColumn("label", F.coalesce("label", "node")), docs.columns
+    """One row of each class of near_duplicates(): that of the smallest doc_id (null last).
+
+    Of several rows of that id, the one of the smallest text digest, then row hash, is kept, and
+    of rows that are equal in all columns one. Columns are those of docs; an empty table stays
+    empty.
+    """
+    found = class_table(docs)
+    rows = with_nodes(docs).join(found, "node", "left")
+    own = F.col("rest")["doc_id"].cast("long")
+    stands = (F.col("node") == F.col("keeper")) & own.eqNullSafe(F.col("keeper_id")) & (
+        F.col("row_hash") == F.col("keeper_hash")
+    )
+    kept = rows.where(F.col("keeper").isNull() | (stands & (F.col("copies") == 1)))
+    repeated = found.where((F.col("copies") > 1) & (F.col("node") == F.col("keeper")))
+    names = [F.col("rest")[c].alias(c) for c in docs.columns]
+    if repeated.limit(1).count():
+        once = with_nodes(docs).join(repeated, "node").where(stands)
+        kept = kept.select("node", "rest").unionByName(
+            once.groupBy("node").agg(F.first("rest").alias("rest"))
+        )
+    return kept.select(*names)
 
 
 def op9_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:

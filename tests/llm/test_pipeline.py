@@ -43,8 +43,7 @@ def test_pipeline(spark, odd_docs):
     ordered = sorted(sets)
     for k, i in enumerate(ordered):
         for j in ordered[k + 1:]:
-            shared = len(sets[i] & sets[j])
-            if shared and shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared):
+            if near_dedup.similarity(sets[i], sets[j]) >= 0.8:
                 a, b = sorted((find(i), find(j)))
                 parent[b] = a
     kept = {i for i in sets if find(i) == i}

@@ -22,10 +22,7 @@ def brute_classes(texts):
         return i
 
     for i, j in itertools.combinations(range(len(texts)), 2):
-        shared = len(sets[i] & sets[j])
-        if words[i] == words[j] or (
-            shared and shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared)
-        ):
+        if words[i] == words[j] or near_dedup.similarity(sets[i], sets[j]) >= 0.8:
             a, b = sorted((find(i), find(j)))
             parent[b] = a
     return [find(i) for i in range(len(texts))]
@@ -70,9 +67,10 @@ def test_repeats_of_one_copy(spark, times):
         for place in (5, 190, 198):
             other[place] = f"p{pair}x{place}"
         texts += [other, own[:at] + own[at:at + 24] * times + own[at + 24:]]
-    shared = [len(set.intersection(*(near_dedup.shingle_set(" ".join(t)) for t in texts[i:i + 2])))
-              / len(set.union(*(near_dedup.shingle_set(" ".join(t)) for t in texts[i:i + 2])))
-              for i in range(0, len(texts), 2)]
+    shared = [
+        near_dedup.similarity(*(near_dedup.shingle_set(" ".join(t)) for t in texts[i:i + 2]))
+        for i in range(0, len(texts), 2)
+    ]
     assert 0.8 < min(shared) and max(shared) < 0.85
     docs = spark.createDataFrame(
         [(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"
@@ -95,6 +93,72 @@ def test_near_duplicates_odd(spark, odd_docs, odd_rows, no_docs):
     assert near_dedup.drop_near_duplicates(no_docs).collect() == []
 
 
+def test_similarity_is_the_probability_jaccard():
+    """The general formula over all weights gives what similarity() says, with static weights."""
+    a, b = (near_dedup.shingle_set(t) for t in (
+        "one two three four five sixteen seventeen", "zero one two three four five sixteen"))
+    x, y = ({s: sum(map(len, s)) for s in own} for own in (a, b))
+    total = sum(
+        1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in a | b) for i in a & b
+    )
+    assert abs(near_dedup.similarity(a, b) - total) < 1e-12
+    assert near_dedup.similarity(a, a) == 1 and near_dedup.similarity(a, set()) == 0
+
+
+def test_links_of_a_block():
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(150):
+        own = list(base)
+        for place in rng.integers(0, 300, int(rng.integers(0, 25))):
+            own[place] = f"x{rng.integers(10**6)}"
+        texts.append(" ".join(own))
+    texts += [" ".join(rng.choice(base, 200)) for _ in range(30)] + ["two words", "w1 w2 w3 w4 w5"]
+    sets = [near_dedup.weighted_shingles(t.split()) for t in texts]
+    names = [bytes([i // 256, i % 256]) for i in range(len(texts))]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in near_dedup.links(sets, names):
+        parent[find(names.index(a))] = find(names.index(b))
+    found = [find(i) for i in range(len(texts))]
+    wanted = brute_classes(texts)
+    assert len(set(wanted)) > 35
+    assert [found.index(f) for f in found] == wanted
+
+
+def test_buckets_of_several_blocks(spark, monkeypatch):
+    """Blocks of a few members give the same classes as whole buckets, and scratch tables go."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(120):
+        own = list(base)
+        for place in rng.integers(0, 150, int(rng.integers(1, 9))):
+            own[place] = f"x{rng.integers(10**6)}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    wanted = brute_classes(texts)
+    assert 1 < len(set(wanted)) < 110
+    assert [found[i] for i in range(len(texts))] == wanted
+
+
+def test_rows_equal_in_all_columns(spark):
+    rows = [(1, "a b c d e f", "x")] * 5 + [(1, "a b c d e f", "y"), (2, "A b c d e f", "x")]
+    rows += [(3, "other words here", "x"), (None, "", "x"), (None, "", "x"), (None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string").repartition(5)
+    kept = near_dedup.drop_near_duplicates(docs).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 3]
+
+
 def test_probability_jaccard():
     rng = np.random.default_rng(6)
     names = rng.integers(0, 2**63, 60).astype(np.uint64)
