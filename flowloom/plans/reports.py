@@ -333,6 +333,44 @@ def enrich_flows_with_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.enrich_flows_with_features(flows, features, slice="6 hours")
 
 
+# Extractor records that were written some time after their packet, as those of a slow extractor.
+_LATE_ROWS = (
+    "SELECT src_ip, dst_ip, src_port, dst_port, protocol, "
+    "ts + to_seconds(pkt_len * 60) AS flow_start_time, pkt_len * 2 AS idle_mean, "
+    "tcp_flags & 2 AS syn_seen FROM packets WHERE tcp_flags % 3 = 0"
+)
+IN_RANGE_SQL = (
+    "SELECT flow_start_time, src_ip, dst_ip, src_port, dst_port, protocol, pkt_len, idle_mean, "
+    "syn_seen FROM (SELECT p.ts AS flow_start_time, p.src_ip, p.dst_ip, p.src_port, p.dst_port, "
+    "p.protocol, p.pkt_len, f.idle_mean, f.syn_seen, row_number() OVER (PARTITION BY p.n ORDER BY "
+    "abs(epoch_us(p.ts) - epoch_us(f.flow_start_time)), f.flow_start_time) AS rank "
+    "FROM (SELECT *, row_number() OVER () AS n FROM packets) p "
+    f"LEFT JOIN ({_LATE_ROWS}) f ON p.src_ip = f.src_ip AND p.dst_ip = f.dst_ip "
+    "AND p.src_port = f.src_port AND p.dst_port = f.dst_port AND p.protocol = f.protocol "
+    "AND abs(epoch_us(p.ts) - epoch_us(f.flow_start_time)) <= 21600000000) WHERE rank = 1"
+)
+
+
+def packet_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.packets(spark, sf_dir).withColumnRenamed("ts", "flow_start_time").drop("tcp_flags")
+
+
+def late_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.packets(spark, sf_dir).filter("tcp_flags % 3 = 0").selectExpr(
+        "src_ip", "dst_ip", "src_port", "dst_port", "protocol",
+        "timestampadd(SECOND, pkt_len * 60, ts) AS flow_start_time",
+        "pkt_len * 2 AS idle_mean", "tcp_flags & 2 AS syn_seen",
+    )
+
+
+@query(oracle(IN_RANGE_SQL, "packets"))
+def enrich_flows_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest record of the 5-tuple, six hours away at most, before or after."""
+    return enrichment.enrich_flows_in_range(
+        packet_flows(spark, sf_dir), late_features(spark, sf_dir), within=21_600
+    )
+
+
 # --- upsert, samples, metrics -------------------------------------------------
 
 

@@ -225,6 +225,41 @@ def ingest_csv_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(f"{base}/rows").select(*RAW_COLUMNS)
 
 
+@query(oracle(
+    f"SELECT {fx.RAW_LIST}, 'row' AS kept FROM raw_flows "
+    f"UNION ALL SELECT {', '.join(['NULL'] * len(RAW_COLUMNS))}, 'file lacks Label, Attack'",
+    "raw_flows",
+))
+def ingest_csv_directory_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good files, one with its columns in another order and one that lacks two, a file a batch."""
+    base = run_dir(spark, "directory-mixed")
+    rows = fx.raw_flows(spark, sf_dir)
+
+    def put(part: int, columns: list[str]) -> None:
+        rows.filter(F.col("event_id") % 3 == part).select(*columns).coalesce(1).write.mode(
+            "append"
+        ).option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False
+        ).csv(f"{base}/in")
+
+    put(0, RAW_COLUMNS)
+    put(1, RAW_COLUMNS[::-1])
+    put(0, RAW_COLUMNS[:-2])
+    put(2, RAW_COLUMNS)
+    directory.ingest_csv_directory(
+        spark, f"{base}/in", RAW, f"{base}/rows", f"{base}/bad", f"{base}/checkpoint",
+        max_files=1, once=True,
+    ).awaitTermination()
+    good = spark.read.schema(RAW).parquet(f"{base}/rows").select(
+        *RAW_COLUMNS, F.lit("row").alias("kept")
+    )
+    bad = spark.read.parquet(f"{base}/bad").select(
+        *[F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS],
+        F.col("_corrupt_record").alias("kept"),
+    )
+    return good.unionByName(bad)
+
+
 @query(oracle(LEGACY_SQL, "flows"))
 def legacy_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "legacy-stream")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,21 +19,39 @@ from flowloom.operators.training_data import TARGET
 from flowloom.schemas import PACKET_CSV, RAW
 from flowloom.sources.topics import Topic, publish_messages
 
+HEADER_READERS = 16
 
-def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """CSV files by their header line. The driver sees one line and path per file."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "place"))
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a text file on any store, unpacked by its suffix; no more is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        text = stream if codec is None else codec.createInputStream(stream)
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def files_by_header(spark: SparkSession, files: Iterable[str]) -> dict[str, list[str]]:
+    """CSV files by their header line; empty files have none. The driver reads one line of
+    each file, several files at a time."""
+    files = list(files)
     found: dict[str, list[str]] = {}
-    for file, header in first.collect():
-        found.setdefault(header, []).append(file)
+    with ThreadPoolExecutor(HEADER_READERS) as readers:
+        headers = readers.map(lambda file: first_line(spark, file), files)
+        for file, header in zip(files, headers, strict=True):
+            if header is not None:
+                found.setdefault(header, []).append(file)
     return found
 
 
+def _files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    return files_by_header(spark, map(unquote, spark.read.text(path).inputFiles()))
+
+
 def read_csv_by_name(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """The named columns of CSV files as text, wherever each file's own header has them.
 
@@ -57,11 +77,12 @@ def read_raw_csv(spark: SparkSession, path: str, schema: StructType = RAW) -> Da
 
 
 def read_flow_export(spark: SparkSession, path: str) -> DataFrame:
-    """Collector CSV as canonical messages; each file may have any known header."""
-    rows = None
+    """Collector CSV as canonical messages; each file may have any known header. Where there is
+    no file with a header, there are no rows."""
+    rows = normalize_flow_export(spark.createDataFrame([], "src_ip string"))
     for _, files in sorted(_files_by_header(spark, path).items()):
         part = normalize_flow_export(spark.read.option("header", True).csv(files))
-        rows = part if rows is None else rows.unionByName(part)
+        rows = rows.unionByName(part)
     return rows
 
 

@@ -104,6 +104,53 @@ def test_features_match_within_the_slice(spark):
     assert sorted((r.f, r.x) for r in untimed.collect()) == [(1, 5), (2, 5)]
 
 
+def test_features_match_within_the_range(spark):
+    """Across a slice border, before and after, ties to the earlier, hot tuples in several chunks."""
+    rows = [(t, t * 10) for t in (0, 50, 120, 240, 3_590, 3_700, 7_260, 7_260, 90_000)]
+    flows = [-61, -60, 0, 25, 26, 85, 179, 180, 181, 301, 3_645, 3_646, 7_200, 7_199, 89_940, 89_939]
+    key = "'a' AS src_ip, 'b' AS dst_ip, 1 AS src_port, 2 AS dst_port, cast(NULL AS int) AS protocol"
+    when = "timestamp_micros(1704067200000000L + cast(t AS bigint) * 1000000)"
+    features = spark.createDataFrame(rows, "t int, x int").selectExpr(
+        "*", *key.split(", "), f"{when} AS flow_start_time"
+    ).drop("t")
+    asked = spark.createDataFrame([(t,) for t in flows], "t int").selectExpr(
+        "*", *key.split(", "), f"{when} AS flow_start_time"
+    )
+    missing = asked.limit(1).withColumn("flow_start_time", F.lit(None).cast("timestamp"))
+    found = enrichment.enrich_flows_in_range(asked, features)
+    assert found.columns == [*asked.columns, "x"]
+
+    def nearest(t):
+        near = sorted((abs(t - at), at, x) for at, x in rows if abs(t - at) <= 60)
+        return near[0][2] if near else None
+
+    assert {r.t: r.x for r in found.collect()} == {t: nearest(t) for t in flows}
+    assert [r.x for r in enrichment.enrich_flows_in_range(missing, features).collect()] == [None]
+    assert "NestedLoop" not in final_plan(found) and "Cartesian" not in final_plan(found)
+
+
+def test_range_join_spreads_a_hot_tuple(spark):
+    """A third of the rows under one tuple and time is whole, and lies in several tasks."""
+    flows = spark.range(0, 30_000, 1, 8).selectExpr(
+        "id", "if(id % 3 = 0, 'hot', cast(id % 900 AS string)) AS src_ip", "'b' AS dst_ip",
+        "1 AS src_port", "2 AS dst_port", "6 AS protocol",
+        "timestamp_seconds(1704067200 + if(id % 3 = 0, 30, id)) AS flow_start_time",
+    )
+    features = flows.dropDuplicates(["src_ip"]).drop("id").withColumn("x", F.length("src_ip"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = enrichment.enrich_flows_in_range(flows, features)
+        tasks = found.filter("src_ip = 'hot'").groupBy(
+            F.spark_partition_id().alias("p")
+        ).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(t["count"] for t in tasks) == 10_000
+    assert len(tasks) > 2 and max(t["count"] for t in tasks) < 5_000
+
+
 def test_clustered_table_splits_a_hot_source(spark, flows):
     path = run_dir(spark, "clustered")
     settings = {

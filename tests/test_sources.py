@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from flowloom import session
 from flowloom.operators.cleaning import clean_flows
 from flowloom.plans import fixtures as fx
-from flowloom.schemas import FLOW, LEGACY_FLOW, RAW
-from flowloom.sources import documents, tables
+from flowloom.schemas import FLOW, LEGACY_FLOW, MESSAGE, RAW
+from flowloom.sources import csvs, documents, tables
 from flowloom.sources.csvs import read_raw_csv
 from flowloom.sources.topics import Topic
 
@@ -80,3 +80,18 @@ def test_index_failure_is_raised_unless_best_effort(spark):
     assert documents.index_documents(rows, "x", "no.such.format", best_effort=True) is False
     with pytest.raises(Exception, match="no.such.format"):
         documents.index_documents(rows, "x", "no.such.format")
+
+
+def test_export_of_an_empty_folder_has_no_rows(spark):
+    base = session.run_dir(spark, "t-no-export")
+    spark.createDataFrame([], "value string").write.text(base)
+    export = csvs.read_flow_export(spark, base)
+    assert export.columns == MESSAGE.names and export.collect() == []
+
+
+def test_headers_are_read_from_packed_and_oddly_named_files(spark):
+    base = session.run_dir(spark, "t-headers")
+    lines = spark.createDataFrame([("b,a",), ("1,2",)], "value string").coalesce(1)
+    lines.write.option("compression", "gzip").text(f"{base}/a folder/k=x y%")
+    assert [tuple(r) for r in csvs.read_csv_by_name(spark, f"{base}/a folder/k=x y%", ["a", "b"])
+            .collect()] == [("2", "1")]

@@ -178,16 +178,36 @@ def test_streamed_trend_holds_only_closed_buckets(spark):
     assert [r.alerts for r in alert_trend(rows).orderBy("bucket_start").collect()] == [1, 1]
 
 
-def test_a_file_with_other_columns_fails_the_ingestion(spark):
+def test_files_are_read_by_name_or_set_aside(spark):
+    """Swapped columns are found by name; a file that lacks one does not stop the next."""
     base = run_dir(spark, "t-dir-order")
-    spark.createDataFrame([("c,b,a",), ("1,2,3",)], "value string").coalesce(1).write.text(
-        f"{base}/in"
-    )
-    with pytest.raises(Exception, match="header"):
+    schema = spark.createDataFrame([], RAW_3).schema
+
+    def put(*lines):
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode(
+            "append"
+        ).text(f"{base}/in")
+
+    def ingest():
         directory.ingest_csv_directory(
-            spark, f"{base}/in", spark.createDataFrame([], RAW_3).schema, f"{base}/out",
-            f"{base}/bad", f"{base}/checkpoint", once=True,
+            spark, f"{base}/in", schema, f"{base}/out", f"{base}/bad", f"{base}/checkpoint",
+            max_files=1, once=True,
         ).awaitTermination()
+        return (
+            sorted((r.a, r.b, r.c) for r in spark.read.parquet(f"{base}/out").collect()),
+            sorted(r._corrupt_record for r in spark.read.parquet(f"{base}/bad").collect()),
+        )
+
+    put("a,b,c", "1,2,3")
+    put("c,b,a", "6,5,4")
+    put("a,b", "7,8")
+    put("a,b,c,b", "7,8,9,9")
+    put('"c",x,"b",a', "12,0,11,10", "1,2")
+    good, bad = ingest()
+    assert good == [("1", "2", "3"), ("10", "11", "12"), ("4", "5", "6")]
+    assert bad == ["1,2", "file lacks c", "file names a column twice"]
+    put("a,b,c", "13,14,15")
+    assert ingest() == (sorted([*good, ("13", "14", "15")]), bad)
 
 
 def test_load_numbers_that_do_not_fit_are_refused(spark):
