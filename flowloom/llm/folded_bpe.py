@@ -34,6 +34,8 @@ NO_RANK = 1 << 20
 PAIR_MAPS = 30_011
 #: Words, by falling frequency, whose ids are part of the plan; the others are folded in place.
 KNOWN_WORDS = 1 << 18
+#: Stand before and after a word in the lists of known words; no such word holds them.
+BEFORE_WORD, AFTER_WORD = "\x01", "\x02"
 #: Runs of more characters of a kind (letters, white space, ...) are merged by a heap, since a
 #: fold copies its array in every step.
 FOLD_CHARACTERS = 1_024
@@ -67,7 +69,7 @@ _NEW_NUMBERS = (
     r"\x{1d2c0}-\x{1d2d3}\x{1e4f0}-\x{1e4f9}\x{1e5f1}-\x{1e5fa}"
 )
 # One range is tested before the many, so that common characters cost one test.
-_LETTER = rf"[\p{{L}}[\x{{870}}-\x{{323af}}&&[{_NEW_LETTERS}]]]"
+_LETTER = rf"[A-Za-z\p{{L}}[\x{{870}}-\x{{323af}}&&[{_NEW_LETTERS}]]]"
 _NUMBER = rf"[\p{{N}}[\x{{870}}-\x{{323af}}&&[{_NEW_NUMBERS}]]]"
 _OTHER = (
     rf"[[^{_SPACE}]&&\P{{L}}&&\P{{N}}&&"
@@ -247,7 +249,8 @@ def known_words(counts: DataFrame, path: str, most: int = KNOWN_WORDS) -> dict[s
     Frequencies are classed by eighths of powers of two (512 classes at most); the classes
     that fit come whole.
     """
-    short = counts.where(F.length("word") <= FOLD_CHARACTERS).withColumn(
+    plain = ~F.col("word").rlike(f"[{BEFORE_WORD}{AFTER_WORD}]")
+    short = counts.where((F.length("word") <= FOLD_CHARACTERS) & plain).withColumn(
         "frequency", F.floor(F.log2("n") * 8)
     )
     classes = short.groupBy("frequency").agg(F.count("*").alias("words")).collect()
@@ -298,18 +301,22 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     counted = run_dir(spark, "word-counts")
     word_counts(docs).write.parquet(counted)
     known = known_words(spark.read.parquet(counted), path)
-    maps = max(1, len(known) // 4)
-    dealt: list[dict[str, str]] = [{} for _ in range(maps)]
+    lists = max(1, len(known))
+    dealt = [""] * lists
     for word, ids in known.items():
-        dealt[_hash(word) % maps][word] = ids
-    memory = F.from_json(
-        F.lit(json.dumps(dealt, ensure_ascii=False)), "array<map<string, string>>"
-    )
+        dealt[_hash(word) % lists] += BEFORE_WORD + word + AFTER_WORD + ids
+    memory = F.from_json(F.lit(json.dumps(dealt, ensure_ascii=False)), "array<string>")
     long = (F.length("text") >= FOLD_CHARACTERS) & F.col("text").rlike(_LONG_RUN)
 
     def ids_of(tables: Column, memory: Column, word: Column) -> Column:
-        near = F.get(memory, F.pmod(F.xxhash64(word), F.lit(maps)).cast("int"))
-        return F.coalesce(F.try_element_at(near, word), _id_text(tables, word))
+        near = F.get(memory, F.pmod(F.xxhash64(word), F.lit(lists)).cast("int"))
+        key = F.concat(F.lit(BEFORE_WORD), word, F.lit(AFTER_WORD))
+        # What stands behind the word; all of the list, so nothing before its first word, if
+        # the word is not in it.
+        behind = F.substring_index(
+            F.call_function("substring_index", near, key, F.lit(-1)), BEFORE_WORD, 1
+        )
+        return F.coalesce(F.nullif(behind, F.lit("")), _id_text(tables, word))
 
     words = words_of(F.col("text"))
     folded = docs.where(~F.coalesce(long, F.lit(False))).select("doc_id", with_tables(

@@ -14,7 +14,7 @@ from flowloom.llm.texts import table
 PIECES = [
     "a", "b", "the", " ", "  ", "\n", "\t", "\xa0", "é", "!!", "1", "23", "'s", "'", "'ll",
     "<|endoftext|>", "　", "\x1c", "\x85", "日本", "​", "🙂", "\r\n", "$$$", "-", "́", "²",
-    ".", ",", "Word", "ing", "ࡰ", "࢏", "\U00010d40", "\U0001e5f1", "\x00", "ſ", "'S",
+    ".", ",", "Word", "ing", "ࡰ", "࢏", "\U00010d40", "\U0001e5f1", "\x00", "ſ", "'S", "\x01", "\x02", "a\x01b\x02",
 ]
 
 
