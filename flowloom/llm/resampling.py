@@ -23,7 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.texts import fold, put_back, set_aside, table, text_list
+from flowloom.llm.texts import (
+    fold,
+    only_caches_of,
+    put_back,
+    set_aside,
+    table,
+    text_list,
+)
 from flowloom.llm.toxicity import training_sample
 from flowloom.session import run_dir
 
@@ -47,9 +54,9 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 def _shape(word: str) -> str:
     classes = "".join(
         "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        for c in word[:24]
+        for c in word
     )
-    return _RUN.sub(r"\1", classes)[:8]
+    return _RUN.sub(r"\1", classes)
 
 
 class _Words(dict):
@@ -99,6 +106,7 @@ def bucket_counts(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, dtype=np.int64)
+        only_caches_of("resampling", _WORDS)
         for batch in batches:
             for text in text_list(batch, "text"):
                 total += np.bincount(ngrams(text), minlength=BUCKETS)
@@ -183,6 +191,7 @@ def weigh(docs: DataFrame, model: Resampler) -> DataFrame:
     cut = model.cut if model.cut > -math.inf else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_caches_of("resampling", _WORDS)
         for batch in batches:
             values = [
                 EFFECTIVE_NGRAMS * (model.mean(t) - cut) for t in text_list(batch, "text")
@@ -213,8 +222,9 @@ def kth_largest(keys: DataFrame, column: str, k: int) -> float:
     while True:
         inside = keys.where((value >= low) & (value <= high))
         width = (high - low) / LAST_CELL
-        if width <= 0 or low + width == low:
-            return high
+        if low + width == low or high - width == high:
+            # No more doubles between the bounds than cells, so they are counted by value.
+            break
         cell = F.least(F.floor((value - low) / width), F.lit(LAST_CELL - 1))
         counted = inside.groupBy(cell.alias("cell")).agg(
             F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high")
@@ -227,6 +237,12 @@ def kth_largest(keys: DataFrame, column: str, k: int) -> float:
         if row["n"] <= LAST_CELL:
             rows = keys.where((value >= low) & (value <= high)).select(value.alias("v")).collect()
             return sorted((r["v"] for r in rows), reverse=True)[k - 1]
+    counted = inside.groupBy(value.alias("v")).agg(F.count("*").alias("n")).collect()
+    for row in sorted(counted, key=lambda r: -r["v"]):
+        k -= row["n"]
+        if k <= 0:
+            return row["v"]
+    raise ValueError("fewer rows than k")
 
 
 def resample(weighed: DataFrame, path: str, k: int | None = None) -> DataFrame:
