@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from flowloom.llm.texts import only_caches_of
+
 #: White space, a space, white space or the end: here a plain split at spaces would differ.
 _NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 _RUN = re.compile(r"\s (?:\s|\Z)")
@@ -27,9 +29,9 @@ _CUT = re.compile(r"(?<=\S) ")
 #: Stands before a text's first chunk, which has no space before it; a private character.
 _HEAD = "\ue000"
 #: Characters of texts that are encoded together.
-RUN_CHARACTERS = 6_000_000
+RUN_CHARACTERS = 3_000_000
 #: Entries a worker keeps of either kind, some 200 bytes each; a full cache starts anew.
-CHUNK_ENTRIES, WORD_ENTRIES = 1_000_000, 800_000
+CHUNK_ENTRIES, WORD_ENTRIES = 500_000, 500_000
 #: White space of the pre-tokenizer's pattern.
 _S = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The byte-level pre-tokenizer's pattern (fixed value of the format).
@@ -107,6 +109,7 @@ class ChunkEncoder:
 
     def many(self, texts: list[str]) -> Iterator[bytes]:
         """ids_of every text, a run of texts at a time: equal chunks of a run are looked up once."""
+        only_caches_of("chunks", self._words, self._chunks)
         run, size = [], 0
         for text in texts:
             run.append(text)
@@ -161,7 +164,7 @@ def library_encoder(tokenizer_path: str) -> ChunkEncoder:
     """The tokenizers library's byte-level BPE of a file, kept by each Python worker.
 
     The library's model encodes the words; what its pre-tokenizer does to a whole text is done by
-    the chunks. test_chunks.py holds the ids against the library's encode() of whole texts.
+    the chunks. test_token_operators.py holds the ids against the library's encode() of whole texts.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowloom.llm.texts import table
+from flowloom.llm.texts import only_caches_of, table
 from flowloom.session import run_dir
 
 TOP = 50
@@ -117,6 +117,7 @@ def write_index(docs: DataFrame, path: str) -> None:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
+        only_caches_of("max_sketch", _HASH)
 
         def counted() -> pa.RecordBatch:
             return _index_rows(

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.texts import table, text_list
+from flowloom.llm.texts import only_caches_of, table, text_list
 from flowloom.session import drop_dir, run_dir
 
 SHINGLE = 5
@@ -191,6 +191,7 @@ def sketch(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        only_caches_of("near_dedup", _WORD_HASH)
         for batch in batches:
             texts = [words_of(text) for text in text_list(batch, "text")]
             nodes = [_node(words) for words in texts]
@@ -388,6 +389,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """node and held (hashes and weights of the shingles) of texts."""
+    only_caches_of("near_dedup", _WORD_HASH)
     for batch in batches:
         held = []
         for text in text_list(batch, "text"):

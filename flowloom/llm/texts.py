@@ -19,6 +19,18 @@ def fold(key: str, folds: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds
 
 
+_kept_caches: dict[str, tuple] = {}
+
+
+def only_caches_of(owner: str, *caches) -> None:
+    """Empty what other operators left in this Python worker, which Spark uses for all stages."""
+    for other, kept in _kept_caches.items():
+        if other != owner:
+            for cache in kept:
+                cache.clear()
+    _kept_caches[owner] = caches
+
+
 def text_list(batch: pa.RecordBatch, name: str) -> list[str]:
     """A text column of an Arrow batch; null reads as empty."""
     return [text or "" for text in batch.column(name).to_pylist()]
