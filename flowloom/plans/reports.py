@@ -408,6 +408,21 @@ def hash_sample_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(oracle(
+    f"SELECT {fx.FLOW_LIST} FROM (SELECT *, row_number() OVER (PARTITION BY attack_type "
+    f"ORDER BY {_RANK}, flow_id) AS place FROM flows) WHERE place <= CASE attack_type "
+    "WHEN 'Benign' THEN 300 WHEN 'SSH-Bruteforce' THEN 100000 ELSE 50 END",
+    "flows",
+))
+def class_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact numbers of four classes, one of which has fewer rows than asked for."""
+    flows = flows_table(spark, sf_dir).select(*FLOW_COLUMNS)
+    return sampling.class_sample(flows, "attack_type", {
+        "Benign": 300, "SSH-Bruteforce": 100_000, "DDoS attacks-LOIC-HTTP": 50,
+        "DoS attacks-Hulk": 50, "Infiltration": 50,
+    })
+
+
 @query(oracle("SELECT json FROM messages ORDER BY json LIMIT 1000", "messages"))
 def limit_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.limit_batch(received_texts(spark, sf_dir), 1000, ["json"])

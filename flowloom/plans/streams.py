@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions import messages as fn
@@ -15,12 +15,13 @@ from flowloom.plans import fixtures as fx
 from flowloom.plans.fixtures import oracle
 from flowloom.plans.messages import LEGACY_SQL, PARSED_SQL, SENT_SQL, legacy_texts
 from flowloom.plans.registry import query
+from flowloom.plans.reports import IN_RANGE_SQL, late_features, packet_flows
 from flowloom.plans.stored import detector, flows_table, message_topic, scored_table
 from flowloom.plans.tables import LEGACY_ROWS_SQL, write_raw_csv
 from flowloom.schemas import ALERT, FLOW, LEGACY_FLOW, MEASURES, MESSAGE, RAW, RAW_COLUMNS
-from flowloom.session import run_dir
+from flowloom.session import child_names, run_dir
 from flowloom.sources import topics
-from flowloom.streaming import directory, history, legacy, realtime, trends
+from flowloom.streaming import directory, enrichment, history, legacy, realtime, trends
 
 
 def _run_to_end(df: DataFrame, path: str, checkpoint: str) -> None:
@@ -260,6 +261,38 @@ def ingest_csv_directory_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+# A row so late that both watermarks pass all others; it closes a finite stream.
+_CLOSING = "TIMESTAMP '2030-01-01 00:00:00'"
+
+
+def in_turns(df: DataFrame, path: str, turns: int, time: str = "flow_start_time") -> DataFrame:
+    """A stream that gets the rows of a table in so many files, earlier ones first, a file a
+    batch, and then a row that closes it."""
+    spark, kind = df.sparkSession, df.schema
+    order = F.ntile(turns).over(Window.orderBy(time))
+    closing = df.limit(1).withColumn(time, F.expr(_CLOSING)).withColumn("src_ip", F.lit("closing"))
+    dealt = df.withColumn("_turn", order).persist()
+    for turn in range(1, turns + 1):
+        dealt.filter(F.col("_turn") == turn).drop("_turn").coalesce(1).write.mode("append").parquet(path)
+    dealt.unpersist()
+    closing.select(*df.columns).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query(oracle(IN_RANGE_SQL, "packets"))
+def enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, three batches each, joined as the tables are."""
+    base = run_dir(spark, "enrich-stream")
+    flows, features = packet_flows(spark, sf_dir), late_features(spark, sf_dir)
+    joined = enrichment.enrich_stream(
+        in_turns(flows, f"{base}/flows", 3), in_turns(features, f"{base}/features", 3),
+        row_key=("src_ip", "src_port", "dst_ip", "dst_port", "protocol", "pkt_len"),
+        within=21_600, delay="1 day",
+    )
+    _run_to_end(joined, f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.schema(joined.schema).parquet(f"{base}/rows").filter("src_ip <> 'closing'")
+
+
 @query(oracle(LEGACY_SQL, "flows"))
 def legacy_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "legacy-stream")
@@ -351,6 +384,23 @@ def compact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select(*MESSAGE.names)
 
 
+@query(oracle(
+    f"SELECT {_PREDICTED} FROM scored WHERE flow_id % 61 <> 0 "
+    f"UNION ALL SELECT {_PREDICTED} FROM scored WHERE flow_id % 61 <> 0", "scored",
+))
+def compact_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches compacted, their folders deleted, and all read back."""
+    outputs = _two_batches(spark, sf_dir)
+    compacted = f"{outputs.predictions}_compacted"
+    for left in (2, 0):
+        if history.compact_predictions(spark, outputs.predictions, compacted) != left:
+            raise AssertionError("not the batches that were there")
+    if child_names(spark, outputs.predictions):
+        raise AssertionError("compacted batches were not retired")
+    rows = history.read_predictions(spark, outputs.predictions, compacted)
+    return rows.select(*_PREDICTED.split(", "))
+
+
 _ROW_SQL = oracle(
     f"SELECT {fx.RAW_LIST} FROM raw_flows", "raw_flows"
 )

@@ -68,3 +68,12 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     """Delete what was written below a path, on whatever store it lies; nothing there is fine."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, on whatever store; none if it is missing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return []
+    return [status.getPath().getName() for status in store.listStatus(place)]

@@ -260,6 +260,27 @@ def test_hash_sample_with_repeated_ids(spark, flows):
     assert "TakeOrderedAndProject" not in plan
 
 
+def test_class_sample_is_exact_in_every_class(spark, flows):
+    """Classes of any size, a null one, one that ends among equal keys, one of equal rows."""
+    rows = flows.select("flow_id", F.when(F.col("flow_id") % 3 == 0, "hot").when(
+        F.col("flow_id") % 7 == 0, F.lit(None).cast("string")
+    ).otherwise(F.concat(F.lit("c"), (F.col("flow_id") % 5).cast("string"))).alias("kind"))
+    equal = spark.range(500).select(F.lit(1).cast("bigint").alias("flow_id"), F.lit("e").alias("kind"))
+    tied = spark.range(500).select((F.col("id") % 2).alias("flow_id"), F.lit("t").alias("kind"))
+    rows = rows.unionByName(equal).unionByName(tied).repartition(7)
+    sizes = {r.kind: r["count"] for r in rows.groupBy("kind").count().collect()}
+    wanted = {"hot": 5_000, None: 40, "c1": 1, "c2": 10**6, "e": 77, "t": 300, "none": 5, "c3": 0}
+    sample = sampling.class_sample(rows, "kind", wanted)
+    assert sample.columns == rows.columns
+    got = {r.kind: r["count"] for r in sample.groupBy("kind").count().collect()}
+    assert got == {k: min(n, sizes[k]) for k, n in wanted.items() if n and k in sizes}
+    again = sampling.class_sample(rows.repartition(3), "kind", wanted)
+    assert sample.exceptAll(again).isEmpty() and again.exceptAll(sample).isEmpty()
+    alone = sampling.hash_sample(rows.filter("kind = 'hot'"), 5_000)
+    assert alone.exceptAll(sample.filter("kind = 'hot'")).isEmpty()
+    assert sampling.class_sample(rows, "kind", {}).isEmpty()
+
+
 def test_tree_samples_are_bounded(flows):
     rows = flows.withColumn("x", F.col("src_ip_int").cast("double"))
     per_tree = isolation.tree_samples(rows, ["x"], 7, 64, ["flow_id"], 1).groupBy("tree").count()

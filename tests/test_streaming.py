@@ -8,9 +8,9 @@ from flowloom.plans import fixtures as fx
 from flowloom.plans.stored import message_topic
 from flowloom.plans.streams import outputs_in
 from flowloom.schemas import FLOW, FLOW_COLUMNS, MESSAGE
-from flowloom.session import run_dir
+from flowloom.session import child_names, run_dir
 from flowloom.sources.topics import Topic, batch_messages, publish_messages, stream_messages
-from flowloom.streaming import directory, legacy, realtime
+from flowloom.streaming import directory, enrichment, history, legacy, realtime
 
 RAW_3 = "a string, b string, c string"
 
@@ -218,3 +218,98 @@ def test_load_numbers_that_do_not_fit_are_refused(spark):
         for r in assign_flow_id(spark.range(0, 50, 1, 5), None, load, stream).collect()
     ]
     assert len(set(ids)) == 200 and min(ids) >= 0
+
+
+def test_readers_of_the_history_open_no_retired_batch(spark):
+    base = run_dir(spark, "t-history")
+    one = spark.createDataFrame(
+        [("10.0.0.1", "2024-01-01 10:00:00"), ("10.0.0.2", "2024-01-02 10:00:00")],
+        "src_ip string, t string",
+    ).withColumn("flow_start_time", F.col("t").cast("timestamp")).drop("t")
+
+    def put(batch):
+        flows = one.select(*[
+            (F.col(f.name) if f.name in one.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in FLOW.fields
+        ]).withColumn("flow_id", F.lit(batch).cast("bigint"))
+        flows.write.mode("overwrite").parquet(f"{base}/h/batch_id={batch}")
+
+    def files():
+        rows = history.read_history(spark, f"{base}/h", f"{base}/c")
+        opened = rows.select(F.input_file_name().alias("f")).distinct().collect()
+        assert rows.count() == rows.distinct().count()
+        return rows.count(), sum("batch_id=" in r.f for r in opened)
+
+    def folders():
+        return sorted(child_names(spark, f"{base}/h"))
+
+    for batch in (0, 1, 3):
+        put(batch)
+    assert history.compact_history(spark, f"{base}/h", f"{base}/c") == 3
+    assert files() == (6, 0)
+    # Kept until the next compaction, for readers that began before.
+    assert folders() == ["batch_id=0", "batch_id=1", "batch_id=3"]
+    for batch in (2, 4):
+        put(batch)
+    rows, opened = files()
+    assert rows == 10 and 0 < opened <= 4
+    assert history.compact_history(spark, f"{base}/h", f"{base}/c") == 2
+    assert folders() == ["batch_id=2", "batch_id=4"]
+    assert history.compact_history(spark, f"{base}/h", f"{base}/c") == 0
+    assert folders() == [] and files() == (10, 0)
+    # A run that no list names, as of a compaction that died, is not read.
+    put(9)
+    spark.read.schema(FLOW).parquet(f"{base}/h/batch_id=9").withColumn(
+        "flow_date", F.to_date("flow_start_time")
+    ).write.partitionBy("flow_date").parquet(f"{base}/c/runs/run=dead")
+    assert files()[0] == 12
+
+
+def test_streamed_features_may_be_late_and_survive_a_restart(spark):
+    """A feature that comes batches after its flow is found, one beyond the delay is not, and a
+    flow that is sent twice is one."""
+    base = run_dir(spark, "t-enrich-stream")
+    key = "'a' AS src_ip, 'b' AS dst_ip, 1 AS src_port, 2 AS dst_port, 6 AS protocol"
+
+    def at(seconds):
+        return f"timestamp_seconds(1704067200 + {seconds}) AS flow_start_time"
+
+    def put(name, *rows):
+        column = "flow_id" if name == "flows" else "x"
+        for second, value in rows:
+            spark.sql(f"SELECT {key}, {at(second)}, {value}L AS {column}").coalesce(
+                1).write.mode("append").parquet(f"{base}/{name}")
+
+    def run():
+        def stream(name, more):
+            schema = (
+                "src_ip string, dst_ip string, src_port int, dst_port int, protocol int, "
+                f"flow_start_time timestamp, {more} bigint"
+            )
+            return spark.readStream.schema(schema).parquet(f"{base}/{name}")
+
+        joined = enrichment.enrich_stream(
+            stream("flows", "flow_id"), stream("features", "x"), within=60, delay="100 seconds"
+        )
+        joined.writeStream.format("parquet").option("path", f"{base}/out").option(
+            "checkpointLocation", f"{base}/checkpoint"
+        ).trigger(availableNow=True).start().awaitTermination()
+        rows = spark.read.schema(joined.schema).parquet(f"{base}/out").collect()
+        return sorted((r.flow_id, r.x) for r in rows)
+
+    put("flows", (0, 1), (0, 1), (30, 2))
+    put("features", (200, 9))
+    assert run() == []
+    # Late by more than a batch, but within the delay of the watermark (flows are at 30).
+    put("features", (50, 7), (10, 8))
+    put("flows", (400, 3))
+    run()
+    put("features", (400, 5), (2000, 6))
+    put("flows", (2000, 4))
+    run()
+    # Beyond the delay: the watermark has passed it.
+    put("features", (35, 99))
+    put("flows", (9000, 10))
+    put("features", (9000, 11))
+    got = run()
+    assert got == [(1, 8), (2, 8), (3, 5), (4, 6)]
