@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowloom.functions import messages as fn
@@ -21,7 +21,15 @@ from flowloom.plans.tables import LEGACY_ROWS_SQL, write_raw_csv
 from flowloom.schemas import ALERT, FLOW, LEGACY_FLOW, MEASURES, MESSAGE, RAW, RAW_COLUMNS
 from flowloom.session import child_names, run_dir
 from flowloom.sources import topics
-from flowloom.streaming import directory, enrichment, history, legacy, realtime, trends
+from flowloom.streaming import (
+    directory,
+    enrichment,
+    history,
+    legacy,
+    realtime,
+    rollups,
+    trends,
+)
 
 
 def _run_to_end(df: DataFrame, path: str, checkpoint: str) -> None:
@@ -401,6 +409,44 @@ def compact_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*_PREDICTED.split(", "))
 
 
+def _named(df: DataFrame, report: str, key: Column, value: str) -> DataFrame:
+    return df.select(
+        F.lit(report).alias("report"), key.cast("string").alias("key"),
+        F.col(value).cast("bigint").alias("value"),
+    )
+
+
+@query(oracle(
+    "SELECT 'volume' AS report, cast(protocol AS string) AS key, "
+    "cast(sum(in_bytes + out_bytes) AS bigint) AS value FROM scored GROUP BY protocol "
+    "UNION ALL SELECT 'attacks', attack_type, count(*) FROM scored GROUP BY attack_type "
+    "UNION ALL SELECT 'trend', strftime(time_bucket(interval '1 hour', flow_start_time), "
+    "'%Y-%m-%d %H'), count(*) FROM scored WHERE prediction = 1 GROUP BY 2 "
+    "UNION ALL (SELECT 'suspicious', src_ip, count(*) FROM scored WHERE prediction = 1 "
+    "GROUP BY src_ip ORDER BY count(*) DESC, round(avg(anomaly_score), 6) DESC, src_ip LIMIT 10)",
+    "scored",
+))
+def rollup_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports from the rollups of four batches, one of which runs twice; two are compacted."""
+    base = run_dir(spark, "rollups")
+    folder, compacted = f"{base}/batches", f"{base}/compacted"
+    scored = scored_table(spark, sf_dir)
+    for batch in (0, 1, 1, 2, 3):
+        rollups.write_rollups(scored.filter(F.col("flow_id") % 4 == batch), batch, folder)
+        if batch == 1:
+            rollups.compact_rollups(spark, folder, compacted)
+    hourly = rollups.read_hourly(spark, folder, compacted)
+    sources = rollups.read_sources(spark, folder, compacted)
+    found = [
+        _named(rollups.volume_by_protocol(hourly), "volume", F.col("protocol"), "total_bytes"),
+        _named(rollups.top_attack_types(hourly), "attacks", F.col("attack_type"), "rows"),
+        _named(rollups.alert_trend(hourly), "trend",
+               F.date_format("bucket_start", "yyyy-MM-dd HH"), "alerts"),
+        _named(rollups.top_suspicious_ips(sources), "suspicious", F.col("src_ip"), "alerts"),
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 _ROW_SQL = oracle(
     f"SELECT {fx.RAW_LIST} FROM raw_flows", "raw_flows"
 )

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions import messages as fn
 from flowloom.operators.cleaning import assign_flow_id
+from flowloom.operators import reports
 from flowloom.operators.reports import alert_trend
 from flowloom.plans import fixtures as fx
 from flowloom.plans.stored import message_topic
@@ -10,7 +11,7 @@ from flowloom.plans.streams import outputs_in
 from flowloom.schemas import FLOW, FLOW_COLUMNS, MESSAGE
 from flowloom.session import child_names, run_dir
 from flowloom.sources.topics import Topic, batch_messages, publish_messages, stream_messages
-from flowloom.streaming import directory, enrichment, history, legacy, realtime
+from flowloom.streaming import directory, enrichment, history, legacy, realtime, rollups
 
 RAW_3 = "a string, b string, c string"
 
@@ -313,3 +314,40 @@ def test_streamed_features_may_be_late_and_survive_a_restart(spark):
     put("features", (9000, 11))
     got = run()
     assert got == [(1, 8), (2, 8), (3, 5), (4, 6)]
+
+
+def test_rollups_keep_their_error_bounds_and_forget_repeats(spark, tmp_path):
+    """Distinct sources and quantiles of any period, after repeats and compactions."""
+    scored = spark.range(60_000).select(
+        (F.col("id") % 7_000).alias("src_ip_int"),
+        F.concat(F.lit("s"), F.col("id") % 7_000).alias("src_ip"),
+        F.timestamp_seconds(1704067200 + F.col("id") % (72 * 3600)).alias("flow_start_time"),
+        (F.col("id") % 3).cast("int").alias("protocol"), F.lit("Benign").alias("attack_type"),
+        (F.col("id") * 17 % 10_007).alias("in_bytes"), F.lit(5).cast("bigint").alias("out_bytes"),
+        (F.col("id") % 10 == 0).cast("double").alias("prediction"),
+        (F.col("id") % 10 == 0).cast("int").alias("is_anomaly"),
+        (F.col("id") % 10 / 10).alias("anomaly_score"),
+    )
+    folder, compacted = f"{tmp_path}/b", f"{tmp_path}/c"
+    for batch in (0, 1, 2, 1, 0):
+        rollups.write_rollups(scored.filter(F.col("src_ip_int") % 3 == batch), batch, folder)
+    start, end = (F.lit(f"2024-01-0{d} 06:00:00").cast("timestamp") for d in (1, 3))
+    within = scored.filter((F.col("flow_start_time") >= start) & (F.col("flow_start_time") < end))
+    for _ in range(3):
+        for rows, limits in ((scored, ()), (within, (start, end))):
+            hourly = rollups.read_hourly(spark, folder, compacted, *limits)
+            exact = rows.agg(F.count_distinct("src_ip_int").alias("n")).first().n
+            assert abs(rollups.distinct_sources(hourly).first().sources - exact) < 0.05 * exact
+            values = sorted(r[0] for r in rows.select(F.expr("in_bytes + out_bytes")).collect())
+            found = rollups.flow_bytes_quantiles(hourly, [0.1, 0.5, 0.99]).first().quantiles
+            for share, value in zip((0.1, 0.5, 0.99), found, strict=True):
+                rank = sum(v <= value for v in values) / len(values)
+                assert abs(rank - share) < 0.02
+            assert hourly.agg(F.sum("flows")).first()[0] == rows.count()
+            by_protocol = rollups.volume_by_protocol(hourly).orderBy("protocol").collect()
+            plain = reports.volume_by_protocol(rows).orderBy("protocol").collect()
+            assert by_protocol == plain
+        rollups.compact_rollups(spark, folder, compacted)
+    assert child_names(spark, f"{folder}/hourly") == []
+    plan = rollups.read_hourly(spark, folder, compacted, start, end)._jdf.queryExecution()
+    assert "PartitionFilters: [isnotnull(day" in plan.executedPlan().toString()
