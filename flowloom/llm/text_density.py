@@ -13,7 +13,9 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -82,6 +84,8 @@ _TAG = re.compile(
     r"|<([a-zA-Z][^\s/>]*)([^>]*)>",
     re.DOTALL,
 )
+#: What hides the rest of a page that has no more ">".
+_NEVER_CLOSED = re.compile(r"<!--|<!\[CDATA\[")
 _NAMING = re.compile(
     r"""(?:^|\s)(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
     re.IGNORECASE,
@@ -142,37 +146,102 @@ def _named(tag: str, attributes: str, in_article: bool) -> str:
     return found
 
 
+class _Open:
+    """The open elements: the innermost one, and at what depths which tags are open.
+
+    Every question is answered from the ends of a few lists, so deep nesting costs nothing.
+    """
+
+    def __init__(self) -> None:
+        self.root = self.node = Node("#root", None)
+        self.articles = 0
+        self._depth = 0
+        self._depths: dict[str, list[int]] = {}
+        #: Depths of what is neither a paragraph nor inline; the root is such.
+        self._barriers = [0]
+
+    def add(self, child: Node, closed: bool) -> None:
+        self.node.children.append(child)
+        if not closed:
+            self.node = child
+            self._depth += 1
+            self._depths.setdefault(child.tag, []).append(self._depth)
+            if child.tag != "p" and child.tag not in INLINE:
+                self._barriers.append(self._depth)
+            self.articles += child.tag in HOLDERS
+
+    def holds(self, tag: str) -> bool:
+        return bool(self._depths.get(tag))
+
+    def _nearest(self, tag: str) -> int:
+        depths = self._depths.get(tag)
+        return depths[-1] if depths else 0
+
+    def close(self, tag: str) -> None:
+        """Close open elements up to the nearest of that tag."""
+        while True:
+            node = self.node
+            self._depths[node.tag].pop()
+            if self._barriers[-1] == self._depth:
+                self._barriers.pop()
+            self._depth -= 1
+            self.articles -= node.tag in HOLDERS
+            self.node = node.parent
+            if node.tag == tag:
+                return
+
+    def make_room(self, tag: str) -> None:
+        """Close what a start tag ends without an end tag."""
+        if tag in ENDS_PARAGRAPH:
+            if self._nearest("p") > self._barriers[-1]:
+                self.close("p")
+        elif tag in ENDS_OPEN:
+            ended, bounds = ENDS_OPEN[tag]
+            inner = max(ended, key=self._nearest)
+            if self._nearest(inner) > max(map(self._nearest, bounds), default=0):
+                self.close(inner)
+
+
 def parse(page: str) -> Node:
-    """The page's tree without parts that are not content; texts are decoded strings."""
-    root = Node("#root", None)
-    node, skip, at = root, None, 0
-    articles = 0
-    stack: list[str] = []  # open elements inside a part that is left out
+    """The page's tree without parts that are not content; texts are decoded strings.
+
+    One pass: nothing behind the last ">" can end a tag, so it is not searched for one.
+    """
+    opened, skip, at = _Open(), False, 0
+    inside: list[str] = []  # open elements inside a part that is left out
+    counts: Counter = Counter()  # of their tags
+    last = page.rfind(">") + 1
 
     def text(raw: str) -> None:
-        if skip is None and raw:
-            node.children.append(html.unescape(raw) if "&" in raw else raw)
+        if not skip and raw:
+            opened.node.children.append(html.unescape(raw) if "&" in raw else raw)
 
     position = 0
-    while match := _TAG.search(page, position):
+    while match := _TAG.search(page, position, last):
         text(page[at:match.start()])
         at = position = match.end()
+        if page.startswith("<!--", match.start()):
+            if len(match[0]) < 7 or not match[0].endswith("-->"):
+                return opened.root  # never closed, so the rest of the page is in it
+        elif page.startswith("<![CDATA[", match.start()) and not match[0].endswith("]]>"):
+            return opened.root
         if closing := match[1]:
             tag = closing.lower()
-            if skip is not None:
-                if tag in stack:
-                    while stack.pop() != tag:
-                        pass
-                    if not stack:
-                        skip = None
-                elif _is_open(node, tag):
+            if skip:
+                if counts[tag]:
+                    while (ended := inside.pop()) != tag:
+                        counts[ended] -= 1
+                    counts[tag] -= 1
+                    skip = bool(inside)
+                elif opened.holds(tag):
                     # The part was never closed: its parent ends here, and so does it.
-                    skip, stack = None, []
-                    node, articles = _close(node, tag, articles)
-            elif _is_open(node, tag):
-                node, articles = _close(node, tag, articles)
+                    skip, inside = False, []
+                    counts.clear()
+                    opened.close(tag)
+            elif opened.holds(tag):
+                opened.close(tag)
             elif tag == "p":
-                node.children.append(Node("p", node))
+                opened.node.children.append(Node("p", opened.node))
             continue
         tag, attributes = match[2] or match[4], match[3] or match[5] or ""
         if not tag:
@@ -180,63 +249,34 @@ def parse(page: str) -> Node:
         tag = tag.lower()
         closed = tag in VOID or attributes.endswith("/") and tag in ("path", "rect", "use", "g")
         if tag in RAW_TEXT and not closed:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
-            at = position = end.end() if end else len(page)
+            end = _raw_end(tag).search(page, at, last)
+            if end is None:
+                return opened.root
+            at = position = end.end()
             continue
-        if skip is not None:
+        if skip:
             if not closed:
-                stack.append(tag)
+                inside.append(tag)
+                counts[tag] += 1
             continue
-        node, articles = _make_room(node, tag, articles)
-        if _unwanted(tag, attributes, articles > 0):
-            node.children.append(" ")
+        opened.make_room(tag)
+        if _unwanted(tag, attributes, opened.articles > 0):
+            opened.node.children.append(" ")
             if not closed:
-                skip, stack = tag, [tag]
+                skip, inside = True, [tag]
+                counts[tag] += 1
             continue
-        child = Node(tag, node)
-        child.named = _named(tag, attributes, articles > 0)
-        node.children.append(child)
-        if not closed:
-            node = child
-            articles += tag in HOLDERS
-    text(page[at:])
-    return root
+        child = Node(tag, opened.node)
+        child.named = _named(tag, attributes, opened.articles > 0)
+        opened.add(child, closed)
+    rest = _NEVER_CLOSED.search(page, max(position, last))
+    text(page[at:rest.start() if rest else len(page)])
+    return opened.root
 
 
-def _is_open(node: Node, tag: str) -> bool:
-    while node is not None:
-        if node.tag == tag:
-            return True
-        node = node.parent
-    return False
-
-
-def _close(node: Node, tag: str, articles: int) -> tuple[Node, int]:
-    """Close open elements up to the nearest of that tag."""
-    while True:
-        articles -= node.tag in HOLDERS
-        done = node.tag == tag
-        node = node.parent
-        if done:
-            return node, articles
-
-
-def _make_room(node: Node, tag: str, articles: int) -> tuple[Node, int]:
-    """Close what a start tag ends without an end tag."""
-    if tag in ENDS_PARAGRAPH:
-        open_one = node
-        while open_one.parent is not None and (open_one.tag == "p" or open_one.tag in INLINE):
-            if open_one.tag == "p":
-                return _close(node, "p", articles)
-            open_one = open_one.parent
-    elif tag in ENDS_OPEN:
-        ended, bounds = ENDS_OPEN[tag]
-        open_one = node
-        while open_one.parent is not None and open_one.tag not in bounds:
-            if open_one.tag in ended:
-                return _close(node, open_one.tag, articles)
-            open_one = open_one.parent
-    return node, articles
+@cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE)
 
 
 def _in_order(root: Node) -> list[Node]:
@@ -305,6 +345,10 @@ def _cut_named(root: Node) -> list[Node]:
             or node.tag in HOLDERS and node.named != "discussion"
         ) and node.named != "discussion":
             spoken_for.add(node.parent)
+    within: set[Node] = set()  # articles and mains and what is inside them
+    for node in nodes:
+        if node.tag in HOLDERS or node.parent in within:
+            within.add(node)
     measure(root)
     body = next((n for n in nodes if n.tag == "body"), root)
     unlinked = body.chars - body.link_chars
@@ -322,10 +366,10 @@ def _cut_named(root: Node) -> list[Node]:
     nodes = measure(root)
     _, threshold = _body_path(nodes, body)
     held = any(n.tag in HOLDERS and n.chars for n in nodes)
-    titled = any(n.tag in HEADINGS and n.chars and _holder_above(n) for n in nodes)
+    titled = any(n.tag in HEADINGS and n.chars and n in within for n in nodes)
     back = []
     for node, i, child, density, plain in cut:
-        beside = held and not _holder_above(node)
+        beside = held and node not in within
         if beside and titled:
             continue
         least = max(1, (SMALL_BESIDE if beside else SMALL_SHARE) * unlinked)
@@ -336,12 +380,6 @@ def _cut_named(root: Node) -> list[Node]:
     return measure(root) if back else nodes
 
 
-def _holder_above(node: Node | None) -> bool:
-    while node is not None and node.tag not in HOLDERS:
-        node = node.parent
-    return node is not None
-
-
 def _of_links(node: Node) -> bool:
     """Whether a part is a list of links rather than prose that holds some."""
     return (

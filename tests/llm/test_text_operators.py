@@ -3,7 +3,9 @@
 import html
 import itertools
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -230,6 +232,67 @@ def test_names_inside_an_article():
     assert "Long prose here" in titled
 
 
+def naive_counts(node):
+    """chars, tags, link_chars, link_tags of a subtree by plain recursion."""
+    chars = tags = link_chars = link_tags = 0
+    for child in node.children:
+        if isinstance(child, str):
+            chars += sum(not c.isspace() for c in child)
+        else:
+            c, t, lc, lt = naive_counts(child)
+            chars, tags, link_chars = chars + c, tags + t + 1, link_chars + lc
+            link_tags += lt + (child.tag == "a")
+    return chars, tags, chars if node.tag == "a" else link_chars, link_tags
+
+
+def test_densities_are_the_formulas():
+    """Composite text density, density sums and the threshold against the definitions."""
+    rng = random.Random(11)
+    pieces = ["<div>", "</div>", "<p>", "</p>", "<a href=x>", "</a>", "<b>", "</b>", "<ul>", "<li>",
+              "</ul>", "some words here ", "x", "a much longer run of prose, with a comma. "]
+    for _ in range(200):
+        page = "<body>" + "".join(rng.choices(pieces, k=rng.randrange(1, 60))) + "</body>"
+        nodes = text_density.measure(text_density.parse(page))
+        body = next(n for n in nodes if n.tag == "body")
+        c_b, _, lc_b, _ = naive_counts(body)
+        for node in nodes:
+            c, t, lc, lt = naive_counts(node)
+            assert (node.chars, node.tags, node.link_chars, node.link_tags) == (c, t, lc, lt)
+            if not c:
+                assert node.density == 0
+                continue
+            t, lc1, lt = max(1, t), max(1, lc), max(1, lt)
+            base = c / max(1, c - lc) * lc1 + lc_b / max(1, c_b) * c + math.e
+            wanted = c / t * (math.log(c / lc1 * t / lt) / math.log(math.log(base)))
+            assert math.isclose(node.density, max(0.0, wanted), abs_tol=1e-9)
+        for node in nodes:
+            below = [c.density for c in node.children if not isinstance(c, str)]
+            assert math.isclose(node.density_sum, math.fsum(below), abs_tol=1e-9)
+        best, threshold = text_density._body_path(nodes, body)
+        assert best.density_sum == max(n.density_sum for n in nodes)
+        path, node = [best.density], best
+        while node is not body and node.parent not in (None, body):
+            node = node.parent
+            path.append(node.density)
+        assert threshold == min(path)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 1_700_000, "<!x" * 1_600_000, "</x " * 1_250_000, "<!--" * 1_250_000,
+    "<script>" + "</script " * 600_000, '<a "' * 1_250_000 + ">",
+    "<div>" * 300_000 + "</x>" * 300_000 + "</div>" * 300_000,
+    "<b>" * 400_000 + "<div></div>" * 300_000,
+    "<ul><li><ul>" + "<div>" * 300_000 + "<li></li>" * 300_000,
+    "<nav>" + "<i>" * 500_000 + "</q>" * 800_000,
+    "<article>" + "<div class=sidebar>" * 100_000 + "<h2>x</h2>" * 300_000,
+], ids=range(11))
+def test_broken_markup_takes_linear_time(page):
+    """5 MB of unclosed tags or deep nesting within seconds, by the processor's clock."""
+    begun = time.process_time()
+    text_density.main_text("<p>some prose before it</p>" + page)
+    assert time.process_time() - begun < 45
+
+
 def test_pages_odd(spark):
     rows = [(1, None, None), (None, "u", ""), (2, "u", "<p>a</p>"), (2, "u", "<p>a</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
