@@ -28,10 +28,12 @@ _RUN = re.compile(r"\s (?:\s|\Z)")
 _CUT = re.compile(r"(?<=\S) ")
 #: Stands before a text's first chunk, which has no space before it; a private character.
 _HEAD = "\ue000"
+#: What may follow a word's letters at the end of a chunk: a piece of its own.
+_STOPS = (".", ",")
 #: Characters of texts that are encoded together.
-RUN_CHARACTERS = 3_000_000
+RUN_CHARACTERS = 6_000_000
 #: Entries a worker keeps of either kind, some 200 bytes each; a full cache starts anew.
-CHUNK_ENTRIES, WORD_ENTRIES = 500_000, 500_000
+CHUNK_ENTRIES, WORD_ENTRIES = 800_000, 600_000
 #: White space of the pre-tokenizer's pattern.
 _S = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The byte-level pre-tokenizer's pattern (fixed value of the format).
@@ -76,17 +78,16 @@ class ChunkEncoder:
 
     def _chunk(self, key: str) -> bytes:
         """Ids of a chunk that is not kept yet; a text's first one is marked by _HEAD."""
-        chunk = key[1:] if key[:1] == _HEAD else " " + key
+        words = self._words
         # Letters, or letters and a full stop or comma, need no pattern.
-        if chunk[:1] == " " or chunk[:1].isalpha():
-            if chunk[1:].isalpha():
-                ids = self._word(chunk)
-            elif chunk[-1:] in (".", ",") and chunk[1:-1].isalpha():
-                ids = self._word(chunk[:-1]) + self._word(chunk[-1])
-            else:
-                ids = self._by_pattern(chunk)
+        if key.isalpha():
+            word = " " + key
+            ids = words.get(word) or self._word(word)
+        elif key[-1:] in _STOPS and key[:-1].isalpha():
+            word, stop = " " + key[:-1], key[-1]
+            ids = (words.get(word) or self._word(word)) + (words.get(stop) or self._word(stop))
         else:
-            ids = self._by_pattern(chunk)
+            ids = self._by_pattern(key[1:] if key[:1] == _HEAD else " " + key)
         if len(self._chunks) >= CHUNK_ENTRIES:
             self._chunks.clear()
         self._chunks[key] = ids
@@ -175,12 +176,18 @@ def library_encoder(tokenizer_path: str) -> ChunkEncoder:
 
     tokenize = tokenizer.model.tokenize
     letters = byte_letters()
+    codes = [little_endian([i]) for i in range(max(tokenizer.get_vocab().values()) + 1)]
 
     def encode(word: str) -> bytes:
-        spelled = word.encode().decode("latin-1").translate(letters)
-        return little_endian([token.id for token in tokenize(spelled)])
+        if word.isascii() and word.isprintable():
+            spelled = word.replace(" ", letters[0x20])  # the others stand for themselves
+        else:
+            spelled = word.encode().decode("latin-1").translate(letters)
+        return b"".join([codes[token.id] for token in tokenize(spelled)])
 
     added = tokenizer.get_added_tokens_decoder()
+    if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+        raise ValueError("added tokens that depend on what stands beside them are not supported")
     return ChunkEncoder(encode, {token.content: i for i, token in added.items()})
 
 
