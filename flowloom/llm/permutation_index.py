@@ -30,8 +30,12 @@ PIVOTS = 512
 SAMPLED = 3
 #: Nearest pivots that represent a vector.
 ORDER = 96
-#: Best by footrule distance that a shard ranks by the exact distance, for each query.
-CANDIDATES = 2_048
+#: Share of a shard, the best by footrule distance, that is ranked by the exact distance for
+#: each query: 1 / so many, at any size, but not fewer vectors than the second number.
+CANDIDATE_SHARE, LEAST_CANDIDATES = 8, 128
+#: Share of the largest footrule distance up to which all vectors are ranked exactly: copies and
+#: near copies of the query, however many, whose orders hardly tell them apart.
+CROWD = 0.1
 NEIGHBOURS = 10
 
 INDEX = "dim int, shard int, vec_ids binary, vectors binary, pivots binary, postings binary"
@@ -160,8 +164,11 @@ def _search_shard(queries: pd.DataFrame, shard: pd.Series, dim: int, k: int) ->
         # Ties go to smaller ids: rows are in the order of their ids.
         ranked = score * n + arrival
         ranked[ids == query_id] = np.iinfo(np.int64).max
-        wanted = min(CANDIDATES, n)
-        near = np.argpartition(ranked, wanted - 1)[:wanted] if wanted < n else arrival
+        wanted = min(n, max(LEAST_CANDIDATES, -(-n // CANDIDATE_SHARE)))
+        # Equal orders have the distance 0, which is -most before the constant is added.
+        most = orders.shape[1] * (orders.shape[1] + 1)
+        close = max(wanted, int((score <= (CROWD - 1) * most).sum()))
+        near = np.argpartition(ranked, close - 1)[:close] if close < n else arrival
         near = near[ids[near] != query_id]
         far = np.sqrt(((matrix[near] - vector) ** 2).sum(axis=1))
         best = np.lexsort((ids[near], far))[:k]

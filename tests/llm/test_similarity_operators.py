@@ -207,8 +207,9 @@ def brute_neighbours(ids, matrix, query):
     return [(i, d) for d, i in order[:10]]
 
 
-def test_recall(spark):
-    sf_dir = "/root/testdata/sf0.01"
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_recall(spark, sf_dir):
+    """On tables that are one shard, of which an eighth or 128 vectors are ranked exactly."""
     rows = table(spark, sf_dir, "embeddings").orderBy("vec_id").collect()
     ids = [r.vec_id for r in rows]
     matrix = np.array([r.embedding for r in rows], dtype=np.float64)
@@ -257,7 +258,7 @@ def test_recall_at_a_full_shard():
 
     real = np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist())
     n, rng = permutation_index.SHARD_ROWS, np.random.default_rng(3)
-    assert permutation_index.CANDIDATES * 8 <= n
+    assert permutation_index.LEAST_CANDIDATES < n // permutation_index.CANDIDATE_SHARE
     copies = real[np.arange(n) % len(real)]
     matrix = copies + rng.normal(size=copies.shape) * real.std(axis=0)
     pivots = permutation_index._spread(np.unique(matrix, axis=0))
