@@ -56,15 +56,11 @@ def _millis(first: Column, last: Column) -> Column:
     return F.coalesce(span, F.lit(0)).cast("bigint")
 
 
-def assemble_flows(
-    packets: DataFrame, slice: str = "60 seconds", bidirectional: bool = True
-) -> DataFrame:
-    """Flow records from packets (ts, 5-tuple, pkt_len, tcp_flags).
+_ENDS = ("a_ip", "a_port", "b_ip", "b_port", "protocol")
 
-    Bidirectional: both directions of a conversation form one record, whose source
-    is the sender of its first packet. Otherwise each direction is its own record
-    and the out columns are 0.
-    """
+
+def _by_ends(packets: DataFrame, bidirectional: bool) -> DataFrame:
+    """Packets under the pair of their endpoints, the smaller first, with their direction."""
     here = F.struct(F.col("src_ip").alias("ip"), F.col("src_port").alias("port"))
     there = F.struct(F.col("dst_ip").alias("ip"), F.col("dst_port").alias("port"))
     forward = here <= there if bidirectional else F.lit(True)
@@ -73,13 +69,15 @@ def assemble_flows(
         forward.alias("fwd"),
         F.when(forward, here).otherwise(there).alias("a"),
         F.when(forward, there).otherwise(here).alias("b"),
-        F.window("ts", slice).start.alias("slice_start"),
     )
-    flat = keyed.select(
+    return keyed.select(
         "*", F.col("a.ip").alias("a_ip"), F.col("a.port").alias("a_port"),
         F.col("b.ip").alias("b_ip"), F.col("b.port").alias("b_port"),
     ).drop("a", "b")
-    grouped = flat.groupBy("a_ip", "a_port", "b_ip", "b_port", "protocol", "slice_start").agg(
+
+
+def _measures() -> list[Column]:
+    return [
         *_side("a", F.col("fwd")),
         *_side("b", ~F.col("fwd")),
         F.min("ts").alias("first"),
@@ -90,7 +88,47 @@ def assemble_flows(
             F.count_if((F.col("pkt_len") > low) & (F.col("pkt_len") <= high)).alias(name)
             for name, low, high in SIZE_BUCKETS
         ],
+    ]
+
+
+def assemble_flows(
+    packets: DataFrame, slice: str = "60 seconds", bidirectional: bool = True
+) -> DataFrame:
+    """Flow records from packets (ts, 5-tuple, pkt_len, tcp_flags).
+
+    Bidirectional: both directions of a conversation form one record, whose source
+    is the sender of its first packet. Otherwise each direction is its own record
+    and the out columns are 0.
+    """
+    keyed = _by_ends(packets, bidirectional).withColumn(
+        "slice_start", F.window("ts", slice).start
     )
+    return _directed(keyed.groupBy(*_ENDS, "slice_start").agg(*_measures()))
+
+
+def assemble_sessions(
+    packets: DataFrame, idle: str = "15 seconds", active: str = "30 minutes",
+    bidirectional: bool = True, watermark: str | None = None,
+) -> DataFrame:
+    """Flow records as assemble_flows() gives them, which end with the conversation.
+
+    A record ends when no packet of either direction came for ``idle``, and at every full
+    ``active`` of the clock, so no record is longer and one task never holds more of a hot
+    conversation. On a stream, ``watermark`` bounds how late a packet may come: a record is out
+    once the watermark has passed its end, and its state goes.
+    """
+    if watermark is not None:
+        packets = packets.withWatermark("ts", watermark)
+    keyed = _by_ends(packets, bidirectional)
+    # The slice as a plain number: a stream takes one time window per aggregate.
+    length = F.expr(f"unix_micros(TIMESTAMP '1970-01-01 00:00:00Z' + INTERVAL {active})")
+    sliced = keyed.withColumn("slice", F.floor(F.unix_micros("ts") / length))
+    grouped = sliced.groupBy(*_ENDS, "slice", F.session_window("ts", idle)).agg(*_measures())
+    return _directed(grouped)
+
+
+def _directed(grouped: DataFrame) -> DataFrame:
+    """Records of endpoint pairs as records of source and destination."""
     # The first sender is the source; on a tie the smaller endpoint.
     a_first = F.coalesce(F.col("a_first") <= F.col("b_first"), F.col("b_first").isNull())
 

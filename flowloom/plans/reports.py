@@ -287,6 +287,21 @@ def assemble_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packet_ops.assemble_flows(fx.packets(spark, sf_dir), "1 hour")
 
 
+# The same over gaps and islands: a new record after two silent hours, or with a new day.
+SESSIONS_SQL = ASSEMBLED_SQL.replace(
+    "SELECT *, time_bucket(interval '1 hour', ts) AS slice, ",
+    "SELECT * EXCLUDE (opens), sum(opens) OVER (PARTITION BY pair, protocol, day ORDER BY ts) "
+    "|| '/' || day AS slice FROM (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER ("
+    "PARTITION BY pair, protocol, day ORDER BY ts)) <= 7200000000 THEN 0 ELSE 1 END AS opens FROM ("
+    "SELECT *, date_trunc('day', ts) AS day, ",
+).replace("AS pair FROM packets)", "AS pair FROM packets)))")
+
+
+@query(oracle(SESSIONS_SQL, "packets"))
+def assemble_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packet_ops.assemble_sessions(fx.packets(spark, sf_dir), "2 hours", "1 day")
+
+
 @query(oracle(
     "SELECT src_ip, dst_ip, src_port, dst_port, protocol, min(ts) AS flow_start_time, "
     "cast(sum(pkt_len) AS bigint) AS in_bytes, count(*) AS in_pkts, "

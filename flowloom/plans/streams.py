@@ -11,11 +11,12 @@ from flowloom.functions import messages as fn
 from flowloom.operators import forest
 from flowloom.operators.cleaning import clean_flows, stamp_ingestion
 from flowloom.operators.lookups import filter_alerts
+from flowloom.operators.packets import assemble_sessions
 from flowloom.plans import fixtures as fx
 from flowloom.plans.fixtures import oracle
 from flowloom.plans.messages import LEGACY_SQL, PARSED_SQL, SENT_SQL, legacy_texts
 from flowloom.plans.registry import query
-from flowloom.plans.reports import IN_RANGE_SQL, late_features, packet_flows
+from flowloom.plans.reports import IN_RANGE_SQL, SESSIONS_SQL, late_features, packet_flows
 from flowloom.plans.stored import detector, flows_table, message_topic, scored_table
 from flowloom.plans.tables import LEGACY_ROWS_SQL, write_raw_csv
 from flowloom.schemas import ALERT, FLOW, LEGACY_FLOW, MEASURES, MESSAGE, RAW, RAW_COLUMNS
@@ -301,6 +302,32 @@ def enrich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(joined.schema).parquet(f"{base}/rows").filter("src_ip <> 'closing'")
 
 
+@query(oracle(SESSIONS_SQL, "packets"))
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets that arrive in four batches, of which two come after a restart, as sessions."""
+    base = run_dir(spark, "sessions")
+    in_turns(fx.packets(spark, sf_dir), f"{base}/all", 4, "ts")
+    kind = spark.read.parquet(f"{base}/all").schema
+    files = sorted(n for n in child_names(spark, f"{base}/all") if n.endswith(".parquet"))
+    whole = spark.read.schema(kind).parquet(f"{base}/all").withColumn(
+        "_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    )
+    half = whole.groupBy("_file").agg(F.min("ts").alias("at")).orderBy("at").collect()
+    if len(half) != len(files):
+        raise AssertionError("one file a turn")
+    for names in ([r["_file"] for r in half[:2]], [r["_file"] for r in half[2:]]):
+        for name in names:
+            whole.filter(F.col("_file") == name).drop("_file").coalesce(1).write.mode(
+                "append"
+            ).parquet(f"{base}/in")
+        arriving = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(
+            f"{base}/in"
+        )
+        records = assemble_sessions(arriving, "2 hours", "1 day", watermark="1 hour")
+        _run_to_end(records, f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.schema(records.schema).parquet(f"{base}/rows")
+
+
 @query(oracle(LEGACY_SQL, "flows"))
 def legacy_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "legacy-stream")
