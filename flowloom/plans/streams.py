@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from flowloom.functions import messages as fn
 from flowloom.operators import forest
 from flowloom.operators.cleaning import clean_flows, stamp_ingestion
-from flowloom.operators.lookups import filter_alerts
 from flowloom.operators.packets import assemble_sessions
 from flowloom.plans import fixtures as fx
 from flowloom.plans.fixtures import oracle
@@ -377,11 +376,7 @@ def _two_batches(spark: SparkSession, sf_dir: str) -> realtime.Outputs:
 def flow_ids_over_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two micro-batches and two loads: as many ids (and alert keys) as rows."""
     outputs = _two_batches(spark, sf_dir)
-    keyed: list[DataFrame] = []
-    for batch in (0, 1):
-        stored = spark.read.schema(FLOW).parquet(realtime.batch_path(outputs.history, batch))
-        scored = fx.fixed_scorer(stored).transform(filter_alerts)
-        keyed.append(scored.select("flow_id"))
+    sent = topics.batch_messages(spark, outputs.alerts, with_key=True)
     loads = [
         clean_flows(fx.raw_flows(spark, sf_dir), flow_time=F.col("ts").cast("timestamp"), load=n)
         .select("flow_id") for n in (0, 1)
@@ -389,7 +384,7 @@ def flow_ids_over_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = {
         "history": spark.read.schema(FLOW).parquet(outputs.history),
         "predictions": spark.read.parquet(outputs.predictions),
-        "alerts": keyed[0].unionByName(keyed[1]),
+        "alerts": sent.select(F.col("key").alias("flow_id")),
         "loads": loads[0].unionByName(loads[1]),
     }
     counts = [
