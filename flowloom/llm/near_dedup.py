@@ -18,7 +18,7 @@ blocks of the buckets that still hold several classes.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -155,9 +155,9 @@ def _node(words: list[str]) -> bytes:
     return hashlib.md5(" ".join(words).encode(), usedforsecurity=False).digest()
 
 
-def _sketch(texts: list[list[str]]) -> list[list[int]]:
-    """Band keys of texts that are given as words (none without words)."""
-    bands: list[list[int]] = [[] for _ in texts]
+def _sketch(texts: Iterable[list[str]]) -> list[list[int]]:
+    """Band keys of texts that are given as words (none without words), some held at a time."""
+    bands: list[list[int]] = []
     pending: list[tuple[int, np.ndarray, np.ndarray]] = []
     held = 0
 
@@ -173,6 +173,7 @@ def _sketch(texts: list[list[str]]) -> list[list[int]]:
             pending.clear()
 
     for i, words in enumerate(texts):
+        bands.append([])
         if words:
             pending.append((i, *weighted_shingles(words)))
             held += len(pending[-1][1])
@@ -193,17 +194,23 @@ def sketch(docs: DataFrame) -> DataFrame:
         seen: set[bytes] = set()
         only_caches_of("near_dedup", _WORD_HASH)
         for batch in batches:
-            texts = [words_of(text) for text in text_list(batch, "text")]
-            nodes = [_node(words) for words in texts]
-            fresh = []
-            for i, node in enumerate(nodes):
-                if node not in seen:
-                    if len(seen) >= NODE_ENTRIES:
-                        seen.clear()
-                    seen.add(node)
-                    fresh.append(i)
-            bands: list[list[int] | None] = [None] * len(texts)
-            for i, keys in zip(fresh, _sketch([texts[i] for i in fresh]), strict=True):
+            nodes: list[bytes] = []
+            fresh: list[int] = []
+
+            def unseen(batch=batch, nodes=nodes, fresh=fresh) -> Iterator[list[str]]:
+                for i, text in enumerate(text_list(batch, "text")):
+                    words = words_of(text)
+                    nodes.append(node := _node(words))
+                    if node not in seen:
+                        if len(seen) >= NODE_ENTRIES:
+                            seen.clear()
+                        seen.add(node)
+                        fresh.append(i)
+                        yield words
+
+            found = _sketch(unseen())
+            bands: list[list[int] | None] = [None] * batch.num_rows
+            for i, keys in zip(fresh, found, strict=True):
                 bands[i] = keys or None
             yield pa.RecordBatch.from_arrays(
                 [
