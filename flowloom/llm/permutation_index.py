@@ -111,7 +111,9 @@ def build_index(
     """The index of all usable vectors: one row per shard, to be written and kept.
 
     Pivots come from a sample of SAMPLED * PIVOTS vectors of the shard; every vector is posted.
-    Vectors of different lengths go to different shards and never meet.
+    Vectors of different lengths go to different shards and never meet. Rows with a null id, and
+    vectors that are null, empty, all zeros or hold null or non-finite components, take no part;
+    repeated rows and ids are posted each. An empty table gives no shard. Other columns are ignored.
     """
     rows = usable(vectors, id_column, vector_column)
     shards = max(1, -(-rows.count() // SHARD_ROWS))

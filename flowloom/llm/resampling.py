@@ -290,7 +290,12 @@ def quality(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFra
 
 
 def keep(docs: DataFrame, model: Resampler) -> DataFrame:
-    """The rows of docs that are sampled, with all their columns and no others."""
+    """The rows of docs that are sampled, with all their columns and no others.
+
+    Null and empty texts go. Repeated rows share weight, noise and verdict; rows with a null id
+    share their noise, and rows that tie with the last one are kept together. An empty table
+    stays empty.
+    """
     weighed = weigh(set_aside(docs), model)
     stored = resample(weighed, run_dir(docs.sparkSession, "quality-weights"))
     return put_back(stored.where("kept"), docs.columns)

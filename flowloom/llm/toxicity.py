@@ -401,7 +401,11 @@ def fitted(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Grammar:
 
 
 def keep(docs: DataFrame, grammar: Grammar) -> DataFrame:
-    """The rows of docs that are not predicted as toxic, with all their columns and no others."""
+    """The rows of docs that are not predicted as toxic, with all their columns and no others.
+
+    Null and empty texts stay, equal texts share a verdict, whole texts are read, and an empty
+    table stays empty.
+    """
     return put_back(score(set_aside(docs), grammar).where("predicted = 0"), docs.columns)
 
 
