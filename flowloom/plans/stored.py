@@ -8,17 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from flowloom.operators.forest import train_random_forest
 from flowloom.operators.training_data import split_train_test, training_set_with_id
 from flowloom.plans import fixtures as fx
-from flowloom.session import run_dir
+from flowloom.session import input_state, run_dir
 from flowloom.sources.models import save_model
 from flowloom.sources.tables import write_clustered
 from flowloom.sources.topics import Topic, publish_messages
 
-_made: dict[tuple[str, str, str], str] = {}
-_models: dict[tuple[str, str], PipelineModel] = {}
+_made: dict[tuple, str] = {}
+_models: dict[tuple, PipelineModel] = {}
+
+
+def _source(spark: SparkSession, sf_dir: str) -> tuple:
+    """The session and the input as it is now: all that is stored here comes from the events."""
+    state = input_state(spark, f"{sf_dir}/events.parquet")
+    return spark.sparkContext.applicationId, sf_dir, state
 
 
 def _once(spark: SparkSession, sf_dir: str, label: str, write) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, label)
+    key = (*_source(spark, sf_dir), label)
     if key not in _made:
         path = run_dir(spark, label)
         write(path)
@@ -58,7 +64,7 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def detector(spark: SparkSession, sf_dir: str) -> PipelineModel:
     """The default forest, fitted on the training side of the flow table."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _source(spark, sf_dir)
     if key not in _models:
         _models[key] = train_random_forest(train_test(spark, sf_dir)[0])
     return _models[key]

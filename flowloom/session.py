@@ -77,3 +77,13 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not store.exists(place):
         return []
     return [status.getPath().getName() for status in store.listStatus(place)]
+
+
+def input_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files of a table: another value once it has changed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted(
+        (s.getPath().getName(), s.getLen(), s.getModificationTime())
+        for s in store.listStatus(place)
+    ))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowloom import session
 from flowloom.operators.cleaning import clean_flows
 from flowloom.plans import fixtures as fx
+from flowloom.plans.stored import flows_table
 from flowloom.schemas import FLOW, LEGACY_FLOW, MESSAGE, RAW
 from flowloom.sources import csvs, documents, tables
 from flowloom.sources.csvs import read_raw_csv
@@ -95,3 +96,15 @@ def test_headers_are_read_from_packed_and_oddly_named_files(spark):
     lines.write.option("compression", "gzip").text(f"{base}/a folder/k=x y%")
     assert [tuple(r) for r in csvs.read_csv_by_name(spark, f"{base}/a folder/k=x y%", ["a", "b"])
             .collect()] == [("2", "1")]
+
+
+def test_stored_inputs_follow_their_table(spark, sf_dir):
+    """A table that is written anew gives new answers in the same session."""
+    base = session.run_dir(spark, "t-changing")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    sizes = []
+    for rows in (events.filter("event_id % 2 = 0"), events):
+        rows.write.mode("overwrite").parquet(f"{base}/events.parquet")
+        sizes.append(flows_table(spark, base).count())
+    assert 0 < sizes[0] < sizes[1]
+    assert flows_table(spark, base).inputFiles() == flows_table(spark, base).inputFiles()
