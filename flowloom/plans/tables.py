@@ -15,7 +15,7 @@ from flowloom.plans.registry import query
 from flowloom.plans.stored import flows_table, message_topic, scored_table
 from flowloom.schemas import FLOW, FLOW_COLUMNS, LEGACY_FLOW, MESSAGE, RAW_COLUMNS
 from flowloom.session import run_dir
-from flowloom.sources import csvs, documents, tables, topics
+from flowloom.sources import csvs, documents, layout, tables, topics
 from flowloom.streaming.realtime import predictions_from_scored
 
 _FLOWS = f"SELECT {fx.FLOW_LIST} FROM flows"
@@ -138,6 +138,34 @@ def table_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query(oracle(
+    f"SELECT {fx.FLOW_LIST}, cast(flow_start_time AS date) AS flow_date FROM flows", "flows"
+))
+def write_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow table in the common order of source, destination and time."""
+    path = run_dir(spark, "ordered")
+    layout.write_ordered(flows_table(spark, sf_dir).select(*FLOW_COLUMNS), path)
+    return spark.read.parquet(path)
+
+
+@query(oracle(
+    f"SELECT {fx.FLOW_LIST} FROM flows WHERE attack_type = 'SSH-Bruteforce' "
+    f"UNION ALL SELECT {fx.FLOW_LIST} FROM flows WHERE label = 1", "flows",
+))
+def rows_with_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookups by attack type and label through postings, of which the second lacks some files."""
+    path = run_dir(spark, "posted")
+    flows = flows_table(spark, sf_dir).select(*FLOW_COLUMNS)
+    early = F.col("flow_id") % 3 == 0
+    tables.write_flows(flows.filter(early), path)
+    layout.post_values(spark, path)
+    tables.write_flows(flows.filter(~early), path)
+    by_label = layout.rows_with_value(spark, path, "label", 1)
+    layout.post_values(spark, path)
+    by_type = layout.rows_with_value(spark, path, "attack_type", "SSH-Bruteforce")
+    return by_type.select(*FLOW_COLUMNS).unionByName(by_label.select(*FLOW_COLUMNS))
+
+
 @query(oracle(
     f"SELECT {fx.FLOW_LIST}, cast(flow_start_time AS date) AS flow_date FROM flows", "flows"
 ))

@@ -10,7 +10,7 @@ from flowloom.operators.cleaning import clean_flows
 from flowloom.plans import fixtures as fx
 from flowloom.plans.stored import flows_table
 from flowloom.schemas import FLOW, LEGACY_FLOW, MESSAGE, RAW
-from flowloom.sources import csvs, documents, tables
+from flowloom.sources import csvs, documents, layout, tables
 from flowloom.sources.csvs import read_raw_csv
 from flowloom.sources.topics import Topic
 
@@ -108,3 +108,75 @@ def test_stored_inputs_follow_their_table(spark, sf_dir):
         sizes.append(flows_table(spark, base).count())
     assert 0 < sizes[0] < sizes[1]
     assert flows_table(spark, base).inputFiles() == flows_table(spark, base).inputFiles()
+
+
+def test_lookups_by_value_open_only_files_that_hold_it(spark):
+    base = session.run_dir(spark, "t-posted +%")
+    for part, kinds in enumerate((["Benign", "rare"], ["Benign", None], ["Benign", "Bot"])):
+        spark.createDataFrame(
+            [(i, kind, i % 2) for i, kind in enumerate(kinds * 3)],
+            "flow_id bigint, attack_type string, label int",
+        ).coalesce(1).write.parquet(f"{base}/flow_date=2024-01-0{part + 1}")
+
+    def opened(column, value):
+        rows = layout.rows_with_value(spark, base, column, value)
+        assert "flow_date" in rows.columns
+        files = {r.f for r in rows.select(F.input_file_name().alias("f")).collect()}
+        return rows.count(), len(files), len(rows.inputFiles())
+
+    assert opened("attack_type", "rare") == (3, 1, 3)  # nothing is posted yet
+    assert layout.post_values(spark, base) == 3
+    assert layout.post_values(spark, base) == 0
+    assert opened("attack_type", "rare") == (3, 1, 1)
+    assert opened("attack_type", "Benign") == (9, 3, 3)
+    assert opened("label", 1)[0] == 9
+    assert opened("attack_type", "none") == (0, 0, 0) or opened("attack_type", "none")[0] == 0
+    assert layout.rows_with_value(spark, base, "attack_type", None).count() == 0
+    # A file that came later is read although it is not posted.
+    spark.createDataFrame(
+        [(9, "rare", 1)], "flow_id bigint, attack_type string, label int"
+    ).coalesce(1).write.parquet(f"{base}/flow_date=2024-01-09")
+    assert opened("attack_type", "rare")[0] == 4
+    assert layout.post_values(spark, base) > 0
+    assert opened("attack_type", "rare") == (4, 2, 2)
+
+
+def test_ordered_files_prune_by_source_and_by_destination(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.col("id").alias("flow_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.xxhash64("id") % 5_000).cast("bigint").alias(
+            "src_ip_int"),
+        (F.xxhash64("id", F.lit(1)) % 5_000).alias("dst_ip_int"),
+        F.timestamp_seconds(1704067200 + F.abs(F.xxhash64("id", F.lit(2))) % 86_400).alias(
+            "flow_start_time"),
+    )
+    stored = f"{tmp_path}/rows"
+    rows.write.parquet(stored)
+    rows = spark.read.parquet(stored)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        layout.write_ordered(rows, f"{tmp_path}/t")
+    finally:
+        spark.conf.unset("spark.sql.shuffle.partitions")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    assert table.drop("flow_date").exceptAll(rows).isEmpty() and table.count() == 40_000
+    bounds = table.groupBy(F.input_file_name().alias("f")).agg(*[
+        f(c).alias(f"{n}_{c}") for c in ("src_ip_int", "dst_ip_int")
+        for n, f in (("low", F.min), ("high", F.max))
+    ]).collect()
+    assert len(bounds) > 40
+    for column in ("src_ip_int", "dst_ip_int"):
+        for value in (-4_000, -1_234, 1_300, 2_222, 4_321):
+            met = sum(r[f"low_{column}"] <= value <= r[f"high_{column}"] for r in bounds)
+            assert met < 0.5 * len(bounds), (column, value, met, len(bounds))
+
+
+def test_order_key_takes_nulls_and_equal_values(spark):
+    rows = spark.createDataFrame([(None, 1), (2, 1), (2, None), (9, 1)], "a int, b bigint")
+    keys = [r.k for r in rows.select(layout.order_key(rows, ["a", "b"]).alias("k"), "a").orderBy(
+        F.col("a").asc_nulls_first()).collect()]
+    assert keys[0] <= keys[1] and keys[-1] == max(keys)
+    empty = rows.limit(0)
+    assert empty.select(layout.order_key(empty, ["a"])).collect() == []
