@@ -232,13 +232,14 @@ def _row_hash(docs: DataFrame) -> Column:
 
 
 def with_nodes(docs: DataFrame) -> DataFrame:
-    """docs (its columns as the struct rest) with text, row_hash and node."""
+    """docs (its columns as the struct rest) with row_hash and node."""
     rest = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    shaped = docs.select(rest.alias("rest"), _row_hash(docs).alias("row_hash"), "text")
+    shaped = docs.select(rest.alias("rest"), _row_hash(docs).alias("row_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = [_node(words_of(text)) for text in text_list(batch, "text")]
+            texts = batch.column("rest").field("text").to_pylist()
+            nodes = [_node(words_of(text or "")) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rest"), batch.column("row_hash"), pa.array(nodes, pa.binary())],
                 ["rest", "row_hash", "node"],
