@@ -123,6 +123,46 @@ def test_toxicity_learns(spark, odd_docs, odd_rows, no_docs):
     assert 0 < empty.score("anything") < 0.7
 
 
+def naive_score(grammar, text):
+    """The score by running every machine by itself over every clause of a text."""
+    harmless = 1.0 - grammar.unmatched
+    for clause in toxicity._CLAUSE_END.split(text.lower()):
+        states, insult = [0] * len(toxicity.MACHINES), 0.0
+        for word in toxicity._WORD.findall(clause):
+            chance = max([grammar.lexicon.get(word + "$", 0.0)] + [
+                grammar.lexicon.get(word[:n], 0.0) for n in toxicity.STEM_LENGTHS if n < len(word)
+            ])
+            named = [(toxicity.THREAT, toxicity.THREATS), (toxicity.TARGET, toxicity.TARGETS),
+                     (toxicity.NEGATION, toxicity.NEGATIONS), (toxicity.REPORT, toxicity.REPORTS)]
+            symbol = toxicity.INSULT if chance else next(
+                (number for number, words in named if word in words), toxicity.OTHER)
+            insult = max(insult, chance)
+            states = [m.step(s, symbol) for m, s in zip(toxicity.MACHINES, states, strict=True)]
+        insulted, threat, target, negation, report = states
+        if insulted or threat:
+            pattern = ("insult" if insulted else "threat", bool(target),
+                       negation == toxicity.NEGATION_REACH + 1, bool(report))
+            harmless *= 1.0 - grammar.patterns[pattern] * (insult if insulted else 1.0)
+    return 1.0 - harmless
+
+
+def test_composition_scores_as_the_single_machines(spark):
+    rng = random.Random(17)
+    words = [*sorted(toxicity.THREATS)[:6], *sorted(toxicity.TARGETS)[:4],
+             *sorted(toxicity.NEGATIONS)[:4], *sorted(toxicity.REPORTS)[:4],
+             "Blub", "blubber", "zork", "plain", "words", "and", ".", "!", ",", ";", "\n", "x1y"]
+    grammar = toxicity.Grammar(lexicon={"blub": 0.9, "zork$": 0.4, "blubb": 0.7})
+    for _ in range(4000):
+        text = rng.choice(["", " "]).join(
+            w + rng.choice([" ", " ", ""]) for w in rng.choices(words, k=rng.randrange(25)))
+        assert grammar.score(text) == pytest.approx(naive_score(grammar, text), abs=1e-12), text
+    docs = table(spark, SF, "documents")
+    fitted = toxicity.fitted(spark, docs, table(spark, SF, "labels"))
+    for row in docs.select("text").limit(400).collect():
+        assert fitted.score(row.text or "") == pytest.approx(
+            naive_score(fitted, row.text or ""), abs=1e-12)
+
+
 def test_toxicity_held_out(spark):
     rows = toxicity.op2_toxicity_grammar(spark, SF).join(table(spark, SF, "labels"), "doc_id")
     rows = rows.collect()
@@ -391,6 +431,45 @@ def test_kth_largest(spark):
         assert resampling.kth_largest(keys, "key", k) == ordered[k - 1]
 
 
+def test_log_weights_are_the_models_ratio(spark):
+    """N-gram models and log weights against counts of all documents in plain Python."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    good = [r.doc_id for r in labels.collect()
+            if r.quality == 1 and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    raw, target = (
+        Counter(b for i in ids for b in resampling.ngrams(texts[i]).tolist())
+        for ids in (texts, good)
+    )
+    buckets = resampling.BUCKETS
+
+    def log_share(counts, bucket):
+        return math.log((counts[bucket] + 1) / (counts.total() + buckets))
+
+    model = resampling.fitted(spark, docs, labels)
+    ratio = [log_share(target, b) - log_share(raw, b) for b in range(buckets)]
+    assert np.allclose(model.log_ratio, ratio, atol=1e-9)
+    for row in resampling.op6_importance_resampling(spark, SF).collect():
+        found = resampling.ngrams(texts[row.doc_id]).tolist()
+        if not found:
+            assert row.log_weight == -math.inf and not row.kept
+            continue
+        mean = math.fsum(ratio[b] for b in found) / (len(found) + resampling.PRIOR_NGRAMS)
+        wanted = resampling.EFFECTIVE_NGRAMS * (mean - model.cut)
+        assert row.log_weight == pytest.approx(wanted, abs=1e-6)
+
+
+def test_kth_largest_of_neighbouring_doubles(spark):
+    """More rows than a cell may hold, all between two doubles that are a few steps apart."""
+    steps = [1.0]
+    for _ in range(5):
+        steps.append(math.nextafter(steps[-1], 2))
+    keys = spark.range(30_000).select(F.element_at(
+        F.array(*[F.lit(s) for s in steps]), (F.col("id") % 6 + 1).cast("int")).alias("key"))
+    for k in (1, 5_000, 5_001, 20_000, 30_000):
+        assert resampling.kth_largest(keys, "key", k) == steps[5 - (k - 1) // 5_000]
+
+
 def test_resampling_top_k(spark):
     rows = [(i, i / 100) for i in range(1000)]
     weighed = spark.createDataFrame(rows, "doc_id long, log_weight double")
