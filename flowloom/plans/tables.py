@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from flowloom.functions import messages as fn
 from flowloom.operators import cleaning, normalize, training_data
@@ -13,7 +14,14 @@ from flowloom.plans.fixtures import oracle
 from flowloom.plans.messages import PARSED_SQL
 from flowloom.plans.registry import query
 from flowloom.plans.stored import flows_table, message_topic, scored_table
-from flowloom.schemas import FLOW, FLOW_COLUMNS, LEGACY_FLOW, MESSAGE, RAW_COLUMNS
+from flowloom.schemas import (
+    FIVE_TUPLE,
+    FLOW,
+    FLOW_COLUMNS,
+    LEGACY_FLOW,
+    MESSAGE,
+    RAW_COLUMNS,
+)
 from flowloom.session import run_dir
 from flowloom.sources import csvs, documents, layout, tables, topics
 from flowloom.streaming.realtime import predictions_from_scored
@@ -78,6 +86,33 @@ def export_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return received.transform(fn.decode_value).transform(fn.parse_flow_json)
 
 
+_TUPLE = ", ".join(FIVE_TUPLE)
+
+
+@query(oracle(
+    f"SELECT {', '.join('e.' + c for c in FIVE_TUPLE)}, e.in_pkts, e.in_bytes, f.idle_mean "
+    f"FROM ({EXPORT_SQL}) e LEFT JOIN (SELECT {_TUPLE}, cast(max(in_bytes) AS bigint) AS idle_mean "
+    f"FROM ({EXPORT_SQL}) WHERE in_pkts % 2 = 0 GROUP BY {_TUPLE}) f ON "
+    + " AND ".join(f"e.{c} IS NOT DISTINCT FROM f.{c}" for c in FIVE_TUPLE),
+    "flow_export",
+))
+def export_to_topic_with_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same chain joined with the extractor's features, which have no time here."""
+    base = run_dir(spark, "export-features")
+    export = fx.flow_export(spark, sf_dir)
+    export.write.option("header", True).csv(f"{base}/in")
+    features = normalize.normalize_flow_export(export).filter("in_pkts % 2 = 0").groupBy(
+        *FIVE_TUPLE
+    ).agg(F.max("in_bytes").alias("idle_mean"))
+    topic = topics.Topic("exports", base, "parquet")
+    csvs.publish_flow_export(spark, f"{base}/in", topic, features)
+    kind = StructType([*MESSAGE.fields, StructField("idle_mean", LongType())])
+    texts = topics.batch_messages(spark, topic).transform(fn.decode_value)
+    return texts.select(F.from_json("json", kind).alias("row")).select("row.*").select(
+        *FIVE_TUPLE, "in_pkts", "in_bytes", "idle_mean"
+    )
+
+
 @query(oracle(_FLOWS, "flows"))
 def read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "orc-flows")
