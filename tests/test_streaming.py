@@ -7,8 +7,8 @@ from flowloom.operators import reports
 from flowloom.operators.reports import alert_trend
 from flowloom.plans import fixtures as fx
 from flowloom.plans.stored import message_topic
-from flowloom.plans.streams import outputs_in
-from flowloom.schemas import FLOW, FLOW_COLUMNS, MESSAGE
+from flowloom.plans.streams import in_turns, outputs_in
+from flowloom.schemas import FIVE_TUPLE, FLOW, FLOW_COLUMNS, MESSAGE
 from flowloom.session import child_names, run_dir
 from flowloom.sources.topics import Topic, batch_messages, publish_messages, stream_messages
 from flowloom.streaming import directory, enrichment, history, legacy, realtime, rollups
@@ -351,3 +351,35 @@ def test_rollups_keep_their_error_bounds_and_forget_repeats(spark, tmp_path):
     assert child_names(spark, f"{folder}/hourly") == []
     plan = rollups.read_hourly(spark, folder, compacted, start, end)._jdf.queryExecution()
     assert "PartitionFilters: [isnotnull(day" in plan.executedPlan().toString()
+
+
+def test_streamed_enrichment_grows_with_rows_not_with_pairs(spark, tmp_path):
+    """Two thousand flows and as many records in each other's range, all of one 5-tuple."""
+    base, n = str(tmp_path), 2000
+    ends = ["'a' AS src_ip", "'b' AS dst_ip", "1 AS src_port", "2 AS dst_port", "6 AS protocol"]
+    # Records lie on even seconds, two at a time; odd flows are as near to the one after.
+    flows = spark.range(n).union(spark.range(10)).selectExpr(
+        *ends, "id AS flow_id", "timestamp_seconds(1704067200 + id) AS flow_start_time"
+    )
+    features = spark.range(n).selectExpr(
+        *ends, "timestamp_seconds(1704067200 + 2 * (id div 2)) AS flow_start_time", "id AS x"
+    )
+    for key in (("flow_id",), (*FIVE_TUPLE, "flow_id")):
+        out = f"{base}/{len(key)}"
+        joined = enrichment.enrich_stream(
+            in_turns(flows, f"{out}/flows", 2), in_turns(features, f"{out}/features", 2),
+            row_key=key, within=21_600, delay="1 day",
+        )
+        query = joined.writeStream.format("parquet").option("path", f"{out}/rows").option(
+            "checkpointLocation", f"{out}/checkpoint"
+        ).trigger(availableNow=True).start()
+        query.awaitTermination()
+        rows = spark.read.schema(joined.schema).parquet(f"{out}/rows").filter("src_ip = 'a'")
+        assert sorted((r.flow_id, r.x) for r in rows.collect()) == [
+            (i, 2 * (i // 2) + 1) for i in range(n)
+        ]
+        # In the operator that holds what meets.
+        held = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress)
+        assert held <= 20
+    table = enrichment.enrich_stream(flows, features, ("flow_id",), within=0)
+    assert table.filter("x = flow_id + 1").count() == table.filter("x IS NOT NULL").count() == n // 2
