@@ -10,3 +10,13 @@ def test_queries_plan_for_wide_projections_in_any_session(spark, sf_dir):
         assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
     finally:
         tune(spark)
+
+
+def test_queries_cut_scans_small_in_any_session(spark, sf_dir):
+    """What a task caches of messages is a multiple of what it scans."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+    try:
+        catalog()["class_distribution"].run(spark, sf_dir)
+        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 8 << 20
+    finally:
+        tune(spark)
