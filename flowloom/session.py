@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 # What a task of a scan takes of a file at most, whole row groups aside.
 SCAN_BYTES = str(8 << 20)
+# Rows of a file that is written, and so of a row group.
+FILE_ROWS = str(100_000)
 
 
 def local_session(app: str = "flowloom", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -40,11 +42,13 @@ def tune(spark: SparkSession) -> SparkSession:
 
     Flows and messages take ten times the room in a task that they take in a Parquet file, so
     scans are cut smaller than Spark's 128 MB: what a task caches or scores stays the same
-    however large the table.
+    however large the table. A row group is read whole, and one of messages that look alike
+    holds hundreds of thousands of them in a few MB, so the rows of a file are bounded, too.
     """
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.files.maxPartitionBytes", SCAN_BYTES)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", FILE_ROWS)
     return spark
 
 
