@@ -2,12 +2,15 @@
 
 A word's bytes become an array of parts, each packed with the rank of the merge with its right
 neighbour. A fold takes the smallest rank, replaces the two parts by the merged one, and looks up
-the two ranks beside it, until no rank is left; the ranks of all pairs are a literal in the plan.
-Decoding turns ids into their byte pieces, a literal array, and concatenates them.
+the two ranks beside it, until no rank is left; the ranks of all pairs come from a scalar subquery.
+Decoding turns ids into their byte pieces, an array beside the ranks, and concatenates them.
 
 All words of the documents are counted; each of the most frequent ones is folded once, and what
-that gives is a literal of bounded size too. The words beyond are folded where they stand, so
-nothing but word counts is shuffled, and no text ever moves.
+that gives is a subquery's value of bounded size too. The words beyond are folded where they stand,
+so nothing but word counts is shuffled, and no text ever moves.
+
+Values of several MB are subqueries and not literals, since Spark spells literals out wherever it
+describes a plan, and keeps the descriptions of past queries in the driver.
 """
 
 from __future__ import annotations
@@ -140,7 +143,7 @@ def merged(ranks: dict[bytes, int], piece: bytes, below: int | None = None) -> l
 
 @cache
 def rank_tables(path: str) -> str:
-    """The literal of a rank file as JSON: maps of pairs to ranks, ids of bytes, pieces of ids."""
+    """A rank file as JSON: maps of pairs to ranks, ids of bytes, pieces of ids."""
     ranks = read_ranks(path)
     if max(ranks.values()) >= EDGE or any(bytes([b]) not in ranks for b in range(256)):
         raise ValueError("a rank for every byte, and none of 2**20 - 1 or more, is needed")
@@ -165,15 +168,32 @@ def rank_tables(path: str) -> str:
     }, ensure_ascii=False)
 
 
-def with_tables(path: str, use: Callable[[Column], Column]) -> Column:
-    """use(tables) with the literal in the plan once."""
-    read = F.from_json(
-        F.lit(rank_tables(path)),
-        "pairs array<map<string, bigint>>, bytes array<bigint>, pieces array<string>",
+def with_value(
+    df: DataFrame, name: str, value: pa.Array, *then: Callable[[Column], Column]
+) -> DataFrame:
+    """df with the only element of an array, after some functions, as a column.
+
+    It is a scalar subquery, which functions of functions may not hold themselves. Ask for the
+    column once, in the next select: then Spark puts it there, and no row holds it.
+    """
+    column = F.col("value")
+    for function in then:
+        column = function(column)
+    rows = df.sparkSession.createDataFrame(pa.table({"value": value}))
+    return df.withColumn(name, rows.select(column.alias("value")).scalar())
+
+
+def with_tables(df: DataFrame, path: str) -> DataFrame:
+    """df with the tables of a rank file as the column tables; see with_value()."""
+    return with_value(
+        df, "tables", pa.array([rank_tables(path)]),
+        lambda text: F.from_json(
+            text, "pairs array<map<string, bigint>>, bytes array<bigint>, pieces array<string>"
+        ),
+        lambda read: read.cast(
+            "struct<pairs: array<map<bigint, bigint>>, bytes: array<bigint>, pieces: array<string>>"
+        ),
     )
-    return let(read.cast(
-        "struct<pairs: array<map<bigint, bigint>>, bytes: array<bigint>, pieces: array<string>>"
-    ), use)
 
 
 def _packed(tables: Column, left: Column, right: Column) -> Column:
@@ -262,8 +282,8 @@ def known_words(counts: DataFrame, path: str, most: int = KNOWN_WORDS) -> dict[s
         least = row["frequency"]
     if least is None:
         return {}
-    folded = short.where(F.col("frequency") >= least).select(
-        "word", with_tables(path, lambda t: _id_text(t, F.col("word"))).alias("ids")
+    folded = with_tables(short.where(F.col("frequency") >= least), path).select(
+        "word", let(F.col("tables"), lambda t: _id_text(t, F.col("word"))).alias("ids")
     ).toArrow()
     return dict(zip(folded["word"].to_pylist(), folded["ids"].to_pylist(), strict=True))
 
@@ -305,7 +325,6 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     dealt = [""] * lists
     for word, ids in known.items():
         dealt[_hash(word) % lists] += BEFORE_WORD + word + AFTER_WORD + ids
-    memory = F.from_json(F.lit(json.dumps(dealt, ensure_ascii=False)), "array<string>")
     long = (F.length("text") >= FOLD_CHARACTERS) & F.col("text").rlike(_LONG_RUN)
 
     def ids_of(tables: Column, memory: Column, word: Column) -> Column:
@@ -319,11 +338,12 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
         return F.coalesce(F.nullif(behind, F.lit("")), _id_text(tables, word))
 
     words = words_of(F.col("text"))
-    folded = docs.where(~F.coalesce(long, F.lit(False))).select("doc_id", with_tables(
-        path, lambda t: let(memory, lambda m: F.array_join(
+    short = with_tables(docs.where(~F.coalesce(long, F.lit(False))), path)
+    folded = with_value(short, "memory", pa.array([dealt], pa.list_(pa.string()))).select(
+        "doc_id", let(F.col("tables"), lambda t: let(F.col("memory"), lambda m: F.array_join(
             F.transform(words, lambda word: ids_of(t, m, word)), " "
-        ))
-    ).alias("id_text"))
+        ))).alias("id_text")
+    )
     heaped = docs.where(long).select("doc_id", words.alias("words")).mapInArrow(
         _long_words(path), "doc_id long, id_text string"
     )
@@ -341,8 +361,10 @@ def _hash(word: str) -> int:
 def with_ids(encoded_docs: DataFrame, path: str | None = None) -> DataFrame:
     """The rows of encoded() with ids (array of int) and decoded (binary)."""
     ids = F.filter(F.split("id_text", " "), lambda i: i != "").cast("array<int>")
-    return encoded_docs.withColumn("ids", ids).withColumn(
-        "decoded", with_tables(path or default_ranks(), lambda t: pieces_of(t, F.col("ids")))
+    with_array = encoded_docs.withColumn("ids", ids)
+    return with_tables(with_array, path or default_ranks()).select(
+        *with_array.columns,
+        let(F.col("tables"), lambda t: pieces_of(t, F.col("ids"))).alias("decoded"),
     )
 
 

@@ -93,6 +93,14 @@ def test_odd_texts(spark, library, monkeypatch, known):
         assert folded_bpe.encoded(df.limit(0)).collect() == []
 
 
+def test_plans_do_not_spell_the_tables_out(spark, library):
+    """Spark keeps descriptions of past queries in the driver, so they must stay small."""
+    df = spark.createDataFrame([(1, "some words of a text")], "doc_id long, text string")
+    found = folded_bpe.with_ids(folded_bpe.encoded(df))
+    assert digests(found) == wanted(library, [(1, "some words of a text")])
+    assert len(found._jdf.queryExecution().executedPlan().toString()) < 100_000
+
+
 def test_heap_merges_like_the_library(library):
     ranks = folded_bpe.read_ranks(folded_bpe.default_ranks())
     rng = random.Random(8)
