@@ -32,8 +32,9 @@ _HEAD = "\ue000"
 _STOPS = (".", ",")
 #: Characters of texts that are encoded together.
 RUN_CHARACTERS = 6_000_000
-#: Entries a worker keeps of either kind, some 200 bytes each; a full cache starts anew.
-CHUNK_ENTRIES, WORD_ENTRIES = 800_000, 600_000
+#: Entries a worker keeps, some 200 bytes each: of chunks so many twice, those asked for since the
+#: younger half began and those before; of words that only the pattern finds, once.
+CHUNK_ENTRIES, WORD_ENTRIES = 500_000, 400_000
 #: White space of the pre-tokenizer's pattern.
 _S = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The byte-level pre-tokenizer's pattern (fixed value of the format).
@@ -61,6 +62,7 @@ class ChunkEncoder:
         self._encode = encode
         self._words: dict[str, bytes] = {}
         self._chunks: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._find = regex.compile(PATTERN).findall
         self._special = {text: little_endian([i]) for text, i in special.items()}
         self._cut_special = (
@@ -76,23 +78,31 @@ class ChunkEncoder:
             self._words[word] = ids = self._encode(word)
         return ids
 
-    def _chunk(self, key: str) -> bytes:
-        """Ids of a chunk that is not kept yet; a text's first one is marked by _HEAD."""
-        words = self._words
-        # Letters, or letters and a full stop or comma, need no pattern.
-        if key.isalpha():
-            word = " " + key
-            ids = words.get(word) or self._word(word)
-        elif key[-1:] in _STOPS and key[:-1].isalpha():
-            word, stop = " " + key[:-1], key[-1]
-            ids = (words.get(word) or self._word(word)) + (words.get(stop) or self._word(stop))
-        else:
-            ids = self._by_pattern(key[1:] if key[:1] == _HEAD else " " + key)
+    def _keep(self, key: str, ids: bytes) -> None:
         if len(self._chunks) >= CHUNK_ENTRIES:
+            self._chunks, self._older = self._older, self._chunks
             self._chunks.clear()
         self._chunks[key] = ids
+
+    def _letters(self, key: str) -> bytes:
+        """Ids of a chunk of letters alone, which is one word, if a chunk with a stop needs them."""
+        ids = self._chunks.get(key)
+        if ids is None:
+            ids = self._older.get(key)
+            if ids is None:
+                ids = self._encode(" " + key)
+            self._keep(key, ids)
         return ids
 
+    def _chunk(self, key: str) -> bytes:
+        """Ids of a chunk that is not kept yet; a text's first one is marked by _HEAD."""
+        # Letters, or letters and a full stop or comma, need no pattern.
+        if key.isalpha():
+            return self._encode(" " + key)
+        if key[-1:] in _STOPS and key[:-1].isalpha():
+            return self._letters(key[:-1]) + self._word(key[-1])
+        return self._by_pattern(key[1:] if key[:1] == _HEAD else " " + key)
+
     def _by_pattern(self, chunk: str) -> bytes:
         segments = self._cut_special(chunk) if self._cut_special else [chunk]
         return b"".join(
@@ -102,15 +112,20 @@ class ChunkEncoder:
         )
 
     def _codes(self, keys: list[str]) -> list[bytes]:
+        """Ids of chunks, each of which stands in the list once."""
         codes = list(map(self._chunks.get, keys))
-        for i, code in enumerate(codes):
-            if code is None:
-                codes[i] = self._chunk(keys[i])
+        for i in [i for i, code in enumerate(codes) if code is None]:
+            key = keys[i]
+            ids = self._older.get(key)
+            if ids is None:
+                ids = self._chunk(key)
+            self._keep(key, ids)
+            codes[i] = ids
         return codes
 
     def many(self, texts: list[str]) -> Iterator[bytes]:
         """ids_of every text, a run of texts at a time: equal chunks of a run are looked up once."""
-        only_caches_of("chunks", self._words, self._chunks)
+        only_caches_of("chunks", self._words, self._chunks, self._older)
         run, size = [], 0
         for text in texts:
             run.append(text)
@@ -122,12 +137,13 @@ class ChunkEncoder:
 
     def _run(self, texts: list[str]) -> list[bytes]:
         alike = [not _RUN.search(text) and _HEAD not in text for text in texts]
-        marked = pa.array([_HEAD + t for t, a in zip(texts, alike, strict=True) if a], pa.string())
-        if not len(marked):
+        plain = pa.array([t for t, a in zip(texts, alike, strict=True) if a], pa.string())
+        if not len(plain):
             return [self.ids_of(text) for text in texts]
-        chunks = pc.split_pattern(marked, " ")
+        chunks = pc.split_pattern(pc.binary_join_element_wise(_HEAD, plain, ""), " ")
         coded = chunks.values.dictionary_encode()
-        codes = self._codes(coded.dictionary.to_pylist())
+        # Several times faster than to_pylist().
+        codes = self._codes(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         lengths = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
         flat = np.frombuffer(b"".join(codes), "<u4")
         which = coded.indices.to_numpy()
@@ -145,7 +161,9 @@ class ChunkEncoder:
             return self._by_pattern(text)
         keys = cut(text)
         keys[0] = _HEAD + keys[0]
-        return b"".join(self._codes(keys))
+        once = list(dict.fromkeys(keys))
+        codes = dict(zip(once, self._codes(once), strict=True))
+        return b"".join(map(codes.__getitem__, keys))
 
 
 def little_endian(ids) -> bytes:

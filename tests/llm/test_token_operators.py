@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from flowloom.llm import packing, rank_array_bpe, token_files
-from flowloom.llm.chunks import default_tokenizer, library_encoder
+from flowloom.llm import chunks, packing, rank_array_bpe, token_files
+from flowloom.llm.chunks import ChunkEncoder, default_tokenizer, library_encoder, little_endian
 from flowloom.llm.texts import table
 from flowloom.session import run_dir
 
@@ -44,6 +44,26 @@ def test_chunks_give_the_ids_of_whole_texts(library):
             assert encoder.ids_of(text) == code
 
 
+def test_words_in_use_stay_known(monkeypatch):
+    """A full cache drops the words that no text has asked for lately, not the common ones."""
+    monkeypatch.setattr(chunks, "CHUNK_ENTRIES", 50)
+    monkeypatch.setattr(chunks, "WORD_ENTRIES", 50)
+    seen = []
+
+    def encode(word):
+        seen.append(word)
+        return little_endian(list(word.encode()))
+
+    encoder = ChunkEncoder(encode, {})
+    for i in range(200):
+        rare = "".join(chr(97 + int(d)) for d in f"{i:03}")
+        text = f"x the {rare}q of, {rare}w the end. {rare}z"
+        assert list(encoder.many([text, text])) == [little_endian(list(text.encode()))] * 2
+    assert len(encoder._chunks) <= 50 and len(encoder._older) <= 50
+    for word in (" the", " of", " end"):
+        assert seen.count(word) == 1
+
+
 def test_decode_is_the_librarys(library):
     bpe, _ = rank_array_bpe.codec(default_tokenizer())
     rng = random.Random(1)
