@@ -6,10 +6,11 @@ the two ranks beside it, until no rank is left; the ranks of all pairs come from
 Decoding turns ids into their byte pieces, an array beside the ranks, and concatenates them.
 
 All words of the documents are counted; each of the most frequent ones is folded once, and what
-that gives is a subquery's value of bounded size too. The words beyond are folded where they stand,
-so nothing but word counts is shuffled, and no text ever moves.
+that gives, of bounded size, is broadcast. Texts are cut in Arrow batches, where known words become
+ids; the words beyond are folded where they stand, so nothing but word counts is shuffled, and no
+text ever moves.
 
-Values of several MB are subqueries and not literals, since Spark spells literals out wherever it
+Tables of several MB are subqueries and not literals, since Spark spells literals out wherever it
 describes a plan, and keeps the descriptions of past queries in the driver.
 """
 
@@ -21,29 +22,32 @@ import json
 from collections.abc import Callable, Iterator
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.llm.texts import table
+from flowloom.llm.chunks import ChunkEncoder, little_endian
+from flowloom.llm.texts import table, text_list
 from flowloom.session import run_dir
 
-#: Parts are packed as rank * SHIFT + id, with the rank of the merge with the next part.
+#: Parts are packed as (rank * SHIFT + id) * PLACES, with the rank of the merge with the next part.
 SHIFT = 1 << 20
+#: Room for a place in a word, in the low digits.
+PLACES = 1 << 13
 #: The edge of a word, an id that no file has.
 EDGE = SHIFT - 1
 NO_RANK = 1 << 20
 #: Number of maps that the pairs are dealt to; a prime. Spark scans a map for its key.
 PAIR_MAPS = 30_011
-#: Words, by falling frequency, whose ids are part of the plan; the others are folded in place.
-KNOWN_WORDS = 1 << 18
-#: Stand before and after a word in the lists of known words; no such word holds them.
-BEFORE_WORD, AFTER_WORD = "\x01", "\x02"
-#: Runs of more characters of a kind (letters, white space, ...) are merged by a heap, since a
-#: fold copies its array in every step.
+#: Words, by falling frequency, that every task knows; the others are folded in place.
+KNOWN_WORDS = 1 << 19
+#: Words of more characters are merged by a heap, since a fold copies its array in every step.
 FOLD_CHARACTERS = 1_024
-#: Room for a place in a word above.
-PLACES = 1 << 13
+#: Above all ids: stands for a word that is not known, with the word's place in a list.
+UNKNOWN = 1 << 24
+#: Unknown words that a worker holds.
+HELD_WORDS = 1 << 19
 
 #: White space, and the letters and numbers that Unicode 14 to 16 added and older Java
 #: versions do not know (fixed values of the format).
@@ -83,11 +87,9 @@ PATTERN = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?{_LETTER}+| ?{_NUMBER}+| ?{_OTHER}+|"
     rf"[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
-
-
-_LONG_RUN = "|".join(
-    f"{kind}{{{FOLD_CHARACTERS},}}" for kind in (_LETTER, _NUMBER, _OTHER, f"[{_SPACE}]")
-)
+#: A character that this Java does not know. Python's regex module may know it, and class it
+#: otherwise than the format does, so Spark cuts texts that hold one.
+_UNASSIGNED = r"[\x{80}-\x{10ffff}&&\p{Cn}]"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -200,15 +202,20 @@ def _packed(tables: Column, left: Column, right: Column) -> Column:
     """The part left with the rank of its merge with the part right."""
     key = left * SHIFT + right
     near = F.get(tables["pairs"], F.pmod(key, F.lit(PAIR_MAPS)).cast("int"))
-    return F.coalesce(F.try_element_at(near, key), F.lit(NO_RANK * SHIFT)) + left
+    rank = F.coalesce(F.try_element_at(near, key), F.lit(NO_RANK * SHIFT))
+    return (rank + left) * PLACES
+
+
+def _id(part: Column) -> Column:
+    return F.shiftright(part, 13) % SHIFT
 
 
 def fold(tables: Column, word: Column) -> Column:
     """Ids of a word: its bytes, merged by rank."""
     characters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
     ids = F.transform(characters, lambda c: F.get(tables["bytes"], F.ascii(c)))
-    none = NO_RANK * SHIFT
-    edge = F.lit(none + EDGE)
+    none = NO_RANK * SHIFT * PLACES
+    edge = F.lit(none + EDGE * PLACES)
 
     def pack(ids: Column) -> Column:
         after = F.concat(F.slice(ids, F.lit(2), F.size(ids)), F.array(F.lit(EDGE).cast("bigint")))
@@ -220,19 +227,19 @@ def fold(tables: Column, word: Column) -> Column:
 
     def step(state: Column, _: Column) -> Column:
         # The smallest rank and, of equal ones, the first place (in the low digits).
-        first = F.array_min(F.transform(state, lambda part, i: part * PLACES + i))
+        first = F.array_min(F.transform(state, lambda part, i: part + i))
 
         def merge(low: Column) -> Column:
             i = (low % PLACES).cast("int")
             whole = F.shiftright(low, 33)
-            return F.when(low >= none * PLACES, state).otherwise(F.flatten(F.array(
+            return F.when(low >= none, state).otherwise(F.concat(
                 F.slice(state, F.lit(1), i - 1),
                 F.array(
-                    _packed(tables, F.get(state, i - 1) % SHIFT, whole),
-                    _packed(tables, whole, F.get(state, i + 2) % SHIFT),
+                    _packed(tables, _id(F.get(state, i - 1)), whole),
+                    _packed(tables, whole, _id(F.get(state, i + 2))),
                 ),
                 F.slice(state, i + 3, F.size(state)),
-            )))
+            ))
 
         return let(first, merge)
 
@@ -241,13 +248,13 @@ def fold(tables: Column, word: Column) -> Column:
             F.aggregate(F.sequence(F.lit(3), F.size(parts)), parts, step),
             lambda part: part != edge,
         ),
-        lambda part: part % SHIFT,
+        lambda part: _id(part).cast("int"),
     ))
 
 
 def pieces_of(tables: Column, ids: Column) -> Column:
     """The bytes of ids, concatenated."""
-    pieces = F.transform(ids, lambda i: F.get(tables["pieces"], i.cast("int")))
+    pieces = let(tables["pieces"], lambda all: F.transform(ids, lambda i: F.get(all, i)))
     return F.encode(F.array_join(pieces, ""), "ISO-8859-1")
 
 
@@ -256,6 +263,47 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PATTERN), F.lit(0))
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text and, where Spark has to cut the text, its words instead."""
+    odd = F.coalesce(F.col("text").rlike(_UNASSIGNED), F.lit(False))
+    return docs.select(
+        "doc_id", F.when(~odd, F.col("text")).alias("text"),
+        F.when(odd, words_of(F.col("text"))).alias("words"),
+    )
+
+
+class Cutter:
+    """Ids of texts in which words that are not known stand as UNKNOWN + their place in others."""
+
+    def __init__(self, known: dict[str, bytes], encode_long: Callable[[str], bytes]) -> None:
+        self._known, self._encode_long = known, encode_long
+        self._places: dict[str, int] = {}
+        self.others: list[str] = []
+        self._encoder = ChunkEncoder(self._word, {})
+
+    def _word(self, word: str) -> bytes:
+        ids = self._known.get(word)
+        if ids is None:
+            if len(word) > FOLD_CHARACTERS:
+                return self._encode_long(word)
+            place = self._places.setdefault(word, len(self.others))
+            if place == len(self.others):
+                self.others.append(word)
+            ids = little_endian([UNKNOWN + place])
+        return ids
+
+    def full(self) -> bool:
+        return len(self.others) >= HELD_WORDS
+
+    def many(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of _texts() rows, one text after the other, and where each text ends."""
+        words = batch.column("words")
+        ids = list(self._encoder.many(text_list(batch, "text")))
+        for i in np.flatnonzero(words.is_valid().to_numpy(zero_copy_only=False)).tolist():
+            ids[i] = b"".join(map(self._word, words[i].as_py()))
+        return np.frombuffer(b"".join(ids), "<u4"), np.cumsum([len(i) // 4 for i in ids], dtype=int)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word, n: how often each word stands in the texts. Tasks combine before they shuffle."""
     return docs.select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word").agg(
@@ -263,14 +311,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def known_words(counts: DataFrame, path: str, most: int = KNOWN_WORDS) -> dict[str, str]:
-    """The ids, joined by spaces, of the most frequent words: at most so many, and so bounded.
+def known_words(counts: DataFrame, path: str, most: int = KNOWN_WORDS) -> dict[str, bytes]:
+    """The ids, little-endian, of the most frequent words: at most so many, and so bounded.
 
     Frequencies are classed by eighths of powers of two (512 classes at most); the classes
     that fit come whole.
     """
-    plain = ~F.col("word").rlike(f"[{BEFORE_WORD}{AFTER_WORD}]")
-    short = counts.where((F.length("word") <= FOLD_CHARACTERS) & plain).withColumn(
+    short = counts.where(F.length("word") <= FOLD_CHARACTERS).withColumn(
         "frequency", F.floor(F.log2("n") * 8)
     )
     classes = short.groupBy("frequency").agg(F.count("*").alias("words")).collect()
@@ -283,36 +330,59 @@ def known_words(counts: DataFrame, path: str, most: int = KNOWN_WORDS) -> dict[s
     if least is None:
         return {}
     folded = with_tables(short.where(F.col("frequency") >= least), path).select(
-        "word", let(F.col("tables"), lambda t: _id_text(t, F.col("word"))).alias("ids")
+        "word", let(F.col("tables"), lambda t: fold(t, F.col("word"))).alias("ids")
     ).toArrow()
-    return dict(zip(folded["word"].to_pylist(), folded["ids"].to_pylist(), strict=True))
+    ids = folded["ids"].combine_chunks()
+    flat, ends = little_endian(ids.flatten().to_numpy()), (ids.offsets.to_numpy() * 4).tolist()
+    codes = (flat[a:b] for a, b in zip(ends, ends[1:]))
+    return dict(zip(folded["word"].to_pylist(), codes, strict=True))
 
 
-def _id_text(tables: Column, word: Column) -> Column:
-    return F.array_join(F.transform(fold(tables, word), lambda i: i.cast("string")), " ")
+def _cut(docs: DataFrame, path: str, known: dict[str, bytes]) -> DataFrame:
+    """doc_id, others (the words that are not known) and ids (what stands before each, and at last
+    behind them)."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
+    def encode_long(word: str) -> bytes:
+        ranks = read_ranks(path)
+        return little_endian([ranks[part] for part in merged(ranks, word.encode())])
 
-def _long_words(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(path)
+        cutter = Cutter(shared.value, encode_long)
         for batch in batches:
-            texts = [
-                " ".join(str(ranks[p]) for w in words for p in merged(ranks, w.encode()))
-                for words in batch.column("words").to_pylist()
-            ]
+            if cutter.full():
+                cutter = Cutter(shared.value, encode_long)
+            ids, ends = cutter.many(batch)
+            at = np.flatnonzero(ids >= UNKNOWN)
+            before = np.searchsorted(at, ends)  # unknown words before the end of each text
+            stops = np.sort(np.concatenate([at - np.arange(len(at)), ends - before]))
+            rows = np.arange(1, len(ends) + 1)
+            others = [cutter.others[i] for i in (ids[at] - UNKNOWN).tolist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "id_text"]
+                [
+                    batch.column("doc_id"),
+                    _lists(before, pa.array(others, pa.string())),
+                    _lists(before + rows, _lists(
+                        stops, pa.array(ids[ids < UNKNOWN].astype(np.int32))
+                    )),
+                ],
+                ["doc_id", "others", "ids"],
             )
 
-    return run
+    return _texts(docs).mapInArrow(run, "doc_id long, others array<string>, ids array<array<int>>")
+
+
+def _lists(ends: np.ndarray, values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), values)
 
 
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id and id_text (decimal ids joined by one space) of every text.
+    """doc_id, ids (array of int) and id_text (the same in decimal, joined by one space) of every
+    text.
 
-    Null and empty texts have an empty id_text. Each row is encoded by itself, so repeated rows
-    and equal or null ids give equal rows; other columns are ignored, and texts count whole. Texts
-    with a run of FOLD_CHARACTERS characters of one kind are merged by a heap in Python, to
+    Null and empty texts have no ids and an empty id_text. Each row is encoded by itself, so
+    repeated rows and equal or null ids give equal rows; other columns are ignored, and texts count
+    whole. Words of more than FOLD_CHARACTERS characters are merged by a heap in Python, to
     the same ids. An empty table gives no rows.
     """
     path = path or default_ranks()
@@ -321,49 +391,21 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     counted = run_dir(spark, "word-counts")
     word_counts(docs).write.parquet(counted)
     known = known_words(spark.read.parquet(counted), path)
-    lists = max(1, len(known))
-    dealt = [""] * lists
-    for word, ids in known.items():
-        dealt[_hash(word) % lists] += BEFORE_WORD + word + AFTER_WORD + ids
-    long = (F.length("text") >= FOLD_CHARACTERS) & F.col("text").rlike(_LONG_RUN)
-
-    def ids_of(tables: Column, memory: Column, word: Column) -> Column:
-        near = F.get(memory, F.pmod(F.xxhash64(word), F.lit(lists)).cast("int"))
-        key = F.concat(F.lit(BEFORE_WORD), word, F.lit(AFTER_WORD))
-        # What stands behind the word; all of the list, so nothing before its first word, if
-        # the word is not in it.
-        behind = F.substring_index(
-            F.call_function("substring_index", near, key, F.lit(-1)), BEFORE_WORD, 1
-        )
-        return F.coalesce(F.nullif(behind, F.lit("")), _id_text(tables, word))
-
-    words = words_of(F.col("text"))
-    short = with_tables(docs.where(~F.coalesce(long, F.lit(False))), path)
-    folded = with_value(short, "memory", pa.array([dealt], pa.list_(pa.string()))).select(
-        "doc_id", let(F.col("tables"), lambda t: let(F.col("memory"), lambda m: F.array_join(
-            F.transform(words, lambda word: ids_of(t, m, word)), " "
-        ))).alias("id_text")
-    )
-    heaped = docs.where(long).select("doc_id", words.alias("words")).mapInArrow(
-        _long_words(path), "doc_id long, id_text string"
-    )
-    return folded.unionByName(heaped)
-
 
-def _hash(word: str) -> int:
-    """xxhash64() of Spark."""
-    import xxhash
+    def whole(tables: Column) -> Column:
+        return F.flatten(F.zip_with("ids", "others", lambda ids, word: F.when(
+            word.isNull(), ids
+        ).otherwise(F.concat(ids, fold(tables, word)))))
 
-    value = xxhash.xxh64_intdigest(word.encode(), 42)
-    return value - (1 << 64) if value >= 1 << 63 else value
+    return with_tables(_cut(docs, path, known), path).select(
+        "doc_id", let(F.col("tables"), whole).alias("ids")
+    ).withColumn("id_text", F.array_join(F.col("ids").cast("array<string>"), " "))
 
 
 def with_ids(encoded_docs: DataFrame, path: str | None = None) -> DataFrame:
-    """The rows of encoded() with ids (array of int) and decoded (binary)."""
-    ids = F.filter(F.split("id_text", " "), lambda i: i != "").cast("array<int>")
-    with_array = encoded_docs.withColumn("ids", ids)
-    return with_tables(with_array, path or default_ranks()).select(
-        *with_array.columns,
+    """The rows of encoded() with decoded (binary)."""
+    return with_tables(encoded_docs, path or default_ranks()).select(
+        *encoded_docs.columns,
         let(F.col("tables"), lambda t: pieces_of(t, F.col("ids"))).alias("decoded"),
     )
 

@@ -101,6 +101,36 @@ def test_plans_do_not_spell_the_tables_out(spark, library):
     assert len(found._jdf.queryExecution().executedPlan().toString()) < 100_000
 
 
+def test_texts_are_cut_outside_of_interpreted_functions(spark, library):
+    """Only unknown words reach the fold; the rest of a text comes as ids, with no text between."""
+    rows = [(1, "seen here unseen there"), (2, None), (3, "seen here"), (4, "u" * 1025 + " seen"),
+            (5, "seen" * 300), (6, "\u0558 seen\U00033450 here"), (7, "unseen unseen")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = folded_bpe.default_ranks()
+    known = {w: folded_bpe.little_endian(library.encode_ordinary(w))
+             for w in ("seen", " seen", " here", " there")}
+    cut = {r.doc_id: (r.others, r.ids) for r in folded_bpe._cut(df, path, known).collect()}
+    ids = {w: library.encode_ordinary(w) for w in (
+        "seen here", " there", "u" * 1025 + " seen"
+    )}
+    assert cut[1] == ([" unseen"], [ids["seen here"], ids[" there"]])
+    assert cut[2] == ([], [[]])
+    assert cut[3] == ([], [ids["seen here"]])
+    assert cut[4] == ([], [ids["u" * 1025 + " seen"]])
+    assert cut[5] == ([], [library.encode_ordinary("seen" * 300)])
+    assert cut[7] == (["unseen", " unseen"], [[], [], []])
+    assert digests(folded_bpe.with_ids(folded_bpe.encoded(df))) == wanted(library, rows)
+
+
+def test_characters_younger_than_the_format(spark, library):
+    """The regex module may know letters that the format counts as other characters."""
+    points = [*range(0x530, 0x560), *range(0x870, 0x8a0), *range(0x11da0, 0x11e00),
+              *range(0x323a0, 0x323c0), *range(0x3d000, 0x3d010), 0xa7ce, 0xa7d0]
+    rows = [(c, f"a{chr(c)}b {chr(c)}1 {chr(c)}") for c in points]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert digests(folded_bpe.with_ids(folded_bpe.encoded(df))) == wanted(library, rows)
+
+
 def test_heap_merges_like_the_library(library):
     ranks = folded_bpe.read_ranks(folded_bpe.default_ranks())
     rng = random.Random(8)
