@@ -122,6 +122,12 @@ def test_texts_are_cut_outside_of_interpreted_functions(spark, library):
     assert digests(folded_bpe.with_ids(folded_bpe.encoded(df))) == wanted(library, rows)
 
 
+def test_no_text_has_an_id(spark, library):
+    rows = [(1, None), (2, ""), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert digests(folded_bpe.with_ids(folded_bpe.encoded(df))) == wanted(library, rows)
+
+
 def test_characters_younger_than_the_format(spark, library):
     """The regex module may know letters that the format counts as other characters."""
     points = [*range(0x530, 0x560), *range(0x870, 0x8a0), *range(0x11da0, 0x11e00),
