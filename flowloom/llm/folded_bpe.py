@@ -1,8 +1,10 @@
 """Byte-level BPE by Spark's higher-order functions.
 
 A word's bytes become an array of parts, each packed with the rank of the merge with its right
-neighbour. A fold takes the smallest rank, replaces the two parts by the merged one, and looks up
-the two ranks beside it, until no rank is left; the ranks of all pairs come from a scalar subquery.
+neighbour and with its place, so that the smallest part is the next to merge. A fold replaces it and
+the part after it by the merged one, and looks up the two ranks beside it, until no rank is left; the
+ranks of all pairs come from a scalar subquery. A step takes parts out of the array and puts others
+in: slices that are concatenated, or lambdas over all parts, take Spark several times as long.
 Decoding turns ids into their byte pieces, an array beside the ranks, and concatenates them.
 
 All words of the documents are counted; each of the most frequent ones is folded once, and what
@@ -24,6 +26,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,23 +34,26 @@ from flowloom.llm.chunks import ChunkEncoder, little_endian
 from flowloom.llm.texts import table, text_list
 from flowloom.session import run_dir
 
-#: Parts are packed as (rank * SHIFT + id) * PLACES, with the rank of the merge with the next part.
+#: Parts are packed as (rank * PLACES + place) * SHIFT + id: the rank of the merge with the next part,
+#: the place of the part's first byte, which tells equal ranks apart, and the part's id.
 SHIFT = 1 << 20
-#: Room for a place in a word, in the low digits.
 PLACES = 1 << 13
 #: The edge of a word, an id that no file has.
 EDGE = SHIFT - 1
 NO_RANK = 1 << 20
-#: Number of maps that the pairs are dealt to; a prime. Spark scans a map for its key.
-PAIR_MAPS = 30_011
+#: Pairs are dealt to maps by the low bits of left * SPREAD + right, since Spark scans a map for its
+#: key. There are more maps than ids, so a map's key is left alone.
+SPREAD = 31
 #: Words, by falling frequency, that every task knows; the others are folded in place.
 KNOWN_WORDS = 1 << 19
 #: Words of more characters are merged by a heap, since a fold copies its array in every step.
 FOLD_CHARACTERS = 1_024
 #: Above all ids: stands for a word that is not known, with the word's place in a list.
 UNKNOWN = 1 << 24
-#: Unknown words that a worker holds.
-HELD_WORDS = 1 << 19
+#: Bytes of text that are cut together; their unknown words are held only so long.
+CUT_BYTES = 4 << 20
+#: Chunks with signs or digits whose ids a worker keeps, twice; letters alone are looked up.
+KEPT_CHUNKS = 1 << 17
 
 #: White space, and the letters and numbers that Unicode 14 to 16 added and older Java
 #: versions do not know (fixed values of the format).
@@ -145,11 +151,13 @@ def merged(ranks: dict[bytes, int], piece: bytes, below: int | None = None) -> l
 
 @cache
 def rank_tables(path: str) -> str:
-    """A rank file as JSON: maps of pairs to ranks, ids of bytes, pieces of ids."""
+    """A rank file as JSON: maps of pairs to ranks, first parts of two bytes (256: none), pieces of
+    ids."""
     ranks = read_ranks(path)
     if max(ranks.values()) >= EDGE or any(bytes([b]) not in ranks for b in range(256)):
         raise ValueError("a rank for every byte, and none of 2**20 - 1 or more, is needed")
-    maps: list[dict[int, int]] = [{} for _ in range(PAIR_MAPS)]
+    # More maps than ids, so that the edge shares its place with no id.
+    maps: list[dict[int, int]] = [{} for _ in range(1 << (max(ranks.values()) + 1).bit_length())]
     for piece, rank in ranks.items():
         if len(piece) == 1:
             continue
@@ -161,11 +169,15 @@ def rank_tables(path: str) -> str:
             if piece[:i] in ranks and piece[i:] in ranks
         ]
         for left, right in pairs:
-            key = ranks[left] * SHIFT + ranks[right]
-            maps[key % PAIR_MAPS][key] = rank * SHIFT
+            key = ranks[left]
+            maps[(key * SPREAD + ranks[right]) % len(maps)][key] = rank * SHIFT * PLACES
     by_rank = {rank: piece.decode("latin-1") for piece, rank in ranks.items()}
+    first = [
+        ranks.get(bytes([a, b]) if b < 256 else b"", NO_RANK) * SHIFT * PLACES + ranks[bytes([a])]
+        for a in range(256) for b in range(257)
+    ]
     return json.dumps({
-        "pairs": maps, "bytes": [ranks[bytes([b])] for b in range(256)],
+        "pairs": maps, "first": first, "last_map": len(maps) - 1,
         "pieces": [by_rank.get(i, "") for i in range(max(by_rank) + 1)],
     }, ensure_ascii=False)
 
@@ -190,66 +202,67 @@ def with_tables(df: DataFrame, path: str) -> DataFrame:
     return with_value(
         df, "tables", pa.array([rank_tables(path)]),
         lambda text: F.from_json(
-            text, "pairs array<map<string, bigint>>, bytes array<bigint>, pieces array<string>"
+            text, "pairs array<map<string, bigint>>, first array<bigint>, last_map bigint, "
+            "pieces array<string>"
         ),
         lambda read: read.cast(
-            "struct<pairs: array<map<bigint, bigint>>, bytes: array<bigint>, pieces: array<string>>"
+            "struct<pairs: array<map<bigint, bigint>>, first: array<bigint>, last_map: bigint, "
+            "pieces: array<string>>"
         ),
     )
 
 
-def _packed(tables: Column, left: Column, right: Column) -> Column:
-    """The part left with the rank of its merge with the part right."""
-    key = left * SHIFT + right
-    near = F.get(tables["pairs"], F.pmod(key, F.lit(PAIR_MAPS)).cast("int"))
-    rank = F.coalesce(F.try_element_at(near, key), F.lit(NO_RANK * SHIFT))
-    return (rank + left) * PLACES
+def _rank(tables: Column, left: Column, right: Column) -> Column:
+    """The rank of the merge of two ids, where parts are packed with it."""
+    place = (left * SPREAD + right).bitwiseAND(tables["last_map"]).cast("int")
+    rank = F.try_element_at(F.get(tables["pairs"], place), left)
+    return F.coalesce(rank, F.lit(NO_RANK * SHIFT * PLACES))
 
 
 def _id(part: Column) -> Column:
-    return F.shiftright(part, 13) % SHIFT
+    return part.bitwiseAND(F.lit(SHIFT - 1).cast("bigint"))
 
 
 def fold(tables: Column, word: Column) -> Column:
     """Ids of a word: its bytes, merged by rank."""
     characters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
-    ids = F.transform(characters, lambda c: F.get(tables["bytes"], F.ascii(c)))
     none = NO_RANK * SHIFT * PLACES
-    edge = F.lit(none + EDGE * PLACES)
-
-    def pack(ids: Column) -> Column:
-        after = F.concat(F.slice(ids, F.lit(2), F.size(ids)), F.array(F.lit(EDGE).cast("bigint")))
-        return F.concat(
-            F.array(edge),
-            F.zip_with(ids, after, lambda left, right: _packed(tables, left, right)),
-            F.array(edge),
+
+    def pack(codes: Column) -> Column:
+        parts = F.transform(codes, lambda code, i: F.get(
+            tables["first"], code * 257 + F.coalesce(F.get(codes, i + 1), F.lit(256))
+        ) + i * F.lit(SHIFT).cast("bigint"))
+        return F.flatten(F.array(
+            F.array(F.lit(none + EDGE)), parts,
+            F.array(F.lit(none + (PLACES - 1) * SHIFT + EDGE)),
+        ))
+
+    def merge(parts: Column, i: Column) -> Column:
+        """The parts after the merge of the part that array_position() calls i with the next."""
+        before, low, gone = (F.get(parts, i - k) for k in (2, 1, 0))
+        whole = F.shiftright(low, 33)
+        place = low.bitwiseAND(F.lit((PLACES - 1) * SHIFT))
+        rest = F.array_remove(F.array_remove(F.array_remove(parts, gone), low), before)
+        return F.array_insert(
+            F.array_insert(
+                rest, i - 1, _rank(tables, whole, _id(F.get(parts, i + 1))) + place + whole
+            ),
+            i - 1,
+            _rank(tables, _id(before), whole) + before.bitwiseAND(F.lit(SHIFT * PLACES - 1)),
         )
 
-    def step(state: Column, _: Column) -> Column:
-        # The smallest rank and, of equal ones, the first place (in the low digits).
-        first = F.array_min(F.transform(state, lambda part, i: part + i))
-
-        def merge(low: Column) -> Column:
-            i = (low % PLACES).cast("int")
-            whole = F.shiftright(low, 33)
-            return F.when(low >= none, state).otherwise(F.concat(
-                F.slice(state, F.lit(1), i - 1),
-                F.array(
-                    _packed(tables, _id(F.get(state, i - 1)), whole),
-                    _packed(tables, whole, _id(F.get(state, i + 2))),
-                ),
-                F.slice(state, i + 3, F.size(state)),
-            ))
-
-        return let(first, merge)
-
-    return let(let(ids, pack), lambda parts: F.transform(
-        F.filter(
-            F.aggregate(F.sequence(F.lit(3), F.size(parts)), parts, step),
-            lambda part: part != edge,
-        ),
-        lambda part: _id(part).cast("int"),
-    ))
+    def step(parts: Column, _: Column) -> Column:
+        low = F.array_min(parts)
+        return F.when(low >= none, parts).otherwise(
+            let(F.array_position(parts, low).cast("int"), lambda i: merge(parts, i))
+        )
+
+    folded = F.aggregate(
+        F.sequence(F.lit(1), F.octet_length(word)), let(F.transform(characters, F.ascii), pack), step
+    )
+    return F.transform(
+        F.filter(folded, lambda part: _id(part) != EDGE), lambda part: _id(part).cast("int")
+    )
 
 
 def pieces_of(tables: Column, ids: Column) -> Column:
@@ -272,14 +285,20 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-class Cutter:
-    """Ids of texts in which words that are not known stand as UNKNOWN + their place in others."""
+class Cutter(ChunkEncoder):
+    """Ids of texts in which words that are not known stand as UNKNOWN + their place in others.
+
+    Only codes without such words are kept, so others can be emptied between texts.
+    """
 
     def __init__(self, known: dict[str, bytes], encode_long: Callable[[str], bytes]) -> None:
+        super().__init__(self._word, {})
         self._known, self._encode_long = known, encode_long
         self._places: dict[str, int] = {}
         self.others: list[str] = []
-        self._encoder = ChunkEncoder(self._word, {})
+
+    def forget(self) -> None:
+        self._places, self.others = {}, []
 
     def _word(self, word: str) -> bytes:
         ids = self._known.get(word)
@@ -292,18 +311,49 @@ class Cutter:
             ids = little_endian([UNKNOWN + place])
         return ids
 
-    def full(self) -> bool:
-        return len(self.others) >= HELD_WORDS
-
-    def many(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    def _letters(self, key: str) -> bytes:
+        return self._word(" " + key)
+
+    def _keep(self, key: str, ids: bytes) -> None:
+        # The highest byte of an id is 0, of UNKNOWN it is not.
+        if not any(ids[3::4]):
+            if len(self._chunks) >= KEPT_CHUNKS:
+                self._chunks, self._older = self._older, self._chunks
+                self._chunks.clear()
+            self._chunks[key] = ids
+
+    def _codes(self, keys: list[str]) -> list[bytes]:
+        """Ids of chunks: letters alone are one word, other chunks may be kept."""
+        known, codes = self._known.get, []
+        for key in keys:
+            if key.isalpha():
+                ids = known(" " + key) or self._word(" " + key)
+            else:
+                ids = self._chunks.get(key)
+                if ids is None:
+                    ids = self._older.get(key) or self._chunk(key)
+                    self._keep(key, ids)
+            codes.append(ids)
+        return codes
+
+    def cut(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """All ids of _texts() rows, one text after the other, and where each text ends."""
         words = batch.column("words")
-        ids = list(self._encoder.many(text_list(batch, "text")))
+        ids = list(self.many(text_list(batch, "text")))
         for i in np.flatnonzero(words.is_valid().to_numpy(zero_copy_only=False)).tolist():
             ids[i] = b"".join(map(self._word, words[i].as_py()))
         return np.frombuffer(b"".join(ids), "<u4"), np.cumsum([len(i) // 4 for i in ids], dtype=int)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of a batch with some CUT_BYTES of text, or one longer row."""
+    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    runs = np.cumsum(lengths, dtype=int) // CUT_BYTES
+    stops = [*(np.flatnonzero(np.diff(runs)) + 1).tolist(), batch.num_rows]
+    for start, stop in zip([0, *stops], stops):
+        yield batch.slice(start, stop - start)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word, n: how often each word stands in the texts. Tasks combine before they shuffle."""
     return docs.select(F.explode(words_of(F.col("text"))).alias("word")).groupBy("word").agg(
@@ -349,10 +399,9 @@ def _cut(docs: DataFrame, path: str, known: dict[str, bytes]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(shared.value, encode_long)
-        for batch in batches:
-            if cutter.full():
-                cutter = Cutter(shared.value, encode_long)
-            ids, ends = cutter.many(batch)
+        for batch in (part for whole in batches for part in _slices(whole)):
+            cutter.forget()
+            ids, ends = cutter.cut(batch)
             at = np.flatnonzero(ids >= UNKNOWN)
             before = np.searchsorted(at, ends)  # unknown words before the end of each text
             stops = np.sort(np.concatenate([at - np.arange(len(at)), ends - before]))

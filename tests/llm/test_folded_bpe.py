@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import tiktoken
@@ -152,3 +153,48 @@ def test_files_that_cannot_be_folded_are_refused(tmp_path):
     file.write_text("YQ== 0\n")
     with pytest.raises(ValueError):
         folded_bpe.rank_tables(str(file))
+
+
+def test_unknown_words_are_held_for_some_texts_only(monkeypatch, library):
+    """What a worker keeps must not grow with the words that it does not know."""
+    monkeypatch.setattr(folded_bpe, "CUT_BYTES", 4_000)
+    monkeypatch.setattr(folded_bpe, "KEPT_CHUNKS", 100)
+    texts = [" ".join(f"w{chr(97 + i % 26)}{j}, seen" for j in range(i * 40, i * 40 + 40))
+             for i in range(200)] + [None, "", "x" * 9_000, None]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts, pa.string()), pa.nulls(len(texts), pa.list_(pa.string()))],
+        ["text", "words"],
+    )
+    known = {w: folded_bpe.little_endian(library.encode_ordinary(w)) for w in ("seen", " seen", ",")}
+    cutter = folded_bpe.Cutter(known, None)
+    monkeypatch.setattr(cutter, "_encode_long", lambda word: folded_bpe.little_endian([0]))
+    rows = most = 0
+    for part in folded_bpe._slices(batch):
+        cutter.forget()
+        ids, ends = cutter.cut(part)
+        rows, most = rows + len(ends), max(most, len(cutter.others))
+        assert len(cutter._chunks) <= 100 and len(cutter._older) <= 100
+        assert ids.max(initial=0) < folded_bpe.UNKNOWN + len(cutter.others)
+    assert rows == len(texts) and 0 < most < 1_000
+
+
+def test_equal_ranks_merge_from_the_left_in_any_file(spark, tmp_path):
+    """Ranks that merging can only reach in several ways, up to an id of all ones."""
+    import base64
+
+    rng = random.Random(5)
+    pieces = [bytes([b]) for b in range(256)]
+    while len(pieces) < 512:
+        piece = bytes(rng.choices(b"abc", k=rng.randrange(2, 7)))
+        if piece not in pieces:
+            pieces.append(piece)
+    file = tmp_path / "ranks"
+    file.write_text("".join(f"{base64.b64encode(p).decode()} {i}\n" for i, p in enumerate(pieces)))
+    ranks = {p: i for i, p in enumerate(pieces)}
+    own = tiktoken.Encoding(
+        "file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    rows = [(i, "".join(rng.choices("abc ", k=rng.randrange(1, 60)))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = folded_bpe.with_ids(folded_bpe.encoded(df, str(file)), str(file))
+    assert digests(found) == wanted(own, rows)
