@@ -45,7 +45,7 @@ NO_RANK = 1 << 20
 #: key. There are more maps than ids, so a map's key is left alone.
 SPREAD = 31
 #: Words, by falling frequency, that every task knows; the others are folded in place.
-KNOWN_WORDS = 1 << 19
+KNOWN_WORDS = 1 << 20
 #: Words of more characters are merged by a heap, since a fold copies its array in every step.
 FOLD_CHARACTERS = 1_024
 #: Above all ids: stands for a word that is not known, with the word's place in a list.
@@ -53,7 +53,7 @@ UNKNOWN = 1 << 24
 #: Bytes of text that are cut together; their unknown words are held only so long.
 CUT_BYTES = 4 << 20
 #: Chunks with signs or digits whose ids a worker keeps, twice; letters alone are looked up.
-KEPT_CHUNKS = 1 << 17
+KEPT_CHUNKS = 1 << 16
 
 #: White space, and the letters and numbers that Unicode 14 to 16 added and older Java
 #: versions do not know (fixed values of the format).
@@ -88,9 +88,10 @@ _OTHER = (
     rf"[[^{_SPACE}]&&\P{{L}}&&\P{{N}}&&"
     rf"[\x{{0}}-\x{{86f}}[^{_NEW_LETTERS}{_NEW_NUMBERS}]]]"
 )
-#: public_tokenizers.PATTERN for Java, whose classes know fewer characters.
+#: public_tokenizers.PATTERN for Java, whose classes know fewer characters. Plain letters before plain
+#: characters come first, as they take the fewest tests.
 PATTERN = (
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?{_LETTER}+| ?{_NUMBER}+| ?{_OTHER}+|"
+    rf"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]++(?![^\x00-\x7f])| ?{_LETTER}+| ?{_NUMBER}+| ?{_OTHER}+|"
     rf"[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 #: A character that this Java does not know. Python's regex module may know it, and class it
@@ -258,7 +259,7 @@ def fold(tables: Column, word: Column) -> Column:
         )
 
     folded = F.aggregate(
-        F.sequence(F.lit(1), F.octet_length(word)), let(F.transform(characters, F.ascii), pack), step
+        F.sequence(F.lit(2), F.octet_length(word)), let(F.transform(characters, F.ascii), pack), step
     )
     return F.transform(
         F.filter(folded, lambda part: _id(part) != EDGE), lambda part: _id(part).cast("int")
