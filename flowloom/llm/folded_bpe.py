@@ -88,10 +88,9 @@ _OTHER = (
     rf"[[^{_SPACE}]&&\P{{L}}&&\P{{N}}&&"
     rf"[\x{{0}}-\x{{86f}}[^{_NEW_LETTERS}{_NEW_NUMBERS}]]]"
 )
-#: public_tokenizers.PATTERN for Java, whose classes know fewer characters. Plain letters before plain
-#: characters come first, as they take the fewest tests.
+#: public_tokenizers.PATTERN for Java, whose classes know fewer characters.
 PATTERN = (
-    rf"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]++(?![^\x00-\x7f])| ?{_LETTER}+| ?{_NUMBER}+| ?{_OTHER}+|"
+    rf"'(?:[stmd]|re|ve|ll)| ?{_LETTER}+| ?{_NUMBER}+| ?{_OTHER}+|"
     rf"[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 #: A character that this Java does not know. Python's regex module may know it, and class it
